@@ -60,7 +60,9 @@ def output_presence(
     def check(name: str, path: str) -> DataFrame:
         try:
             first = spark.read.format(fmt).load(path).limit(1)
-        except AnalysisException:  # no such folder, or nothing readable in it
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return spark.range(1).select(
                 F.lit(name).alias("table_name"),
                 F.lit(False).alias("present"),

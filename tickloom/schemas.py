@@ -5,92 +5,163 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BINARY, VARIANT = T.BinaryType(), T.VariantType()
+INSTANT, WALL_CLOCK = T.TimestampType(), T.TimestampNTZType()
+WHOLE, MONEY = T.DecimalType(38, 0), T.DecimalType(18, 4)
+
+
+def _layout(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 # Envelope of one record as a log topic delivers it.
-ENVELOPE = T.StructType.fromDDL(
-    "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, key BINARY, value BINARY"
+ENVELOPE = _layout(
+    topic=STRING,
+    partition=INT,
+    offset=LONG,
+    timestamp=INSTANT,
+    key=BINARY,
+    value=BINARY,
 )
 
-BRONZE = T.StructType.fromDDL(
-    "topic STRING, partition INT, offset BIGINT, kafka_timestamp TIMESTAMP, "
-    "message_key STRING, raw_payload STRING, bronze_ingested_at TIMESTAMP"
+BRONZE = _layout(
+    topic=STRING,
+    partition=INT,
+    offset=LONG,
+    kafka_timestamp=INSTANT,
+    message_key=STRING,
+    raw_payload=STRING,
+    bronze_ingested_at=INSTANT,
 )
 
 # JSON payload of one trade.
-TRADE = T.StructType.fromDDL(
-    "trade_id STRING, symbol STRING, side STRING, quantity INT, price DOUBLE, "
-    "event_time STRING, ingest_time STRING, exchange STRING, trader_id STRING, "
-    "sequence INT, schema_version STRING"
+TRADE = _layout(
+    trade_id=STRING,
+    symbol=STRING,
+    side=STRING,
+    quantity=INT,
+    price=DOUBLE,
+    event_time=STRING,
+    ingest_time=STRING,
+    exchange=STRING,
+    trader_id=STRING,
+    sequence=INT,
+    schema_version=STRING,
 )
 
 CHECKED = T.StructType(
     BRONZE.fields
     + TRADE.fields
-    + T.StructType.fromDDL(
-        "event_ts TIMESTAMP, ingest_ts TIMESTAMP, validation_error STRING"
-    ).fields
+    + _layout(event_ts=INSTANT, ingest_ts=INSTANT, validation_error=STRING).fields
 )
 
-SILVER = T.StructType(CHECKED.fields + T.StructType.fromDDL("notional DOUBLE").fields)
+SILVER = T.StructType(CHECKED.fields + _layout(notional=DOUBLE).fields)
 
 ANOMALY = T.StructType(
     SILVER.fields
-    + T.StructType.fromDDL(
-        "reference_price DOUBLE, price_move_pct DOUBLE, anomaly_reason STRING, severity STRING"
+    + _layout(
+        reference_price=DOUBLE, price_move_pct=DOUBLE, anomaly_reason=STRING, severity=STRING
     ).fields
 )
 
-TUMBLING = T.StructType.fromDDL(
-    "symbol STRING, trade_count BIGINT, total_quantity BIGINT, total_notional DOUBLE, "
-    "buy_quantity BIGINT, sell_quantity BIGINT, min_price DOUBLE, max_price DOUBLE, "
-    "vwap DOUBLE, window_start TIMESTAMP, window_end TIMESTAMP"
+TUMBLING = _layout(
+    symbol=STRING,
+    trade_count=LONG,
+    total_quantity=LONG,
+    total_notional=DOUBLE,
+    buy_quantity=LONG,
+    sell_quantity=LONG,
+    min_price=DOUBLE,
+    max_price=DOUBLE,
+    vwap=DOUBLE,
+    window_start=INSTANT,
+    window_end=INSTANT,
 )
 
-SLIDING = T.StructType.fromDDL(
-    "symbol STRING, trade_count BIGINT, total_quantity BIGINT, total_notional DOUBLE, "
-    "vwap DOUBLE, window_start TIMESTAMP, window_end TIMESTAMP"
+SLIDING = _layout(
+    symbol=STRING,
+    trade_count=LONG,
+    total_quantity=LONG,
+    total_notional=DOUBLE,
+    vwap=DOUBLE,
+    window_start=INSTANT,
+    window_end=INSTANT,
 )
 
-SESSIONS = T.StructType.fromDDL(
-    "symbol STRING, trade_count BIGINT, total_quantity BIGINT, total_notional DOUBLE, "
-    "session_start TIMESTAMP, session_end TIMESTAMP"
+SESSIONS = _layout(
+    symbol=STRING,
+    trade_count=LONG,
+    total_quantity=LONG,
+    total_notional=DOUBLE,
+    session_start=INSTANT,
+    session_end=INSTANT,
 )
 
-DAILY = T.StructType.fromDDL(
-    "trade_day TIMESTAMP, symbol STRING, trade_count BIGINT, total_quantity BIGINT, "
-    "total_notional DOUBLE"
+DAILY = _layout(
+    trade_day=INSTANT,
+    symbol=STRING,
+    trade_count=LONG,
+    total_quantity=LONG,
+    total_notional=DOUBLE,
 )
 
-MESSAGE = T.StructType.fromDDL("key STRING, value STRING")
+MESSAGE = _layout(key=STRING, value=STRING)
 
 # Warehouse side: semi-structured bronze, decimal silver and gold.
-VARIANT_BRONZE = T.StructType.fromDDL(
-    "record_content VARIANT, record_metadata VARIANT, kafka_received_at TIMESTAMP_NTZ"
+VARIANT_BRONZE = _layout(
+    record_content=VARIANT,
+    record_metadata=VARIANT,
+    kafka_received_at=WALL_CLOCK,
 )
 
 # Layout of rejected records in the warehouse; declared for producers, no job fills it.
-VARIANT_REJECTS = T.StructType.fromDDL(
-    "record_content VARIANT, record_metadata VARIANT, error_reason STRING, "
-    "kafka_received_at TIMESTAMP_NTZ"
+VARIANT_REJECTS = _layout(
+    record_content=VARIANT,
+    record_metadata=VARIANT,
+    error_reason=STRING,
+    kafka_received_at=WALL_CLOCK,
 )
 
-WAREHOUSE_SILVER = T.StructType.fromDDL(
-    "trade_id STRING, symbol STRING, side STRING, quantity DECIMAL(38,0), "
-    "price DECIMAL(18,4), notional DECIMAL(18,4), event_ts TIMESTAMP, ingest_ts TIMESTAMP, "
-    "exchange STRING, trader_id STRING, sequence DECIMAL(38,0), source_offset DECIMAL(38,0), "
-    "loaded_at TIMESTAMP_NTZ"
+WAREHOUSE_SILVER = _layout(
+    trade_id=STRING,
+    symbol=STRING,
+    side=STRING,
+    quantity=WHOLE,
+    price=MONEY,
+    notional=MONEY,
+    event_ts=INSTANT,
+    ingest_ts=INSTANT,
+    exchange=STRING,
+    trader_id=STRING,
+    sequence=WHOLE,
+    source_offset=WHOLE,
+    loaded_at=WALL_CLOCK,
 )
 
 # Layout of the warehouse anomaly table; declared for producers, no job fills it.
-WAREHOUSE_ANOMALY = T.StructType.fromDDL(
-    "trade_id STRING, symbol STRING, side STRING, quantity DECIMAL(38,0), "
-    "price DECIMAL(18,4), notional DECIMAL(18,4), event_ts TIMESTAMP, "
-    "anomaly_reason STRING, severity STRING, loaded_at TIMESTAMP_NTZ"
+WAREHOUSE_ANOMALY = _layout(
+    trade_id=STRING,
+    symbol=STRING,
+    side=STRING,
+    quantity=WHOLE,
+    price=MONEY,
+    notional=MONEY,
+    event_ts=INSTANT,
+    anomaly_reason=STRING,
+    severity=STRING,
+    loaded_at=WALL_CLOCK,
 )
 
-WAREHOUSE_WINDOWS = T.StructType.fromDDL(
-    "window_start TIMESTAMP, window_end TIMESTAMP, symbol STRING, "
-    "trade_count DECIMAL(38,0), total_quantity DECIMAL(38,0), total_notional DECIMAL(18,4), "
-    "vwap DECIMAL(18,4), loaded_at TIMESTAMP_NTZ"
+WAREHOUSE_WINDOWS = _layout(
+    window_start=INSTANT,
+    window_end=INSTANT,
+    symbol=STRING,
+    trade_count=WHOLE,
+    total_quantity=WHOLE,
+    total_notional=MONEY,
+    vwap=MONEY,
+    loaded_at=WALL_CLOCK,
 )
 
 # Reference price per symbol.

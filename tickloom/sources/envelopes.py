@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -57,3 +58,15 @@ def read_table(
     if fmt != "delta":
         reader = reader.schema(schema)
     return reader.load(path)
+
+
+def read_or_empty(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """The table, or no rows of the same layout while nobody has written it yet."""
+    try:
+        return read_table(spark, path, schema, fmt)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -9,11 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-EVENTS = StructType.fromDDL(
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-    "value DOUBLE, props STRING"
+from pyspark.sql import types as T
+
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
 )
 
 TOPIC = "trades"
@@ -39,8 +45,10 @@ VENUES = ("NYSE", "NASDAQ", "IEX", "CBOE")
 
 
 def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    if stream:
+        # As a pattern the path may be one file or a folder; a plain file is no stream source.
+        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _pick(values, index: str):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -45,8 +46,8 @@ def newest_files(
     )
     try:
         found = listing.load(path).select("path", "modificationTime")
-    except Exception as missing:  # narrowed below: only an absent path is expected
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return NewestFiles(spark.createDataFrame([], schema), 0, 0, [])
     total = found.count()
