@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.instants import iso_instant
 
@@ -53,72 +54,93 @@ def _bound_text(bound: float) -> str:
     return f"{bound:.6f}".rstrip("0") if isinstance(bound, float) and bound < 1 else str(int(bound))
 
 
-def _document(payload: str) -> Column:
-    """The JSON as a variant. Bare NaN and Infinity, which strict JSON lacks, are read as texts."""
+def _document(payload: str, names: list[str]) -> Column:
+    """The contract's fields, each as a variant so that it keeps its JSON type.
+
+    Bare NaN and Infinity, which strict JSON lacks, are read as texts.
+    """
+    fields = T.StructType([T.StructField(name, T.VariantType()) for name in names])
     quoted = F.regexp_replace(payload, r':\s*(NaN|-?Infinity)(?=\s*[,}])', ':"$1"')
-    return F.coalesce(F.try_parse_json(payload), F.try_parse_json(quoted))
+    bare = F.contains(F.col(payload), F.lit("NaN")) | F.contains(F.col(payload), F.lit("Infinity"))
+    return F.from_json(F.when(bare, quoted).otherwise(F.col(payload)), fields)
 
 
-def _json_kind(value: str) -> Column:
-    return F.regexp_extract(F.schema_of_variant(F.col(value)), "^[A-Z]+", 0)
+def _kind(value: Column) -> Column:
+    """The first letters of the JSON type's name: STR, BIG, DEC, DOU, BOO, VOI, OBJ, ARR."""
+    return F.substring(F.schema_of_variant(value), 1, 3)
 
 
-def _is_numeric(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+def _get(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind)
 
 
-def _as_number(field: Field) -> Column:
-    """The field as a double, null where it does not read as a number of its kind.
+def _read_text(value: Column) -> Column:
+    trimmed = F.trim(_get(value, "string"), F.lit(BLANKS))
+    return F.when(_kind(value) == "STR", trimmed)
 
-    Accepts JSON numbers, booleans and numeric texts. A whole number may come from a
-    fraction (it is truncated) but not from a fractional text, nor from infinity.
-    """
-    kind, text = F.col(f"{field.name}_kind"), F.trim(F.col(f"{field.name}_text"), F.lit(BLANKS))
-    pattern = WHOLE_TEXT if field.kind == "whole" else NUMBER_TEXT
+
+def _read_number(value: Column, pattern: str = NUMBER_TEXT) -> Column:
+    """A double from a JSON number, a boolean or a numeric text, else null."""
+    text = F.trim(_get(value, "string"), F.lit(BLANKS))
     digits = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    number = (
-        F.when(_is_numeric(kind), F.col(f"{field.name}_text").try_cast("double"))
-        .when(kind == "BOOLEAN", F.col(f"{field.name}_text").try_cast("boolean").cast("double"))
-        .when((kind == "STRING") & text.rlike(pattern), digits)
+    return (
+        F.when(_kind(value).isin("BIG", "DEC", "DOU", "FLO"), _get(value, "double"))
+        .when(_kind(value) == "BOO", _get(value, "boolean").cast("double"))
+        .when((_kind(value) == "STR") & text.rlike(pattern), digits)
     )
-    if field.kind == "whole":
-        # A long digit text may exceed the double range; its sign still decides the range check.
-        infinite = F.isnan(number) | (F.abs(number) == float("inf"))
-        return F.when((kind == "STRING") | ~infinite, number)
-    return number
 
 
-def _as_text(field: Field) -> Column:
-    trimmed = F.trim(F.col(f"{field.name}_text"), F.lit(BLANKS))
-    return F.when((F.col(f"{field.name}_kind") == "STRING") & (trimmed != ""), trimmed)
+def _read_whole(value: Column) -> Column:
+    """As a number, but not from a fractional text and not from an infinite number.
+
+    A long digit text may exceed the double range; its sign still decides the range check.
+    """
+    number = _read_number(value, WHOLE_TEXT)
+    return F.when((_kind(value) == "STR") | (F.abs(number) < float("inf")), number)
+
 
+def _read_instant(value: Column) -> Column:
+    """The instant, and whether there was a text to read it from."""
+    is_text = F.coalesce(_kind(value) == "STR", F.lit(False))
+    offset = F.replace(_get(value, "string"), F.lit("Z"), F.lit("+00:00"))
+    return F.struct(F.when(is_text, iso_instant(offset)).alias("at"), is_text.alias("is_text"))
 
-def _as_instant(field: Field) -> Column:
-    zulu = F.replace(F.col(f"{field.name}_text"), F.lit("Z"), F.lit("+00:00"))
-    return F.when(F.col(f"{field.name}_kind") == "STRING", iso_instant(zulu))
 
+READERS = {
+    "text": _read_text,
+    "whole": _read_whole,
+    "number": _read_number,
+    "instant": _read_instant,
+}
 
-def _reading(field: Field) -> Column:
-    read = {
-        "text": _as_text,
-        "whole": _as_number,
-        "number": _as_number,
-        "instant": _as_instant,
-    }[field.kind]
-    return read(field).alias(field.name)
+
+def _readings(kind: str) -> Column:
+    """All fields of a kind go through one reader, as an array in field order.
+
+    As a lambda over an array the reader appears once in the plan; spelled out per field,
+    the generated method grows beyond what the JVM compiles.
+    """
+    values = [F.col(f"_document.{f.name}") for f in FIELDS if f.kind == kind]
+    read = READERS[kind]
+    return F.transform(F.array(*values), lambda value: read(value)).alias(f"_{kind}")
+
+
+def _read(field: Field) -> Column:
+    position = [f.name for f in FIELDS if f.kind == field.kind].index(field.name)
+    value = F.col(f"_{field.kind}")[position]
+    return F.nullif(value, F.lit("")) if field.kind == "text" else value
 
 
 def _violations(field: Field) -> list[Column]:
-    value = F.col(f"read.{field.name}")
+    value = _read(field)
 
     def error(broken: Column, message: str) -> Column:
         return F.when(broken, F.lit(f"{field.name}: {message}"))
 
     if field.kind == "instant":
-        texty = F.col(f"{field.name}_kind").eqNullSafe("STRING")
         return [
-            error(texty & value.isNull(), "invalid datetime"),
-            error(~texty, "required datetime"),
+            error(value["is_text"] & value["at"].isNull(), "invalid datetime"),
+            error(~value["is_text"], "required datetime"),
         ]
     if field.kind == "text":
         found = [error(value.isNull(), "required string")]
@@ -146,15 +168,20 @@ def _violations(field: Field) -> list[Column]:
 
 
 def _trade() -> Column:
-    version = F.when(F.col("schema_version_kind").isNull(), F.lit(DEFAULT_VERSION)).otherwise(
-        F.coalesce("schema_version_text", F.lit("None"))
+    version = F.col("_document.schema_version")
+    columns = []
+    for field in FIELDS:
+        value = _read(field)
+        if field.kind == "instant":
+            value = value["at"]
+        elif field.kind == "whole":
+            value = value.try_cast("bigint")
+        elif field.name == "symbol":
+            value = F.upper(value)
+        columns.append(value.alias(field.name))
+    version = F.when(version.isNull(), F.lit(DEFAULT_VERSION)).otherwise(
+        F.coalesce(_get(version, "string"), F.lit("None"))
     )
-    converted = {
-        "symbol": F.upper("read.symbol"),
-        "quantity": F.col("read.quantity").try_cast("bigint"),
-        "sequence": F.col("read.sequence").try_cast("bigint"),
-    }
-    columns = [converted.get(f.name, F.col(f"read.{f.name}")).alias(f.name) for f in FIELDS]
     return F.struct(*columns, version.alias("schema_version"))
 
 
@@ -166,27 +193,22 @@ def contract_errors(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
     where there are errors. The JSON keeps its own types here: a number is not a text.
     """
     names = [f.name for f in FIELDS] + ["schema_version"]
-    # Generators keep the parsed document and the field reads from being copied into
-    # every later expression and predicate.
-    opened = df.select("*", F.inline(F.array(F.struct(_document(payload).alias("_document")))))
-    values = opened.select(
-        *df.columns,
-        *[F.try_variant_get("_document", f"$.{n}", "variant").alias(n + "_value") for n in names],
-    )
-    texts = values.select(
-        *df.columns,
-        *[_json_kind(f"{n}_value").alias(f"{n}_kind") for n in names],
-        *[F.try_variant_get(f"{n}_value", "$", "string").alias(f"{n}_text") for n in names],
-    )
-    reading = F.struct(*map(_reading, FIELDS)).alias("read")
-    read = texts.select("*", F.inline(F.array(F.struct(reading))))
-    side_error = F.when(~F.col("read.side").isin(*SIDES), F.lit(SIDE_ERROR))
+    # Each select rests on columns of the one before, so nothing is worked out twice; the
+    # generators at both ends keep later predicates from copying the work below them.
+    document = F.struct(_document(payload, names).alias("_document"))
+    opened = df.select("*", F.inline(F.array(document)))
+    read = opened.select("*", *map(_readings, READERS))
+    side = _read(next(f for f in FIELDS if f.name == "side"))
+    side_error = F.when(~side.isin(*SIDES), F.lit(SIDE_ERROR))
     checks = [check for field in FIELDS for check in _violations(field)] + [side_error]
-    judged = read.withColumn("errors", F.array_compact(F.array(*checks)))
-    valid = F.size("errors") == 0
-    return judged.select(
-        *df.columns, "errors", valid.alias("valid"), F.when(valid, _trade()).alias("trade")
+    judged = read.withColumn("_errors", F.array_compact(F.array(*checks)))
+    valid = F.size("_errors") == 0
+    verdict = F.struct(
+        F.col("_errors").alias("errors"),
+        valid.alias("valid"),
+        F.when(valid, _trade()).alias("trade"),
     )
+    return judged.select(*df.columns, F.inline(F.array(verdict)))
 
 
 def assert_contract(df: DataFrame, payload: str = "raw_payload") -> DataFrame:

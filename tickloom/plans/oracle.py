@@ -218,7 +218,7 @@ ORACLE: dict[str, str] = {
     + """SELECT "partition", "offset", text = '' AS valid, text AS errors,
     CASE WHEN text = '' THEN upper(symbol) END AS symbol,
     CASE WHEN text = '' THEN event_ts END AS event_time
-    FROM (SELECT *, array_to_string(errors, '; ') AS text FROM judged)""",
+    FROM (SELECT *, coalesce(array_to_string(errors, '; '), '') AS text FROM judged)""",
     "contract_error_counts": TAPE
     + CONTRACT
     + """SELECT error, count(*) AS violations

@@ -48,7 +48,17 @@ def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataF
     if stream:
         # As a pattern the path may be one file or a folder; a plain file is no stream source.
         return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), "event_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that comes in fewer splits than there are cores.
+
+    Writing and parsing JSON costs far more than the scan. A table of many splits, the
+    normal case on a cluster, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _pick(values, index: str):
