@@ -151,7 +151,7 @@ def test_graph_continues_after_a_stop_and_splits_the_rows(session):
         "bar_messages": 1,
     }
     assert graph.table("bar_messages").first().key == "AAPL|2024-01-01 00:00:00"
-    assert graph.table("silver").drop("event_date").columns == schemas.SILVER.fieldNames()
+    assert graph.table("silver").drop(schemas.EVENT_DATE).columns == schemas.SILVER.fieldNames()
     assert graph.table("anomalies").columns == schemas.ANOMALY.fieldNames()
 
 

@@ -7,6 +7,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.schemas import EVENT_DATE
+
 WHOLE = "decimal(38,0)"
 MONEY = "decimal(18,4)"
 
@@ -80,12 +82,15 @@ def minute_vwap(
 
     An unaligned cutoff recomputes its first minute from a part of that minute's
     trades, and a later upsert would replace the full total by the partial one; by
-    default the cutoff is therefore moved back to the start of its minute.
+    default the cutoff is therefore moved back to the start of its minute. A table that
+    is partitioned by event date is read from the cutoff's date on.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     cutoff = as_of - F.expr(f"INTERVAL {lookback // timedelta(microseconds=1)} MICROSECONDS")
     if align_cutoff:
         cutoff = F.date_trunc("minute", cutoff)
+    if EVENT_DATE in silver.columns:
+        silver = silver.filter(F.col(EVENT_DATE) >= F.to_date(cutoff))
     start = F.date_trunc("minute", "event_ts")
     totals = (
         silver.filter(F.col("event_ts") >= cutoff)

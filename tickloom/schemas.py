@@ -164,6 +164,14 @@ WAREHOUSE_WINDOWS = _layout(
     loaded_at=WALL_CLOCK,
 )
 
+# Partition column of stored trades, so that a time range prunes folders.
+EVENT_DATE = "event_date"
+
+
+def dated(layout: T.StructType) -> T.StructType:
+    return T.StructType(layout.fields + [T.StructField(EVENT_DATE, T.DateType())])
+
+
 # Reference price per symbol.
 REFERENCE_PRICES = {
     "AAPL": 210.0,

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
+# Ids are remembered for ever in exact dedup, so state is kept in RocksDB by default; it
+# ships change logs rather than whole snapshots to the checkpoint.
 ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Day truncation, JSON times and aggregate keys are all defined in UTC.
@@ -18,11 +20,8 @@ BATCH_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Ids are remembered for ever in exact dedup, so the state lives in RocksDB and
-# ships change logs rather than whole snapshots to the checkpoint.
 STREAM_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STORE,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
@@ -35,8 +34,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A sibling session with streaming settings.
+def stream_session(
+    spark: SparkSession,
+    state_partitions: int | None = None,
+    state_store: str = ROCKSDB_STORE,
+) -> SparkSession:
+    """A sibling session with streaming settings; ``state_store`` names a provider class.
 
     The number of state partitions is fixed by the first run of a checkpoint; it
     defaults to the cores the cluster offers.
@@ -44,6 +47,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     session = spark.newSession()
     for name, value in STREAM_CONF.items():
         session.conf.set(name, value)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", state_store)
     session.conf.set(
         "spark.sql.shuffle.partitions",
         str(state_partitions or spark.sparkContext.defaultParallelism),

@@ -16,11 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas
 from tickloom.operators import anomalies, bars, bronze, payloads, silver
+from tickloom.schemas import EVENT_DATE, dated
 from tickloom.sources.envelopes import read_table
 from tickloom.streaming.sinks import AVAILABLE_NOW, write_stream
 
-EVENT_DATE = "event_date"
-SILVER_TABLE = T.StructType(schemas.SILVER.fields + [T.StructField(EVENT_DATE, T.DateType())])
 
 
 @dataclass(frozen=True)
@@ -55,7 +54,11 @@ def _anomalies(graph: TradeStreams, table: DataFrame) -> DataFrame:
 STEPS: Mapping[str, Step] = {
     "bronze": Step(None, lambda g, df: bronze.to_bronze(df), "bronze/raw_trades", schemas.BRONZE),
     "silver": Step(
-        "bronze", _silver, "silver/valid_trades", SILVER_TABLE, partition_by=(EVENT_DATE,)
+        "bronze",
+        _silver,
+        "silver/valid_trades",
+        dated(schemas.SILVER),
+        partition_by=(EVENT_DATE,),
     ),
     "dead_letters": Step(
         "bronze",

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom import schemas
 from tickloom.operators import warehouse
 from tickloom.operators.merge import absent_rows, latest_version
+from tickloom.schemas import EVENT_DATE, dated
 from tickloom.sources.envelopes import read_or_empty, read_table
 from tickloom.streaming.sinks import AVAILABLE_NOW, with_trigger
 
@@ -31,7 +32,13 @@ def _loads(schema: T.StructType) -> T.StructType:
 
 
 def latest_event(silver: DataFrame) -> Column:
-    """The newest event time of a table, for use as its "now"."""
+    """The newest event time of a table, for use as its "now".
+
+    Of a table partitioned by event date only the newest date is searched.
+    """
+    if EVENT_DATE in silver.columns:
+        newest = silver.agg(F.max(EVENT_DATE)).scalar()
+        silver = silver.filter(F.col(EVENT_DATE) == newest)
     return silver.agg(F.max("event_ts")).scalar()
 
 
@@ -55,7 +62,7 @@ class WarehouseIncrements:
         return f"{self.root.rstrip('/')}/gold_symbol_windows"
 
     def silver(self) -> DataFrame:
-        return self._silver_loads(self.spark).drop(LOAD)
+        return self._silver_loads(self.spark).drop(LOAD, EVENT_DATE)
 
     def windows(self) -> DataFrame:
         loads = read_or_empty(
@@ -88,7 +95,8 @@ class WarehouseIncrements:
                 ORDER,
                 incoming_rows=incoming.count(),
             )
-            self._write(fresh, f"{self.silver_uri}/{LOAD}={batch_id}")
+            fresh = fresh.withColumn(EVENT_DATE, F.to_date("event_ts"))
+            self._write(fresh, f"{self.silver_uri}/{LOAD}={batch_id}", EVENT_DATE)
         finally:
             incoming.unpersist()
         silver = self._silver_loads(spark).filter(F.col(LOAD) <= batch_id)
@@ -98,9 +106,10 @@ class WarehouseIncrements:
         )
 
     def _silver_loads(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.silver_uri, _loads(schemas.WAREHOUSE_SILVER))
+        return read_or_empty(spark, self.silver_uri, _loads(dated(schemas.WAREHOUSE_SILVER)))
 
     @staticmethod
-    def _write(rows: DataFrame, uri: str) -> None:
+    def _write(rows: DataFrame, uri: str, *partition_by: str) -> None:
         stamp = F.current_timestamp().cast("timestamp_ntz")
-        rows.withColumn("loaded_at", stamp).write.mode("overwrite").parquet(uri)
+        writer = rows.withColumn("loaded_at", stamp).write.mode("overwrite")
+        writer.partitionBy(*partition_by).parquet(uri)
