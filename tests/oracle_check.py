@@ -20,6 +20,16 @@ TABLES = (
 ).split()
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(value):
     if isinstance(value, bool) or value is None:
         return value
@@ -53,6 +63,10 @@ def differences(spark_df, connection, sql: str) -> list[str]:
     expected = _bag(names, result.fetchall())
     if sorted(names) != sorted(spark_df.columns):
         return [f"columns {sorted(spark_df.columns)} against {sorted(names)}"]
+    kinds = {column[0]: str(column[1]) for column in result.description}
+    other = {n: (k, kinds[n]) for n, k in spark_df.dtypes if TYPES.get(k) != kinds[n]}
+    if other:
+        return [f"types {other}"]
     actual = _bag(spark_df.columns, [tuple(row) for row in spark_df.collect()])
     found = []
     if sum(actual.values()) != sum(expected.values()):
