@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickloom import schemas
 from tickloom.operators import anomalies, bars, quality
 from tickloom.plans import stages
+from tickloom.plans.jobs import rewrite_daily
 from tickloom.session import shared_folder
 from tickloom.sources.event_tape import EVENTS, read_events
 from tickloom.sources.newest_files import newest_files
@@ -76,6 +77,16 @@ def test_layouts(spark):
     assert len(schemas.BRONZE) == 7 and len(schemas.SILVER) == 22 and len(schemas.ANOMALY) == 26
 
 
+def test_daily_table_is_replaced(spark):
+    silver, target = _silver_folder(spark), shared_folder(spark, "daily")
+    spark.range(3).write.parquet(target)
+    for _ in range(2):
+        rewrite_daily(spark, silver, target)
+    daily = spark.read.parquet(target)
+    assert daily.columns == schemas.DAILY.fieldNames()
+    assert daily.count() == 18
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

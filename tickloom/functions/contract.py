@@ -74,9 +74,15 @@ def _get(value: Column, kind: str) -> Column:
     return F.try_variant_get(value, "$", kind)
 
 
+def _trimmed(value: Column) -> Column:
+    """The text without white space around it; most texts have none and are only looked at."""
+    text = _get(value, "string")
+    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(edges.rlike("^[!-~]{2}$"), text).otherwise(F.trim(text, F.lit(BLANKS)))
+
+
 def _read_text(value: Column) -> Column:
-    trimmed = F.trim(_get(value, "string"), F.lit(BLANKS))
-    return F.when(_kind(value) == "STR", trimmed)
+    return F.when(_kind(value) == "STR", _trimmed(value))
 
 
 def _read_number(value: Column, pattern: str = NUMBER_TEXT) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The fields of each message in order.
 ANOMALY_FIELDS = (
     "trade_id",
     "symbol",

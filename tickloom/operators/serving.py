@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns shown for an anomaly, in order; the first one sorts.
 ANOMALY_DISPLAY = (
     "event_ts",
     "symbol",

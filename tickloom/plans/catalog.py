@@ -22,6 +22,7 @@ from tickloom.operators import (
     silver,
     warehouse,
 )
+from tickloom.plans.jobs import rewrite_daily
 from tickloom.plans.stages import (
     CUT,
     SYMBOLS,
@@ -206,10 +207,11 @@ def symbol_sessions(spark, sf_dir):
 
 @query
 def daily_symbol_rollup(spark, sf_dir):
-    """Rewrites the daily table from the silver table, then reads it."""
-    path = shared_folder(prepare(spark), "daily")
-    bars.daily(valid(spark, sf_dir)).write.mode("overwrite").parquet(path)
-    return settled(spark.read.schema(schemas.DAILY).parquet(path))
+    """Replaces the daily table from the silver table, then reads it."""
+    folder = shared_folder(prepare(spark), "daily")
+    valid(spark, sf_dir).select(*TRADE_COLUMNS).write.parquet(f"{folder}/silver")
+    rewrite_daily(spark, f"{folder}/silver", f"{folder}/daily")
+    return settled(spark.read.schema(schemas.DAILY).parquet(f"{folder}/daily"))
 
 
 # Messages
@@ -395,7 +397,7 @@ def output_presence(spark, sf_dir):
     folder = shared_folder(prepare(spark), "presence")
     paths = {name: f"{folder}/{name}" for name in ("silver", "daily", "unwritten")}
     valid(spark, sf_dir).select(*TRADE_COLUMNS).write.parquet(paths["silver"])
-    bars.daily(spark.read.parquet(paths["silver"])).write.parquet(paths["daily"])
+    rewrite_daily(spark, paths["silver"], paths["daily"])
     return quality.output_presence(spark, paths)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators import bars, bronze, silver
 from tickloom.session import prepare, shared_folder, stream_session
-from tickloom.sources.event_tape import read_events, to_envelopes
+from tickloom.sources.event_tape import event_splits, read_events, to_envelopes
 from tickloom.streaming.graph import TradeStreams
 
 # Every symbol of the tape after normalisation, so that pivots have a fixed layout.
@@ -47,8 +47,11 @@ def streams(spark: SparkSession, sf_dir: str, **settings) -> TradeStreams:
     """The stream graph over the events table, with fresh tables and checkpoints."""
     session = stream_session(prepare(spark))
     folder = shared_folder(spark, "streams")
-    envelopes = to_envelopes(read_events(session, sf_dir, stream=True))
-    return TradeStreams(session, envelopes, f"{folder}/tables", f"{folder}/checkpoints", **settings)
+    events = read_events(session, sf_dir, stream=True)
+    cores = spark.sparkContext.defaultParallelism
+    if event_splits(spark, sf_dir) < cores:
+        events = events.repartition(cores, "event_id")
+    return TradeStreams(session, to_envelopes(events), f"{folder}/tables", f"{folder}/checkpoints", **settings)
 
 
 def plain_times(df: DataFrame) -> DataFrame:

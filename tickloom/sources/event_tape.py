@@ -44,21 +44,29 @@ LISTINGS = (
 VENUES = ("NYSE", "NASDAQ", "IEX", "CBOE")
 
 
-def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    if stream:
-        # As a pattern the path may be one file or a folder; a plain file is no stream source.
-        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    return spread(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), "event_id")
+def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
 
+def event_splits(spark: SparkSession, sf_dir: str) -> int:
+    return _stored_events(spark, sf_dir).rdd.getNumPartitions()
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table that comes in fewer splits than there are cores.
 
-    Writing and parsing JSON costs far more than the scan. A table of many splits, the
-    normal case on a cluster, is left as it is.
+def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The events table.
+
+    Writing and parsing JSON costs far more than the scan, so a table that comes in
+    fewer splits than there are cores is spread over all of them. A table of many
+    splits, the normal case on a cluster, is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    if stream:
+        # As a pattern the path may be one file or a folder; a plain file is no stream source.
+        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    cores = spark.sparkContext.defaultParallelism
+    events = _stored_events(spark, sf_dir)
+    if event_splits(spark, sf_dir) < cores:
+        events = events.repartition(cores, "event_id")
+    return events
 
 
 def _pick(values, index: str):
