@@ -1,14 +1,16 @@
 """Newest files, presence, layouts, and the shape of the plans."""
 
 import os
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.operators import anomalies, bars, quality
 from tickloom.plans import stages
 from tickloom.plans.jobs import rewrite_daily
-from tickloom.session import shared_folder
+from tickloom.session import SHARED_DIR, shared_folder
 from tickloom.sources.event_tape import EVENTS, read_events
 from tickloom.sources.newest_files import newest_files
 
@@ -130,3 +132,25 @@ def test_no_python_workers(spark):
 
 def test_small_inputs_are_spread_over_the_cores(spark):
     assert read_events(spark, SF_DIR).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+class Session:
+    """The few attributes of a session that the shared folder depends on."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {SHARED_DIR: folder} if folder else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+
+def test_shared_folder_follows_the_session_setting():
+    cluster = Session("spark://host:7077", "s3a://bucket/checkpoints/")
+    assert shared_folder(cluster, "silver").startswith("s3a://bucket/checkpoints/silver-")
+
+
+def test_only_a_local_master_may_go_without_a_shared_folder():
+    with pytest.raises(ValueError, match=SHARED_DIR):
+        shared_folder(Session("spark://host:7077"), "silver")
+    first, second = (shared_folder(Session("local[2]"), "a") for _ in range(2))
+    assert first != second
+    assert os.path.dirname(first) == os.path.dirname(second)
+    assert os.path.isdir(os.path.dirname(first))

@@ -296,14 +296,15 @@ def warehouse_minute_vwap(spark, sf_dir):
 
 
 def _split_trades(spark, sf_dir):
-    """Warehouse trades delivered before the cut and those after it, repeats included."""
+    """A stored table of the trades delivered before the cut, and those after it with repeats."""
     envelopes = raw(spark, sf_dir)
     late = F.col("kafka_timestamp") >= F.lit(CUT).cast("timestamp")
     before, after = (
         warehouse.variant_silver(warehouse.to_variant(envelopes.filter(part)))
         for part in (~late, late)
     )
-    return silver.first_arrival(before, ("trade_id",), ORDER), after
+    current = silver.first_arrival(before, ("trade_id",), ORDER)
+    return stored(spark, current, "warehouse-current"), after
 
 
 @query

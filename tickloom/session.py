@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +56,11 @@ def stream_session(
     return session
 
 
+@cache
+def _temporary_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tickloom-{application}-")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
@@ -65,6 +71,5 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{SHARED_DIR} must name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set(SHARED_DIR, root)
+        root = _temporary_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
