@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm import language_id
 from tickloom.llm.frames import is_learned
 from tickloom.session import shared_folder
 
-# A document goes when it has no letter, or when its best language is less alike than this.
-MIN_LANGUAGE_SCORE = 0.05
+# A document goes when it has no letter, or when it is long enough to tell and unlike every language.
+TELLING_LETTERS = 200
+MIN_LANGUAGE_SCORE = 0.15
 
 
 def _own_columns(found: DataFrame) -> DataFrame:
@@ -21,7 +23,8 @@ def _own_columns(found: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language."""
     found = language_id.identify(docs, docs.where(is_learned("doc_id", 5, 0)))
-    return _own_columns(found.where((found["result.lang_pred"] != language_id.UNDEFINED) & (found["result.score"] >= MIN_LANGUAGE_SCORE)))
+    unlike = (F.col("result.score") < MIN_LANGUAGE_SCORE) & (F.col("result.n_letters") >= TELLING_LETTERS)
+    return _own_columns(found.where((F.col("result.lang_pred") != language_id.UNDEFINED) & ~unlike))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -147,7 +147,8 @@ def train(docs: DataFrame, text_col: str, lang_col: str, dimensions: int = DIMEN
 
 
 def identify(docs: DataFrame, learn: DataFrame, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Struct ``row`` (the document's columns), struct ``result``: lang_pred, score (the cosine, 0 to 1) and margin.
+    """Struct ``row`` (the document's columns), struct ``result``: lang_pred, score (the cosine, 0 to 1),
+    margin (to the next language) and n_letters.
 
     ``learn`` holds the texts with languages to learn from; null texts and null languages in it
     are passed over. A null text, one without a letter, and every text when nothing could be learned, is
@@ -163,11 +164,13 @@ def identify(docs: DataFrame, learn: DataFrame, text_col: str = "text", lang_col
         names, profile = shared.value
 
         def compare(data, bounds, rows):
-            preds, scores, margins = [], [], []
+            preds, scores, margins, sizes = [], [], [], []
             for part, own in _narrow(data, bounds):
                 grams, counts = gram_counts(part, own)
                 vectors = counts.astype(np.float32) @ gram_vectors(grams, dimensions).astype(np.float32)
-                letters = (counts[:, (grams != _SPACE).any(axis=1)].sum(axis=1) > 0) if len(grams) else np.zeros(len(own) - 1, bool)
+                # Each letter is the middle of one n-gram.
+                letters = counts[:, grams[:, GRAM // 2] != _SPACE].sum(axis=1)
+                sizes.append(letters)
                 norm = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
                 cosines = np.clip((vectors / norm) @ profile.T, 0.0, 1.0).astype(float)
                 for doc in range(len(own) - 1):
@@ -178,8 +181,8 @@ def identify(docs: DataFrame, learn: DataFrame, text_col: str = "text", lang_col
                     rest = np.delete(cosines[doc], best)
                     preds.append(names[best]), scores.append(cosines[doc][best])
                     margins.append(cosines[doc][best] - (rest.max() if len(rest) else 0.0))
-            return [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())]
+            return [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()), np.concatenate(sizes)]
 
         return compare
 
-    return map_texts(docs, text_col, "lang_pred STRING, score DOUBLE, margin DOUBLE", job, CHUNK_BYTES)
+    return map_texts(docs, text_col, "lang_pred STRING, score DOUBLE, margin DOUBLE, n_letters BIGINT", job, CHUNK_BYTES)

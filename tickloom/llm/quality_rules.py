@@ -32,7 +32,7 @@ FEATURES = ("length", "word_size", "symbols", "dup_lines", "repeats", "upper")
 
 # Standard deviation that each feature has at least, in transformed units. Most groups have
 # almost no spread in the last four features; without a floor any trace would be an outlier.
-SPREAD_FLOOR = (0.5, 0.12, 0.35, 0.25, 0.25, 0.25)
+SPREAD_FLOOR = (0.5, 0.12, 0.25, 0.6, 0.8, 0.25)
 SUPPORT = 0.75
 STEPS = 5
 MIN_GROUP = 60
