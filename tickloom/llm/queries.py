@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, language_id, licenses, quality_crf, quality_rules
+from tickloom.llm import decontamination, language_id, licenses, packing, quality_crf, quality_rules
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -54,6 +54,18 @@ def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as held:
+        return held.read()
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_json(), with_ids=False)
+
+
 QUERIES = {
     name: function
     for name, function in globals().items()
