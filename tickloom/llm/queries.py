@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, language_id, licenses, packing, quality_crf, quality_rules
+from tickloom.llm import decontamination, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -36,6 +36,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", (~is_learned("row.doc_id", 5, 0)).alias("held_out"), "result.lang_pred", "result.score")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs)
+    return found.select("row.doc_id", "result.n_bytes", "result.n_removed", "result.n_spans", F.sha2("result.kept", 256).alias("kept_sha256"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_later(docs)
+    return found.select("row.doc_id", "result.n_words", "result.n_removed", F.sha2(F.col("result.kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
