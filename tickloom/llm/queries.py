@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
+from tickloom.llm import decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -52,6 +52,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
