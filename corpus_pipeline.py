@@ -1,4 +1,4 @@
-"""A corpus pipeline over the documents table."""
+"""A corpus pipeline over the documents table: language, near duplicates, repeated text, benchmark, packing."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import language_id
-from tickloom.llm.frames import is_learned
+from tickloom.llm import decontamination, jaccard_join, language_id, packing, suffix_dedup
+from tickloom.llm.frames import is_learned, read_table
+from tickloom.llm.queries import tokenizer_json
 from tickloom.session import shared_folder
 
 # A document goes when it has no letter, or when it is long enough to tell and unlike every language.
@@ -16,19 +17,53 @@ TELLING_LETTERS = 200
 MIN_LANGUAGE_SCORE = 0.15
 
 
-def _own_columns(found: DataFrame) -> DataFrame:
-    return found.select("row.*")
-
-
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language."""
     found = language_id.identify(docs, docs.where(is_learned("doc_id", 5, 0)))
     unlike = (F.col("result.score") < MIN_LANGUAGE_SCORE) & (F.col("result.n_letters") >= TELLING_LETTERS)
-    return _own_columns(found.where((F.col("result.lang_pred") != language_id.UNDEFINED) & ~unlike))
+    return found.where((F.col("result.lang_pred") != language_id.UNDEFINED) & ~unlike).select("row.*")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates; one row if that id is repeated."""
+    found = jaccard_join.join_components(docs)
+    # Rows without shingles are in no group. A null id is the smallest of all.
+    leads = found.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("kept_id"), (F.col("n_shingles") == 0).alias("alone")
+    ).distinct()
+    numbered = docs.select(F.struct("*").alias("row"))
+    kept = numbered.join(leads, F.col("row.doc_id").eqNullSafe(F.col("kept_id")))
+    word = F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = kept.where(F.col("alone") != word)
+    single = kept.where(word).dropDuplicates(["kept_id"])
+    return single.unionByName(kept.where(~word)).select("row.*")
+
+
+def cut_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the text that also stands elsewhere."""
+    found = suffix_dedup.remove_repeats(docs, as_text=True)
+    names = [F.col("result.kept").alias("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns]
+    cut = found.select(*names)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth stands in the benchmark."""
+    found = decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.where(~decontamination.is_contaminated()).select("row.*")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences; see ``packing.pack``."""
+    return packing.pack(docs, tokenizer_json())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
+    ("jaccard_join", keep_one_of_each_group),
+    ("suffix_dedup", cut_repeated_text),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
 ]
 
 # Language profiles and packing cannot be expressed in SQL; the tests compare with brute force.

@@ -163,17 +163,19 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return whole.unionByName(usual.withColumn("kind", F.lit("repeat")).select(*columns)).unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, max_bucket: int = repeats.MAX_BUCKET, as_text: bool = False) -> DataFrame:
     """Cut every byte that lies in a string of ``window`` bytes that also starts anywhere else.
 
     Struct ``row`` (the document's columns), struct ``result``: n_bytes, n_removed, n_spans (maximal
-    removed runs), kept (the remaining bytes). Strings are judged on the input and never cross
+    removed runs), kept (the remaining bytes; with ``as_text`` a string, without characters of
+    which only a part remains). Strings are judged on the input and never cross
     documents; all occurrences go, the first one too. A null text is empty. Every row comes back
     once; rows of equal id and text repeat each other like any two documents.
     """
     groups = repeat_groups(docs, id_col, text_col, window, gram, max_bucket)
     spans = repeats.spans_by_document([groups.select("doc", "code", F.col("start").alias("lo"), (F.col("start") + F.col("length")).alias("hi"))])
-    return cut_spans(docs, spans, id_col, text_col, _cut_bytes, "n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept BINARY")
+    schema = f"n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept {'STRING' if as_text else 'BINARY'}"
+    return cut_spans(docs, spans, id_col, text_col, _cut_text if as_text else _cut_bytes, schema)
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, one, schema: str) -> DataFrame:
@@ -195,3 +197,8 @@ def _cut_bytes(data, bounds, spans):
     kept = np.concatenate([[0], np.cumsum(~gone)])[bounds]
     held = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(kept.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[~gone]))])
     return [np.diff(bounds), arrays.sums(gone, bounds), arrays.sums(edge, bounds), held.cast(pa.binary())]
+
+
+def _cut_text(data, bounds, spans):
+    *counts, kept = _cut_bytes(data, bounds, spans)
+    return [*counts, pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())]
