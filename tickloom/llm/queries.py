@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
+from tickloom.llm import context_mixing, decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -48,6 +48,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "result.n_words", "result.n_removed", F.sha2(F.col("result.kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = context_mixing.score(docs, docs.where(is_learned("doc_id", 10, 0)))
+    return found.select(
+        "row.doc_id", (~is_learned("row.doc_id", 10, 0)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 

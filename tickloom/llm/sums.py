@@ -16,7 +16,7 @@ BLOCK = 1 << 14
 def count_table(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndarray], None], size: int, label: str) -> DataFrame:
     """Stored table (block, counts): an int64 table of ``size`` slots, summed over all tasks.
 
-    ``fill(batches, table)`` adds a task's rows to its own table. Blocks without counts are left
+    ``fill(batches, table)`` adds a task's rows to its own table (sums wrap, so negative ones come out right). Blocks without counts are left
     out; blocks of one number are added up one after another, so memory does not grow with
     the number of tasks.
     """
@@ -29,7 +29,7 @@ def count_table(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndar
             for at in range(first, min(first + BLOCK * 16, size), BLOCK):
                 part = table[at : at + BLOCK]
                 if part.any():
-                    kind = np.uint32 if int(part.max()) < 1 << 32 else np.uint64
+                    kind = np.uint32 if part.min() >= 0 and int(part.max()) < 1 << 32 else np.uint64
                     numbers.append(at // BLOCK), packed.append(part.astype(kind).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.binary())], ["block", "counts"])
 
