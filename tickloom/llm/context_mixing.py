@@ -29,14 +29,19 @@ from tickloom.llm.sums import count_table, read_counts
 
 ORDERS = 6  # contexts of 0, 1, ... 5 bytes
 END = 0xFF  # no byte of UTF-8
-TABLE_BITS = 20
+TABLE_BITS = 22
 CHUNK_BYTES = 1 << 21
+LEARN_BYTES = 1 << 20
+DIRECT = 256 + (1 << 16)
 PRIOR = 0.2
-GATES = ORDERS * 8
+# Sets of weights: longest seen context, how often it was seen, number of the bit.
+SEEN_STEPS = np.array([1, 2, 4, 16, 64], np.float32)
+GATES = ORDERS * len(SEEN_STEPS) * 8
 STEPS = 33  # of the adaptive map, over log odds from -LIMIT to LIMIT
 LIMIT = 12.0
 FLOOR = 2.0**-16
-FIXED = 1 << 20  # weights are added up as whole numbers of this part
+# Weights are added up as whole numbers: (weight + SHIFT) * FIXED.
+FIXED, SHIFT = 1 << 16, 64
 
 # The most frequent words are held by every task; all others are looked up by a join.
 HELD_WORDS = 1 << 19
@@ -46,13 +51,16 @@ _END_WORD = np.uint64(0x454E44)
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each part of the model stands in one table of whole numbers."""
+    """Where each part of the model stands in one table of whole numbers; a slot counts zeros, then ones.
+
+    Contexts of no and one byte have slots of their own, all longer ones share a hashed table.
+    """
 
     bits: int = TABLE_BITS
 
     @property
     def slots(self) -> int:
-        return 256 + (1 << 16) + (ORDERS - 2 << self.bits)
+        return DIRECT + (1 << self.bits)
 
     @property
     def refine(self) -> int:
@@ -66,11 +74,18 @@ class Layout:
     def size(self) -> int:
         return self.weights + GATES * ORDERS + 1
 
+    def contexts(self, keys: np.ndarray) -> list[np.ndarray]:
+        """What stands for the context of each order: its byte, or a hash."""
+        held = [((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) for order in range(ORDERS)]
+        return [(c << np.uint64(8)).astype(np.int64) + 256 if n == 1 else arrays.mix(c + (np.uint64(n) << np.uint64(52))) if n else c for n, c in enumerate(held)]
+
     def slot(self, order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-        if order < 2:
-            return node + (256 + (context << 8) if order else 0)
-        code = arrays.mix((context.astype(np.uint64) << np.uint64(8)) + node.astype(np.uint64) + (np.uint64(order) << np.uint64(52)))
-        return (code >> np.uint64(64 - self.bits)).astype(np.int64) + 256 + (1 << 16) + (order - 2 << self.bits)
+        if order == 0:
+            return node
+        if order == 1:
+            return context + node
+        code = (context + node.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return (code >> np.uint64(64 - self.bits)).astype(np.int64) + DIRECT
 
 
 def decisions(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,18 +105,31 @@ def decisions(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[place], at
 
 
-def _predictions(layout: Layout, keys: np.ndarray, stretch, seen):
-    """For each of the eight bits: node, bit, slots by order, log odds by order, gate."""
+def _predictions(layout: Layout, keys: np.ndarray, look_up):
+    """For each of the eight bits: node, bit, slots by order, log odds by order, gate.
+
+    ``look_up(slots)`` gives the log odds of slots (0 where nothing was seen) and the step of how often they were seen.
+    """
     symbol = (keys & np.uint64(0xFF)).astype(np.int64)
-    contexts = [((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)).astype(np.int64) for order in range(ORDERS)]
+    contexts = layout.contexts(keys)
     for number in range(8):
         node = (1 << number) | (symbol >> (8 - number))
         bit = (symbol >> (7 - number)) & 1
-        slots = np.stack([layout.slot(order, contexts[order], node) for order in range(ORDERS)])
-        known = seen(slots)
-        longest = ORDERS - 1 - np.argmax(known[::-1], axis=0)
-        longest = np.where(known.any(axis=0), longest, 0)
-        yield node, bit, slots, np.where(known, stretch(slots), 0.0), longest * 8 + number
+        slots, inputs = [], []
+        gate = np.zeros(len(keys), np.int64)
+        for order in range(ORDERS):
+            slots.append(layout.slot(order, contexts[order], node))
+            odds, often = look_up(slots[-1])
+            inputs.append(odds)
+            gate = np.where(often > 0, order * len(SEEN_STEPS) - 1 + often.astype(np.int64), gate)
+        yield node, bit, slots, inputs, gate * 8 + number
+
+
+def _mixed(weights: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
+    total = weights[0][gate] * inputs[0]
+    for order in range(1, ORDERS):
+        total += weights[order][gate] * inputs[order]
+    return total
 
 
 def _sigmoid(x):
@@ -109,43 +137,51 @@ def _sigmoid(x):
 
 
 def _step(total: np.ndarray) -> np.ndarray:
-    return (np.clip(total, -LIMIT, LIMIT) + LIMIT) * ((STEPS - 1) / (2 * LIMIT))
+    return (np.clip(total, -LIMIT, LIMIT) + LIMIT) * np.float32((STEPS - 1) / (2 * LIMIT))
+
+
+def _odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    total = zeros + ones
+    return np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))), np.searchsorted(SEEN_STEPS, total, "right")
 
 
 def learn_into(layout: Layout):
     """Fill function for ``count_table``: online training over a task's texts."""
 
     def fill(batches, table):
-        zeros, ones = table[: layout.slots], table[layout.slots : 2 * layout.slots]
-        refine = table[layout.refine : layout.weights].reshape(2, 256, STEPS)
-        weights = np.full((ORDERS, GATES), 0.3)
-        stretch = lambda s: np.log((ones[s] + PRIOR) / (zeros[s] + PRIOR))
-        seen = lambda s: (zeros[s] + ones[s]) > 0
+        counts = table[: layout.refine]
+        both = counts.view(np.uint64)  # a slot's two counts in one number
+        refine = np.zeros((2, 256 * STEPS), np.int64)
+        weights = np.full((ORDERS, GATES), 0.3, np.float32)
+
+        def look_up(slots):
+            held = both[slots]
+            return _odds((held & np.uint64(0xFFFFFFFF)).astype(np.float32), (held >> np.uint64(32)).astype(np.float32))
+
         trained = False
         for batch in batches:
-            for _, _, data, bounds in arrays.row_chunks(batch.column(0), CHUNK_BYTES):
+            for _, _, data, bounds in arrays.row_chunks(batch.column(0), LEARN_BYTES):
                 keys, times = np.unique(decisions(data, bounds)[0], return_counts=True)
-                updates = []
-                for node, bit, slots, inputs, gate in _predictions(layout, keys, stretch, seen):
-                    total = (weights[:, gate] * inputs).sum(axis=0)
+                updates, times32 = [], times.astype(np.uint32)
+                for node, bit, slots, inputs, gate in _predictions(layout, keys, look_up):
                     if trained:
-                        near = np.rint(_step(total)).astype(np.int64)
+                        total = _mixed(weights, gate, inputs)
+                        near = node * STEPS + np.rint(_step(total)).astype(np.int64)
                         for value in (0, 1):
-                            own = bit == value
-                            np.add.at(refine[value], (node[own], near[own]), times[own])
-                        error, spread = (bit - _sigmoid(total)) * times, np.maximum(_sigmoid(total) * _sigmoid(-total), 1e-3) * times
+                            refine[value] += np.bincount(near, times * (bit == value), 256 * STEPS).astype(np.int64)
+                        chance = _sigmoid(total)
+                        error, spread = (bit - chance) * times, np.maximum(chance * (1 - chance), 1e-3) * times
                         for order in range(ORDERS):
                             slope = np.bincount(gate, error * inputs[order], GATES)
                             bend = np.bincount(gate, spread * inputs[order] ** 2, GATES)
-                            weights[order] += 0.5 / ORDERS * slope / (bend + 50.0)
-                    updates.append((slots, bit))
-                for slots, bit in updates:
-                    for own, counts in ((bit == 0, zeros), (bit == 1, ones)):
-                        for order in range(ORDERS):
-                            np.add.at(counts, slots[order][own], times[own])
+                            weights[order] += (1.0 / ORDERS * slope / (bend + 50.0)).astype(np.float32)
+                    updates += [2 * slot + bit for slot in slots]
+                for at in updates:
+                    np.add.at(counts, at, times32)
                 trained = True
         if trained:
-            table[layout.weights : layout.size - 1] = np.rint(weights * FIXED).astype(np.int64).ravel()
+            table[layout.refine : layout.weights] = refine.ravel()
+            table[layout.weights : layout.size - 1] = np.rint((np.clip(weights, -SHIFT, SHIFT).astype(float) + SHIFT) * FIXED).ravel()
             table[layout.size - 1] = 1
 
     return fill
@@ -153,39 +189,40 @@ def learn_into(layout: Layout):
 
 @dataclass(frozen=True)
 class Mixer:
-    """A trained model: log odds and presence by slot, weights, adaptive map."""
+    """A trained model: log odds and how often seen by slot, weights, adaptive map."""
 
     layout: Layout
-    stretch: np.ndarray
-    seen: np.ndarray
+    packed: np.ndarray  # log odds in parts of 128, times 8, plus the step of how often the slot was seen
     weights: np.ndarray
     refine: np.ndarray
 
     @classmethod
     def of(cls, layout: Layout, table: np.ndarray) -> Mixer:
-        zeros, ones = table[: layout.slots].astype(float), table[layout.slots : 2 * layout.slots].astype(float)
+        pairs = table[: layout.refine].reshape(-1, 2)
+        odds, often = _odds(pairs[:, 0].astype(np.float32), pairs[:, 1].astype(np.float32))
+        packed = (np.rint(np.clip(odds, -24, 24) * 128).astype(np.int16) * 8 + often).astype(np.int16)
         counts = table[layout.refine : layout.weights].reshape(2, 256, STEPS).astype(float)
-        tasks = max(int(table[layout.size - 1]), 1)
-        held = table[layout.weights : layout.size - 1].view(np.int64).reshape(ORDERS, GATES)
+        tasks = int(table[layout.size - 1])
+        held = table[layout.weights : layout.size - 1].astype(float).reshape(ORDERS, GATES)
+        weights = held / (FIXED * tasks) - SHIFT if tasks else np.full((ORDERS, GATES), 0.3)
         centre = _sigmoid(np.linspace(-LIMIT, LIMIT, STEPS))
-        weights = held / (FIXED * tasks) if int(table[layout.size - 1]) else np.full((ORDERS, GATES), 0.3)
-        return cls(
-            layout,
-            np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32),
-            (zeros + ones) > 0,
-            weights,
-            (counts[1] + 20 * centre) / (counts.sum(axis=0) + 20),
-        )
+        refine = (counts[1] + 20 * centre) / (counts.sum(axis=0) + 20)
+        return cls(layout, packed, weights.astype(np.float32), refine.astype(np.float32).ravel())
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """Probability of each symbol after its context, as a logarithm."""
         found = np.zeros(len(keys))
-        for node, bit, _, inputs, gate in _predictions(self.layout, keys, self.stretch.__getitem__, self.seen.__getitem__):
-            total = (self.weights[:, gate] * inputs).sum(axis=0)
+
+        def look_up(slots):
+            held = self.packed[slots]
+            return (held >> 3).astype(np.float32) * np.float32(1 / 128), held & 7
+
+        for node, bit, _, inputs, gate in _predictions(self.layout, keys, look_up):
+            total = _mixed(self.weights, gate, inputs)
             step = _step(total)
             low = np.minimum(step.astype(np.int64), STEPS - 2)
-            part = step - low
-            refined = (1 - part) * self.refine[node, low] + part * self.refine[node, low + 1]
+            part, at = step - low, node * STEPS + low
+            refined = (1 - part) * self.refine[at] + part * self.refine[at + 1]
             one = np.clip((_sigmoid(total) + refined) / 2, FLOOR, 1 - FLOOR)
             found += np.log10(np.where(bit == 1, one, 1 - one))
         return found

@@ -67,7 +67,7 @@ def shingle_frequencies(texts: DataFrame) -> np.ndarray:
     def fill(batches, table):
         for batch in batches:
             for _, _, data, bounds in arrays.row_chunks(batch.column(0)):
-                table += np.bincount(_slots(shingle_sets(data, bounds)[0]), minlength=FREQUENCY_SLOTS)
+                table += np.bincount(_slots(shingle_sets(data, bounds)[0]), minlength=FREQUENCY_SLOTS).astype(np.uint32)
 
     counts = count_table(texts.select("text"), fill, FREQUENCY_SLOTS, "shingle-frequencies")
     return np.minimum(read_counts(counts, FREQUENCY_SLOTS), 0xFFFFFFFF).astype(np.uint32)

@@ -14,31 +14,29 @@ BLOCK = 1 << 14
 
 
 def count_table(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.ndarray], None], size: int, label: str) -> DataFrame:
-    """Stored table (block, counts): an int64 table of ``size`` slots, summed over all tasks.
+    """Stored table (block, counts): a table of ``size`` counts, summed over all tasks.
 
-    ``fill(batches, table)`` adds a task's rows to its own table (sums wrap, so negative ones come out right). Blocks without counts are left
+    ``fill(batches, table)`` adds a task's rows to its own table of 32-bit counts; the sums have 64 bits. Blocks without counts are left
     out; blocks of one number are added up one after another, so memory does not grow with
     the number of tasks.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(size, np.int64)
+        table = np.zeros(size, np.uint32)
         fill(batches, table)
         for first in range(0, size, BLOCK * 16):
             numbers, packed = [], []
             for at in range(first, min(first + BLOCK * 16, size), BLOCK):
                 part = table[at : at + BLOCK]
                 if part.any():
-                    kind = np.uint32 if part.min() >= 0 and int(part.max()) < 1 << 32 else np.uint64
-                    numbers.append(at // BLOCK), packed.append(part.astype(kind).tobytes())
+                    numbers.append(at // BLOCK), packed.append(part.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.binary())], ["block", "counts"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, None
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                width = min(BLOCK, size - number * BLOCK)
-                values = np.frombuffer(packed, np.uint32 if len(packed) == 4 * width else np.uint64).astype(np.uint64)
+                values = np.frombuffer(packed, np.uint32).astype(np.uint64)
                 if number == current:
                     held += values
                     continue
