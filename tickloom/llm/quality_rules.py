@@ -161,16 +161,40 @@ def _models(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
     return moments.mapInPandas(fit, schema)
 
 
+def _marginal_start(points: DataFrame) -> DataFrame:
+    """group, n_group, centre (medians) and whiten (from quartile ranges), of features in steps of 1 / BINS_PER_UNIT."""
+    listed = F.array(*[F.floor(F.col(f"x.{name}") * BINS_PER_UNIT).alias(name) for name in FEATURES])
+    bins = points.select("group", F.posexplode(listed).alias("feature", "bin")).groupBy("group", "feature", "bin").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("group", "feature")
+    upto = F.sum("n").over(whole.orderBy("bin"))
+    ranked = bins.withColumn("upto", upto).withColumn("n_group", F.sum("n").over(whole))
+    quantile = lambda share: F.min(F.when(F.col("upto") >= share * F.col("n_group"), F.col("bin"))) / BINS_PER_UNIT
+    by_feature = ranked.groupBy("group", "feature").agg(
+        F.max("n_group").alias("n_group"), quantile(0.5).alias("middle"), ((quantile(0.75) - quantile(0.25)) / 1.349).alias("spread")
+    )
+    floor = F.array(*[F.lit(f) for f in SPREAD_FLOOR])
+    scale = 1 / F.sqrt(F.col("spread") * F.col("spread") + floor[F.col("feature")] * floor[F.col("feature")])
+    size = len(FEATURES)
+    return (
+        by_feature.groupBy("group")
+        .agg(F.max("n_group").alias("n_group"), F.sort_array(F.collect_list(F.struct("feature", "middle", scale.alias("scale")))).alias("m"))
+        .select(
+            "group",
+            "n_group",
+            F.col("m.middle").alias("centre"),
+            F.array(*[F.col("m.scale")[r] if r == c else F.lit(0.0) for r in range(size) for c in range(size)]).alias("whiten"),
+        )
+    )
+
+
 def fit_mcd(points: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """MCD estimate of each value of ``group`` in ``points(group, x)``: one row (group, n_group, centre, whiten).
 
-    The start is the whole group; each step keeps the nearest ``support`` of it. A diagonal floor
-    keeps the scatter regular when most of the group lies in a plane.
+    The start is the median and the quartile range of each feature by itself, which a minority of outliers
+    cannot move far; each step keeps the nearest ``support`` of the group. A diagonal floor keeps
+    the scatter regular when most of the group lies in a plane.
     """
-    # The start: each feature by itself, so that a cloud of outliers cannot hide behind its own tilt.
-    moments = points.groupBy("group").agg(*_moments())
-    counts = moments.select("group", F.col("n").alias("n_group"))
-    models = stored(_models(moments, ["group"], 1.0), "mcd").join(counts, "group")
+    models = stored(_marginal_start(points), "mcd")
     nearest = Window.partitionBy("group").orderBy("bin")
     for step in range(steps):
         distance = F.log2(_squared_distance() + 1e-9)
