@@ -4,32 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.silver import first_arrival
 
-# Keys of an increment up to this count are broadcast; a larger one is joined by shuffle.
-BROADCAST_KEYS = 500_000
-
-
 def absent_rows(
-    current: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    incoming_rows: int | None = None,
+    current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Rows of ``incoming`` to append: one per key, the earliest, if ``current`` lacks the key.
 
-    Repeats inside the increment are removed first. With a known, small row count the
-    increment's keys travel to the current table instead of the table's keys being
-    shuffled to the increment.
+    Repeats inside the increment are removed first. Only the keys of the increment that the
+    table has are looked for in it, so the planner may send a small increment to the
+    table instead of shuffling the table; which way is taken follows from its statistics.
     """
     arrivals = first_arrival(incoming, keys, order)
-    known = current.select(*keys)
-    if incoming_rows is not None and incoming_rows <= BROADCAST_KEYS:
-        known = F.broadcast(known.join(F.broadcast(arrivals.select(*keys)), [*keys], "left_semi"))
+    known = current.select(*keys).join(arrivals.select(*keys), [*keys], "left_semi").distinct()
     return arrivals.join(known, [*keys], "left_anti")
 
 
@@ -38,10 +28,9 @@ def insert_absent(
     incoming: DataFrame,
     keys: Sequence[str] = ("trade_id",),
     order: Sequence[str] = ("source_offset",),
-    incoming_rows: int | None = None,
 ) -> DataFrame:
     """``current`` with the absent rows added; existing rows stay as they are."""
-    fresh = absent_rows(current, incoming, keys, order, incoming_rows)
+    fresh = absent_rows(current, incoming, keys, order)
     return current.unionByName(fresh.select(*current.columns))
 
 
@@ -52,18 +41,18 @@ def upsert(
 ) -> DataFrame:
     """``incoming`` (unique by key) plus the rows of ``current`` it does not replace.
 
-    Only the keys of the increment meet the current table, so a small increment is
-    broadcast by its statistics and the table is not shuffled.
+    Both sides meet in one aggregate that keeps the newer row of each key, so each side is
+    computed once.
     """
-    kept = current.join(incoming.select(*keys), [*keys], "left_anti")
-    return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
+    columns = current.columns
+    both = current.withColumn("_version", F.lit(0)).unionByName(
+        incoming.select(*columns).withColumn("_version", F.lit(1))
+    )
+    return latest_version(both, keys, "_version").select(*columns)
 
 
 def latest_version(versions: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Current view of an append-only table of row versions: the newest row per key."""
-    newest_first = Window.partitionBy(*keys).orderBy(F.desc(version))
-    return (
-        versions.withColumn("_place", F.row_number().over(newest_first))
-        .filter("_place = 1")
-        .drop("_place", version)
-    )
+    columns = [name for name in versions.columns if name != version]
+    newest = F.max_by(F.struct(*columns), version)
+    return versions.groupBy(*keys).agg(newest.alias("_row")).select("_row.*")

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.schemas import EVENT_DATE
+from tickloom.schemas import EVENT_DATE, VARIANT_REJECTS
 
 WHOLE = "decimal(38,0)"
 MONEY = "decimal(18,4)"
@@ -22,12 +22,21 @@ def to_variant(bronze: DataFrame) -> DataFrame:
     )
 
 
-def variant_silver(variants: DataFrame) -> DataFrame:
-    """Typed trades that pass the warehouse checks, with exact decimal prices.
+# Checks in order: reason, and what must hold. The last one refuses trades whose value no
+# column can hold, so that a quantity never counts without its notional.
+CHECKS = (
+    ("MISSING_TRADE_ID", "trade_id IS NOT NULL"),
+    ("MISSING_SYMBOL", "symbol IS NOT NULL"),
+    ("INVALID_SIDE", "side IN ('BUY', 'SELL')"),
+    ("INVALID_QUANTITY", "quantity > 0"),
+    ("INVALID_PRICE", "whole_price > 0"),
+    ("INVALID_EVENT_TIME", "event_ts IS NOT NULL"),
+    ("NOTIONAL_OUT_OF_RANGE", "notional IS NOT NULL"),
+)
 
-    Numbers are rounded to their column's scale, and the positive-price check looks
-    at the price as a whole number, so a price below one half is refused.
-    """
+
+def _checked_variants(variants: DataFrame) -> DataFrame:
+    """The variants, the typed trade and ``error_reason``: the first check that does not hold."""
 
     def content(field: str, kind: str) -> Column:
         return F.try_variant_get("record_content", f"$.{field}", kind)
@@ -47,31 +56,41 @@ def variant_silver(variants: DataFrame) -> DataFrame:
         content("sequence", WHOLE).alias("sequence"),
         offset.alias("source_offset"),
     )
-    passing = (
-        "trade_id IS NOT NULL AND symbol IS NOT NULL AND side IN ('BUY', 'SELL') "
-        "AND quantity > 0 AND whole_price > 0 AND event_ts IS NOT NULL"
-    )
-    notional = (F.col("quantity") * F.col("price")).try_cast(MONEY)
-    return (
-        variants.select(F.inline(F.array(typed)))
-        .filter(passing)
-        .select(
-            "trade_id",
-            "symbol",
-            "side",
-            "quantity",
-            "price",
-            notional.alias("notional"),
-            "event_ts",
-            "ingest_ts",
-            "exchange",
-            "trader_id",
-            "sequence",
-            "source_offset",
-        )
+    notional = F.try_multiply(F.col("quantity"), F.col("price")).try_cast(MONEY)
+    reason = F.coalesce(*[F.when(~F.coalesce(F.expr(rule), F.lit(False)), F.lit(name)) for name, rule in CHECKS])
+    opened = variants.select("*", F.inline(F.array(typed)))
+    return opened.withColumn("notional", notional).withColumn("error_reason", reason)
+
+
+def variant_silver(variants: DataFrame) -> DataFrame:
+    """Typed trades that pass the warehouse checks, with exact decimal prices.
+
+    Numbers are rounded to their column's scale, and the positive-price check looks
+    at the price as a whole number, so a price below one half is refused. A trade whose
+    notional does not fit its column is refused too; see :func:`variant_rejects`.
+    """
+    return _checked_variants(variants).filter(F.col("error_reason").isNull()).select(
+        "trade_id",
+        "symbol",
+        "side",
+        "quantity",
+        "price",
+        "notional",
+        "event_ts",
+        "ingest_ts",
+        "exchange",
+        "trader_id",
+        "sequence",
+        "source_offset",
     )
 
 
+def variant_rejects(variants: DataFrame) -> DataFrame:
+    """The records that :func:`variant_silver` refuses, as they came, with the first reason."""
+    columns = VARIANT_REJECTS.fieldNames()
+    return _checked_variants(variants).filter(F.col("error_reason").isNotNull()).select(*columns)
+
+
 def minute_vwap(
     silver: DataFrame,
     as_of: Column | None = None,
@@ -83,7 +102,7 @@ def minute_vwap(
     An unaligned cutoff recomputes its first minute from a part of that minute's
     trades, and a later upsert would replace the full total by the partial one; by
     default the cutoff is therefore moved back to the start of its minute. A table that
-    is partitioned by event date is read from the cutoff's date on.
+    is partitioned by event date is read from the cutoff's date on. A total beyond its column is null.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     cutoff = as_of - F.expr(f"INTERVAL {lookback // timedelta(microseconds=1)} MICROSECONDS")
@@ -97,13 +116,13 @@ def minute_vwap(
         .groupBy(start.alias("window_start"), "symbol")
         .agg(
             F.count("*").alias("trade_count"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum("notional").alias("total_notional"),
+            F.try_sum("quantity").alias("total_quantity"),
+            F.try_sum("notional").alias("total_notional"),
         )
     )
     # Ten fractional digits in the quotient, then rounded to the column's four.
     quotient = F.try_divide(
-        F.col("total_notional").cast("decimal(38,10)"), F.col("total_quantity").cast(WHOLE)
+        F.col("total_notional").try_cast("decimal(38,10)"), F.col("total_quantity").cast(WHOLE)
     )
     return totals.select(
         "window_start",

@@ -11,6 +11,9 @@ INSTANT, WALL_CLOCK = T.TimestampType(), T.TimestampNTZType()
 WHOLE, MONEY = T.DecimalType(38, 0), T.DecimalType(18, 4)
 
 
+# Names, types and order of all record layouts below.
+
+
 def _layout(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
@@ -115,7 +118,7 @@ VARIANT_BRONZE = _layout(
     kafka_received_at=WALL_CLOCK,
 )
 
-# Layout of rejected records in the warehouse; declared for producers, no job fills it.
+# Records that the warehouse refuses, with the reason.
 VARIANT_REJECTS = _layout(
     record_content=VARIANT,
     record_metadata=VARIANT,

@@ -1,9 +1,11 @@
 """Warehouse increments: new bronze variants into decimal silver, then into minute bars.
 
-Both targets are folders of append-only loads, one per micro-batch. A batch that is
-run again after a failure overwrites its own load and reads only earlier ones, so the
-result is the same. Readers see the merged table: silver loads never share an id, and
-of the minute bars the newest load wins.
+Both targets are folders of append-only loads, one per micro-batch, named by the query's
+persistent id and the batch number. A batch that is run again after a failure overwrites its
+own load and compares with all others, so the result is the same, and a new checkpoint over
+a filled table (whose batch numbers begin at 0 again) neither replaces nor repeats what is there.
+Readers see the merged table: silver loads never share an id, and of the minute bars the
+largest version wins. Versions grow with the table, not with the checkpoint.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +26,13 @@ from tickloom.schemas import EVENT_DATE, dated
 from tickloom.sources.envelopes import read_or_empty, read_table
 from tickloom.streaming.sinks import AVAILABLE_NOW, with_trigger
 
-LOAD = "load_batch"
+LOAD = "load"
+VERSION = "version"
 ORDER = ("source_offset", "event_ts")
 
 
-def _loads(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(LOAD, T.LongType())])
+def _loads(schema: T.StructType, *more: T.StructField) -> T.StructType:
+    return T.StructType([*schema.fields, *more, T.StructField(LOAD, T.StringType())])
 
 
 def latest_event(silver: DataFrame) -> Column:
@@ -61,21 +65,30 @@ class WarehouseIncrements:
     def windows_uri(self) -> str:
         return f"{self.root.rstrip('/')}/gold_symbol_windows"
 
+    @property
+    def rejects_uri(self) -> str:
+        return f"{self.root.rstrip('/')}/silver_rejects"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.checkpoints.rstrip('/')}/{self.name}"
+
     def silver(self) -> DataFrame:
         return self._silver_loads(self.spark).drop(LOAD, EVENT_DATE)
 
+    def rejects(self) -> DataFrame:
+        return read_or_empty(self.spark, self.rejects_uri, _loads(schemas.VARIANT_REJECTS)).drop(LOAD)
+
     def windows(self) -> DataFrame:
-        loads = read_or_empty(
-            self.spark, self.windows_uri, _loads(schemas.WAREHOUSE_WINDOWS)
-        )
-        return latest_version(loads, ("window_start", "symbol"), LOAD)
+        loads = self._window_loads(self.spark).drop(LOAD)
+        return latest_version(loads, ("window_start", "symbol"), VERSION)
 
     def start(self, trigger: str = AVAILABLE_NOW) -> StreamingQuery:
         """Read bronze from where the checkpoint stands; without new rows nothing runs."""
         rows = read_table(self.spark, self.bronze, schemas.VARIANT_BRONZE, stream=True)
         writer = (
             rows.writeStream.queryName(self.name)
-            .option("checkpointLocation", f"{self.checkpoints.rstrip('/')}/{self.name}")
+            .option("checkpointLocation", self.checkpoint)
             .foreachBatch(self.apply)
         )
         return with_trigger(writer, trigger).start()
@@ -86,30 +99,70 @@ class WarehouseIncrements:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch into both targets."""
         spark = batch.sparkSession
-        incoming = warehouse.variant_silver(batch).persist()
+        load = f"{self._query_id(spark)}-{batch_id}"
+        others = F.col(LOAD) != load
+        held = batch.persist()
         try:
-            fresh = absent_rows(
-                self._silver_loads(spark).filter(F.col(LOAD) < batch_id),
-                incoming,
-                ("trade_id",),
-                ORDER,
-                incoming_rows=incoming.count(),
-            )
+            self._write(warehouse.variant_rejects(held), f"{self.rejects_uri}/{LOAD}={load}", stamp=False)
+            incoming = warehouse.variant_silver(held)
+            fresh = absent_rows(self._silver_loads(spark).filter(others), incoming, ("trade_id",), ORDER)
             fresh = fresh.withColumn(EVENT_DATE, F.to_date("event_ts"))
-            self._write(fresh, f"{self.silver_uri}/{LOAD}={batch_id}", EVENT_DATE)
+            self._write(fresh, f"{self.silver_uri}/{LOAD}={load}", EVENT_DATE)
         finally:
-            incoming.unpersist()
-        silver = self._silver_loads(spark).filter(F.col(LOAD) <= batch_id)
+            held.unpersist()
+        silver = self._silver_loads(spark)
         as_of = self.as_of(silver) if self.as_of else None
+        bars = warehouse.minute_vwap(silver, as_of)
         self._write(
-            warehouse.minute_vwap(silver, as_of), f"{self.windows_uri}/{LOAD}={batch_id}"
+            bars.withColumn(VERSION, F.lit(self._version(spark, load))), f"{self.windows_uri}/{LOAD}={load}"
         )
 
+    def fold_windows(self) -> None:
+        """Reduce the bars to their newest versions, as one load; run it while no batch runs.
+
+        The folded load is complete before an older one is emptied, and has the largest version, so
+        readers see the same table at any time.
+        """
+        spark = self.spark
+        loads = self._window_loads(spark)
+        old = [r[LOAD] for r in loads.select(LOAD).distinct().collect()]  # one name per micro-batch
+        if len(old) < 2:
+            return
+        version = self._version(spark, "")
+        fold = f"fold-{version}"
+        newest = latest_version(loads.drop(LOAD), ("window_start", "symbol"), VERSION)
+        newest.withColumn(VERSION, F.lit(version)).write.mode("overwrite").parquet(f"{self.windows_uri}/{LOAD}={fold}")
+        nothing = spark.createDataFrame([], T.StructType([f for f in loads.schema if f.name != LOAD]))
+        for name in old:
+            nothing.write.mode("overwrite").parquet(f"{self.windows_uri}/{LOAD}={name}")
+
+    def _query_id(self, spark: SparkSession) -> str:
+        """The id that Spark keeps in the checkpoint; a name of its own for batches without a stream."""
+        try:
+            return spark.read.schema("id STRING").json(f"{self.checkpoint}/metadata").first()["id"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return "manual"
+
+    def _version(self, spark: SparkSession, load: str) -> int:
+        """The version that a load already has, or the next one of the table."""
+        own = F.max(F.when(F.col(LOAD) == load, F.col(VERSION)))
+        found = self._window_loads(spark).agg(own.alias("own"), F.max(VERSION).alias("newest")).first()
+        return found["own"] if found["own"] is not None else (found["newest"] or 0) + 1
+
     def _silver_loads(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.silver_uri, _loads(dated(schemas.WAREHOUSE_SILVER)))
 
+    def _window_loads(self, spark: SparkSession) -> DataFrame:
+        version = T.StructField(VERSION, T.IntegerType())
+        return read_or_empty(spark, self.windows_uri, _loads(schemas.WAREHOUSE_WINDOWS, version))
+
     @staticmethod
-    def _write(rows: DataFrame, uri: str, *partition_by: str) -> None:
-        stamp = F.current_timestamp().cast("timestamp_ntz")
-        writer = rows.withColumn("loaded_at", stamp).write.mode("overwrite")
-        writer.partitionBy(*partition_by).parquet(uri)
+    def _write(rows: DataFrame, uri: str, *partition_by: str, stamp: bool = True) -> None:
+        if stamp:
+            rows = rows.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+        if partition_by:
+            # Few files: the rows of one date go to one task, or to several if they are many.
+            rows = rows.hint("rebalance", *partition_by)
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(uri)
