@@ -32,6 +32,8 @@ FIELDS = (
     Field("trader_id", "text", least=3, most=32),
     Field("sequence", "whole", least=0),
 )
+WHOLE = "decimal(38,0)"
+LARGEST = "9" * 38
 SIDES = ("BUY", "SELL")
 SIDE_ERROR = "side: must be BUY or SELL"
 DEFAULT_VERSION = "1.0"
@@ -97,12 +99,24 @@ def _read_number(value: Column, pattern: str = NUMBER_TEXT) -> Column:
 
 
 def _read_whole(value: Column) -> Column:
-    """As a number, but not from a fractional text and not from an infinite number.
+    """A whole number of up to 38 digits, exact where the JSON has digits only; null if there is none.
 
-    A long digit text may exceed the double range; its sign still decides the range check.
+    Fractions of JSON numbers are cut off. A fractional text and an infinite number are no whole
+    numbers. A longer one becomes the largest or smallest of 38 digits, which the checks refuse.
     """
+    kind = _kind(value)
     number = _read_number(value, WHOLE_TEXT)
-    return F.when((_kind(value) == "STR") | (F.abs(number) < float("inf")), number)
+    finite = (kind == "STR") | (F.abs(number) < float("inf"))
+    digits = F.replace(F.trim(_get(value, "string"), F.lit(BLANKS)), F.lit("_"), F.lit(""))
+    small = F.abs(number) < 2.0**53
+    cut = F.when(small, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast(WHOLE))
+    exact = F.when((kind == "STR"), digits.try_cast(WHOLE)).when(
+        (kind == "BIG") | ((kind == "DEC") & ~small), _get(value, WHOLE)
+    )
+    beyond = F.lit(LARGEST).cast(WHOLE) * F.when(number < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.when(
+        number.isNotNull() & finite, F.coalesce(exact, cut, number.try_cast(WHOLE), beyond.try_cast(WHOLE))
+    )
 
 
 def _read_instant(value: Column) -> Column:
@@ -158,18 +172,17 @@ def _violations(field: Field) -> list[Column]:
     below, above = value < field.least, None if field.most is None else value > field.most
     noun = "number"
     if field.kind == "whole":
-        # Compare as if truncated toward zero: -0.5 counts as 0 and 1000000.5 as 1000000.
         noun = "integer"
-        if field.least <= 0:
-            below = value <= field.least - 1
-        if above is not None:
-            above = value >= field.most + 1
+        below = value < F.lit(int(field.least))
+        above = None if field.most is None else value > F.lit(int(field.most))
     found = [
         error(value.isNull(), f"required {noun}"),
         error(below, f"must be >= {_bound_text(field.least)}"),
     ]
     if above is not None:
         found.append(error(above, f"must be <= {_bound_text(field.most)}"))
+    elif field.kind == "whole":
+        found.append(error(value == F.lit(LARGEST).cast(WHOLE), "more than 38 digits"))
     return found
 
 
@@ -180,13 +193,15 @@ def _trade() -> Column:
         value = _read(field)
         if field.kind == "instant":
             value = value["at"]
-        elif field.kind == "whole":
-            value = value.try_cast("bigint")
+        elif field.kind == "whole" and field.most is not None:
+            value = value.cast("bigint")
         elif field.name == "symbol":
             value = F.upper(value)
         columns.append(value.alias(field.name))
     version = F.when(version.isNull(), F.lit(DEFAULT_VERSION)).otherwise(
-        F.coalesce(_get(version, "string"), F.lit("None"))
+        F.when(_kind(version) == "BOO", F.initcap(_get(version, "string"))).otherwise(
+            F.coalesce(_get(version, "string"), F.lit("None"))
+        )
     )
     return F.struct(*columns, version.alias("schema_version"))
 

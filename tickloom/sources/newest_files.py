@@ -16,13 +16,12 @@ class NewestFiles:
     total: int
     loaded: int
     files: list[str]
+    unreadable: list[str]
 
     def skipped(self, limit: int = 3) -> DataFrame:
-        """Chosen files that gave no row because they could not be read (or are empty)."""
+        """Chosen files that were left out as a whole, because some of their rows cannot be read."""
         spark = self.rows.sparkSession
-        chosen = spark.createDataFrame([(f,) for f in self.files], "file STRING")
-        seen = self.rows.select(_plain(F.col("_metadata.file_path")).alias("file")).distinct()
-        return chosen.join(seen, "file", "left_anti").orderBy("file").limit(limit)
+        return spark.createDataFrame([(f,) for f in sorted(self.unreadable)[:limit]], "file STRING")
 
 
 def _plain(path):
@@ -36,8 +35,9 @@ def newest_files(
     """Rows of the ``count`` newest Parquet files below ``path``.
 
     The listing reads no file content, only names and times; ``count`` paths come to
-    the driver. Log folders (names with a leading underscore) are ignored, unreadable
-    files are skipped, and a missing folder gives an empty result.
+    the driver. Log folders (names with a leading underscore) are ignored, and a missing
+    folder gives an empty result. A file of which any part cannot be read is left out as a whole: one
+    pass over the chosen files compares the rows that can be read with the number the file states.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -49,11 +49,25 @@ def newest_files(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return NewestFiles(spark.createDataFrame([], schema), 0, 0, [])
+        return NewestFiles(spark.createDataFrame([], schema), 0, 0, [], [])
     total = found.count()
     newest = found.orderBy(F.desc("modificationTime"), F.desc("path")).limit(count)
     files = [row.file for row in newest.select(_plain(F.col("path")).alias("file")).collect()]
     if not files:
-        return NewestFiles(spark.createDataFrame([], schema), 0, 0, [])
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*files)
-    return NewestFiles(rows, total, len(files), files)
+        return NewestFiles(spark.createDataFrame([], schema), 0, 0, [], [])
+    whole = _whole_files(spark, files, schema)
+    broken = [f for f in files if f not in whole]
+    readable = [f for f in files if f in whole]
+    rows = spark.read.schema(schema).parquet(*readable) if readable else spark.createDataFrame([], schema)
+    return NewestFiles(rows, total, len(files), files, broken)
+
+
+def _whole_files(spark: SparkSession, files: list[str], schema: StructType) -> set[str]:
+    """Those of a bounded list of files of which every stated row can be read."""
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+    name = _plain(F.col("_metadata.file_path")).alias("file")
+    table = reader.parquet(*files)
+    # The hash makes the scan decode all columns; without one, rows are counted from the footers.
+    read = table.select(name, F.xxhash64(*table.columns).alias("code")).groupBy("file").agg(F.count("*").alias("read"), F.max("code").alias("code"))
+    stated = reader.parquet(*files).select(name).groupBy("file").agg(F.count("*").alias("stated"))
+    return {row.file for row in stated.join(read, "file").filter("read = stated AND code IS NOT NULL").select("file").collect()}
