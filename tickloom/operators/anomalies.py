@@ -15,9 +15,15 @@ def with_reference_price(trades: DataFrame, prices: DataFrame | None = None) ->
     The default prices are a handful of fixed rows whose size the planner knows. A
     caller's own table is not hinted either: it is broadcast only when its statistics
     are below ``spark.sql.autoBroadcastJoinThreshold``, and joined by shuffle with
-    adaptive skew splitting otherwise. It must hold one row per symbol.
+    adaptive skew splitting otherwise. A symbol with several rows in it fails the job, as it
+    would multiply trades.
     """
-    prices = reference_prices(trades.sparkSession) if prices is None else prices
+    if prices is None:
+        prices = reference_prices(trades.sparkSession)
+    else:
+        doubled = F.raise_error(F.concat(F.lit("several prices of "), F.col("symbol")))
+        price = F.when(F.count("*") == 1, F.min("reference_price")).otherwise(doubled)
+        prices = prices.groupBy("symbol").agg(price.alias("reference_price"))
     priced = trades.join(prices.select("symbol", "reference_price"), "symbol", "left")
     move = F.try_divide(
         F.abs(F.col("price") - F.col("reference_price")), F.col("reference_price")

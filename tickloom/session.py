@@ -28,11 +28,20 @@ STREAM_CONF = {
 }
 
 
+def _sibling(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session with the caller's runtime settings and some of its own; the caller's stays as it is."""
+    session = spark.newSession()
+    for name, value in {**dict(spark.conf.getAll), **settings}.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the batch settings to a running session."""
-    for name, value in BATCH_CONF.items():
-        spark.conf.set(name, value)
-    return spark
+    """The session itself if it has the batch settings, else a sibling that has them."""
+    if all(spark.conf.get(name, None) == value for name, value in BATCH_CONF.items()):
+        return spark
+    return _sibling(spark, BATCH_CONF)
 
 
 def stream_session(
@@ -42,18 +51,13 @@ def stream_session(
 ) -> SparkSession:
     """A sibling session with streaming settings; ``state_store`` names a provider class.
 
-    The number of state partitions is fixed by the first run of a checkpoint; it
-    defaults to the cores the cluster offers.
+    The number of state partitions is fixed by the first run of a checkpoint. Without one, the
+    session's own ``spark.sql.shuffle.partitions`` holds, never the cores that happen to be present.
     """
-    session = spark.newSession()
-    for name, value in STREAM_CONF.items():
-        session.conf.set(name, value)
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", state_store)
-    session.conf.set(
-        "spark.sql.shuffle.partitions",
-        str(state_partitions or spark.sparkContext.defaultParallelism),
-    )
-    return session
+    settings = {**STREAM_CONF, "spark.sql.streaming.stateStore.providerClass": state_store}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return _sibling(spark, settings)
 
 
 @cache

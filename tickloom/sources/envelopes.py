@@ -11,6 +11,11 @@ from pyspark.sql.types import StructType
 from tickloom.schemas import ENVELOPE
 
 
+# Spark's file sources ignore files that are older than the newest one by more than this, without a
+# word, and forget their names after it. Ten years: nothing that is still delivered is ignored.
+MAX_FILE_AGE = "3650d"
+
+
 def topic_options(
     servers: str,
     topic: str,
@@ -38,7 +43,10 @@ def read_envelopes(
 
     Files need no connector; ``maxFilesPerTrigger`` is their rate limit.
     """
-    reader = (spark.readStream if stream else spark.read).format(fmt).options(**(options or {}))
+    reader = (spark.readStream if stream else spark.read).format(fmt)
+    if stream and fmt != "kafka":
+        reader = reader.option("maxFileAge", MAX_FILE_AGE)
+    reader = reader.options(**(options or {}))
     if fmt == "kafka":
         columns = [field.name for field in ENVELOPE.fields]
         return reader.load().select(*columns)
@@ -54,7 +62,10 @@ def read_table(
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A table written by one of the sinks, with its declared layout."""
-    reader = (spark.readStream if stream else spark.read).format(fmt).options(**(options or {}))
+    reader = (spark.readStream if stream else spark.read).format(fmt)
+    if stream and fmt != "delta":
+        reader = reader.option("maxFileAge", MAX_FILE_AGE)
+    reader = reader.options(**(options or {}))
     if fmt != "delta":
         reader = reader.schema(schema)
     return reader.load(path)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.sources.envelopes import MAX_FILE_AGE
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -25,7 +27,6 @@ EVENTS = T.StructType(
 TOPIC = "trades"
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01 00:00 UTC
 DENSER = 20
-REPLAY_OFFSET = 10_000_000
 REPLAY_DELAY_US = 345_600_000_000  # four days: after the last original
 
 # Symbol as sent and its whole-number reference price, by user_id % 9.
@@ -41,6 +42,7 @@ LISTINGS = (
     ("zzzt", 100),
 )
 
+# Fixed values of the tape: venue by event_id % 4.
 VENUES = ("NYSE", "NASDAQ", "IEX", "CBOE")
 
 
@@ -48,25 +50,18 @@ def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def event_splits(spark: SparkSession, sf_dir: str) -> int:
-    return _stored_events(spark, sf_dir).rdd.getNumPartitions()
-
-
 def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """The events table.
+    """The events table, as a batch or as a stream.
 
-    Writing and parsing JSON costs far more than the scan, so a table that comes in
-    fewer splits than there are cores is spread over all of them. A table of many
-    splits, the normal case on a cluster, is left as it is.
+    Deriving JSON from events costs far more than reading them, so the events are dealt over the
+    session's shuffle partitions first, whatever the number of files they come in.
     """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if stream:
         # As a pattern the path may be one file or a folder; a plain file is no stream source.
-        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    cores = spark.sparkContext.defaultParallelism
-    events = _stored_events(spark, sf_dir)
-    if event_splits(spark, sf_dir) < cores:
-        events = events.repartition(cores, "event_id")
-    return events
+        events = spark.readStream.schema(EVENTS).option("maxFileAge", MAX_FILE_AGE)
+        return events.parquet(f"{sf_dir}/events.parque[t]").repartition(partitions, "event_id")
+    return _stored_events(spark, sf_dir).repartition(partitions, "event_id")
 
 
 def _pick(values, index: str):
@@ -136,7 +131,7 @@ def to_envelopes(events: DataFrame, replays: bool = True, originals: bool = True
     return staged.select(
         F.lit(TOPIC).alias("topic"),
         F.expr("CAST(event_id % 6 AS INT)").alias("partition"),
-        F.expr(f"event_id DIV 6 + replay * {REPLAY_OFFSET}").alias("offset"),
+        F.expr("(event_id DIV 6) * 2 + replay").alias("offset"),
         F.timestamp_micros(
             F.col("tape_us") + 2_000_000 + F.col("replay") * F.lit(REPLAY_DELAY_US)
         ).alias("timestamp"),

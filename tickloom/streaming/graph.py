@@ -6,7 +6,7 @@ step are held once, whatever the number of gold tables and topics.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +15,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas
+from tickloom.functions.rules import Rule, Thresholds
 from tickloom.operators import anomalies, bars, bronze, payloads, silver
 from tickloom.schemas import EVENT_DATE, dated
 from tickloom.sources.envelopes import read_table
 from tickloom.streaming.sinks import AVAILABLE_NOW, write_stream
 
 
-
 @dataclass(frozen=True)
 class Step:
     """One query of the graph: where it reads, what it computes, where it writes."""
@@ -35,12 +35,14 @@ class Step:
 
 
 def _silver(graph: TradeStreams, table: DataFrame) -> DataFrame:
-    valid = silver.valid_trades(bronze.parse(table), watermark=graph.watermark, mode=graph.dedup)
+    valid = silver.valid_trades(
+        bronze.parse(table), graph.rules, watermark=graph.watermark, mode=graph.dedup
+    )
     return valid.withColumn(EVENT_DATE, F.to_date("event_ts"))
 
 
 def _rejected(graph: TradeStreams, table: DataFrame) -> DataFrame:
-    return silver.reject(silver.classify(bronze.parse(table)))
+    return silver.reject(silver.classify(bronze.parse(table), graph.rules))
 
 
 def _trades(graph: TradeStreams, table: DataFrame) -> DataFrame:
@@ -48,7 +50,8 @@ def _trades(graph: TradeStreams, table: DataFrame) -> DataFrame:
 
 
 def _anomalies(graph: TradeStreams, table: DataFrame) -> DataFrame:
-    return anomalies.only_anomalies(anomalies.flag(table.drop(EVENT_DATE)))
+    flagged = anomalies.flag(table.drop(EVENT_DATE), graph.prices, graph.thresholds)
+    return anomalies.only_anomalies(flagged)
 
 
 STEPS: Mapping[str, Step] = {
@@ -101,7 +104,9 @@ class TradeStreams:
     ``source`` must belong to ``spark``, a session made by ``stream_session``. Topics
     are written as Parquet messages unless ``brokers`` is set, which needs the Kafka
     connector on the class path. ``table_format`` other than Parquet needs its
-    connector as well.
+    connector as well. ``rules``, ``prices`` and ``thresholds`` replace the defaults of
+    validation and anomaly flags. ``read_options`` limit what a step takes from the table before it
+    in one micro-batch; ``step_options`` add to them or replace them for single steps.
     """
 
     spark: SparkSession
@@ -112,6 +117,11 @@ class TradeStreams:
     dedup: str = "exact"
     table_format: str = "parquet"
     brokers: str | None = None
+    rules: Sequence[Rule] | None = None
+    prices: DataFrame | None = None
+    thresholds: Thresholds = Thresholds()
+    read_options: Mapping[str, str] = field(default_factory=lambda: {"maxFilesPerTrigger": "1000"})
+    step_options: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     topics: Mapping[str, str] = field(
         default_factory=lambda: {
             "dead_letters": "trades-rejected",
@@ -123,14 +133,20 @@ class TradeStreams:
     def uri(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{STEPS[name].folder}"
 
-    def table(self, name: str, stream: bool = False) -> DataFrame:
+    def table(
+        self, name: str, stream: bool = False, options: Mapping[str, str] | None = None
+    ) -> DataFrame:
         step = STEPS[name]
         fmt = "parquet" if step.topic else self.table_format
-        return read_table(self.spark, self.uri(name), step.schema, fmt, stream)
+        return read_table(self.spark, self.uri(name), step.schema, fmt, stream, options)
 
     def start(self, name: str, trigger: str = "10 seconds") -> StreamingQuery:
         step = STEPS[name]
-        read = self.source if step.reads is None else self.table(step.reads, stream=True)
+        if step.reads is None:
+            read = self.source
+        else:
+            options = {**self.read_options, **self.step_options.get(name, {})}
+            read = self.table(step.reads, stream=True, options=options)
         output = step.build(self, read)
         if step.topic and self.brokers:
             options = {"kafka.bootstrap.servers": self.brokers, "topic": self.topics[name]}
