@@ -24,6 +24,10 @@ CASES = [
     (payload(quantity=float("inf")), ["quantity: required integer"]),
     (payload(sequence=-0.5), []),
     (payload(sequence=-1), ["sequence: must be >= 0"]),
+    (payload(sequence=10**37), []),
+    (payload(sequence=10**39), ["sequence: more than 38 digits"]),
+    (payload(sequence="9" * 50), ["sequence: more than 38 digits"]),
+    (payload(sequence=-(10**39)), ["sequence: must be >= 0"]),
     (payload(price="1e3"), []),
     (payload(price="nan"), []),
     (payload(price=float("nan")), []),
@@ -54,6 +58,16 @@ def test_all_violations_in_order(bronze_of):
         assert (row.trade is None) == bool(expected)
 
 
+@pytest.mark.parametrize("number", [2**53 + 1, 1751284800123456789, 2**63, 2**70, 0])
+def test_whole_numbers_stay_exact(bronze_of, number):
+    for row in contract_errors(bronze_of([payload(sequence=number), payload(sequence=str(number))])).collect():
+        assert row.trade.sequence == number
+
+
+def test_a_version_that_is_a_boolean(bronze_of):
+    assert [r.trade.schema_version for r in contract_errors(bronze_of([payload(schema_version=True), payload(schema_version=1)])).orderBy("offset").collect()] == ["True", "1"]
+
+
 def test_a_document_that_is_no_object_misses_every_field(bronze_of):
     for row in contract_errors(bronze_of(["not json", "[1]", "{}"])).collect():
         assert [e.split(":")[0] for e in row.errors] == [f.name for f in FIELDS]
@@ -61,16 +75,16 @@ def test_a_document_that_is_no_object_misses_every_field(bronze_of):
 
 def test_normalised_trade(bronze_of):
     text = payload(
-        symbol=" aapl ", quantity="100", event_time="2026-06-30T12:00:00-05:30", schema_version=...
+        symbol=" msft ", quantity="100", event_time="2026-06-30T12:00:00-05:30", schema_version=...
     )
     trade = contract_errors(bronze_of([text])).first().trade
-    assert (trade.symbol, trade.quantity, trade.quantity * trade.price) == ("AAPL", 100, 21_050)
+    assert (trade.symbol, trade.quantity, trade.quantity * trade.price) == ("MSFT", 100, 44_725)
     assert trade.event_time == datetime(2026, 6, 30, 17, 30)
     assert trade.schema_version == "1.0"
 
 
 def test_strict_form_passes_good_rows_and_raises_all_errors_of_a_bad_one(bronze_of):
-    assert assert_contract(bronze_of([payload()])).first().symbol == "AAPL"
+    assert assert_contract(bronze_of([payload()])).first().symbol == "MSFT"
     bad = assert_contract(bronze_of([payload(quantity=-1, side="HOLD")]))
     with pytest.raises(Exception, match="quantity: must be >= 1; side: must be BUY or SELL"):
         bad.collect()

@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.functions.rules import Thresholds, validation_rules
 from tickloom.operators import bars, silver, warehouse
+from tickloom.programs import daily_rollup, trade_streams, warehouse_increments
 from tickloom.session import shared_folder, stream_session
-from tickloom.sources.envelopes import topic_options
+from tickloom.sources.envelopes import read_envelopes, topic_options
 from tickloom.streaming.graph import STEPS, TradeStreams
 from tickloom.streaming.increments import WarehouseIncrements, latest_event
-from tickloom.streaming.progress import progress_table
+from tickloom.streaming.progress import ProgressLog
 from tickloom.streaming.sinks import AVAILABLE_NOW, write_stream
 
 SCRIPT = [
@@ -66,9 +68,9 @@ def clock(moment):
 def test_exact_dedup_never_forgets_and_drops_late_rows(session):
     rows, query = run(session, SCRIPT, lambda df: df.select("trade_id", "event_ts"))
     assert sorted(r.trade_id for r in rows) == ["a", "b", "c", "d", "edge2", "g"]
-    progress = progress_table(session, [query])
-    assert progress.agg(F.sum("dropped_by_watermark")).first()[0] == 2
-    assert progress.agg(F.max("state_rows")).first()[0] == 6
+    states = [state for report in query.recentProgress for state in report.stateOperators]
+    assert sum(state.numRowsDroppedByWatermark for state in states) == 2
+    assert max(state.numRowsTotal for state in states) == 6
 
 
 def test_bounded_dedup_emits_an_old_id_again(session):
@@ -205,6 +207,122 @@ def test_increments_merge_and_a_repeated_batch_changes_nothing(session):
     assert {clock(r.window_start): int(r.trade_count) for r in job.windows().collect()} == found
 
 
+def test_a_new_checkpoint_over_a_filled_table_loses_and_doubles_nothing(session):
+    folder = shared_folder(session, "recovery")
+
+    def job(checkpoint):
+        return WarehouseIncrements(session, f"{folder}/in", f"{folder}/wh", f"{folder}/{checkpoint}", latest_event)
+
+    _bronze_variants(session, f"{folder}/in", [_trade("a", "00:00:10"), _trade("b", "00:01:10")])
+    job("one").run_available()
+    _bronze_variants(session, f"{folder}/in", [_trade("c", "00:01:20")])
+    job("one").run_available()
+    bars = {(clock(r.window_start), int(r.trade_count)) for r in job("one").windows().collect()}
+    _bronze_variants(session, f"{folder}/in", [_trade("c", "00:01:20"), _trade("d", "00:02:20")])
+    again = job("two")
+    again.run_available()
+    assert sorted(r.trade_id for r in again.silver().collect()) == ["a", "b", "c", "d"]
+    bars.add(("00:02:00", 1))
+    found = lambda: {(clock(r.window_start), int(r.trade_count)) for r in again.windows().collect()}
+    assert found() == bars
+    again.fold_windows()
+    assert found() == bars
+    assert again._window_loads(session).select("load").distinct().count() == 1
+    _bronze_variants(session, f"{folder}/in", [_trade("e", "00:02:30")])
+    again.run_available()
+    assert found() == (bars - {("00:02:00", 1)}) | {("00:02:00", 2)}
+
+
+def test_a_crash_between_the_two_writes_changes_nothing(session, monkeypatch):
+    folder = shared_folder(session, "crash")
+    job = WarehouseIncrements(session, f"{folder}/in", f"{folder}/wh", f"{folder}/ck", latest_event)
+    _bronze_variants(session, f"{folder}/in", [_trade("a", "00:00:10")])
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "minute_vwap", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            job.run_available()
+    assert [r.trade_id for r in job.silver().collect()] == ["a"]
+    job.run_available()
+    assert [r.trade_id for r in job.silver().collect()] == ["a"]
+    assert [int(r.trade_count) for r in job.windows().collect()] == [1]
+
+
+def test_what_no_column_can_hold_is_refused_and_the_stream_goes_on(session):
+    folder = shared_folder(session, "overflow")
+    job = WarehouseIncrements(session, f"{folder}/in", f"{folder}/wh", f"{folder}/ck", latest_event)
+    good = [_trade("a", "00:00:10", quantity=10, price=100.0), _trade("b", "00:00:20", quantity=30, price=200.0)]
+    bad = [_trade("c", "00:00:30", quantity=10**13, price=100.0), _trade("d", "00:00:40", quantity=10**37, price=1000.0)]
+    _bronze_variants(session, f"{folder}/in", good + bad + [_trade("e", "00:00:50", side="HOLD")])
+    job.run_available()
+    assert [(int(r.total_quantity), float(r.vwap)) for r in job.windows().collect()] == [(40, 175.0)]
+    reasons = sorted(r.error_reason for r in job.rejects().collect())
+    assert reasons == ["INVALID_SIDE", "NOTIONAL_OUT_OF_RANGE", "NOTIONAL_OUT_OF_RANGE"]
+    assert job.rejects().columns == schemas.VARIANT_REJECTS.fieldNames()
+
+
+def test_progress_log_keeps_every_report(session):
+    folder = shared_folder(session, "progress")
+    limited = session.newSession()
+    limited.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    for n in range(12):
+        limited.range(n, n + 1).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    log = ProgressLog(limited, f"{folder}/log", flush_every=4)
+    limited.streams.addListener(log)
+    rows = limited.readStream.schema("id BIGINT").option("maxFilesPerTrigger", "1").parquet(f"{folder}/in")
+    query = write_stream(rows, "copy", f"{folder}/out", f"{folder}/ck", trigger="available-now")
+    query.awaitTermination()
+    log.wait([query])
+    limited.streams.removeListener(log)
+    assert len(query.recentProgress) <= 5
+    assert log.table().agg(F.sum("input_rows")).first()[0] == 12
+
+
+def test_rules_thresholds_prices_and_rates_reach_the_stream(session):
+    folder = shared_folder(session, "settings")
+    trades = [_trade("a", "00:00:10", side=None), _trade("b", "00:00:20", quantity=50, price=30.0)]
+    _envelopes(session, f"{folder}/in", trades)
+    _envelopes(session, f"{folder}/in", [_trade("c", "00:00:30")])
+    prices = session.createDataFrame([("AAPL", 20.0)], "symbol STRING, reference_price DOUBLE")
+    graph = TradeStreams(
+        session, read_envelopes(session, "parquet", {"maxFilesPerTrigger": "1"}, f"{folder}/in"), f"{folder}/t", f"{folder}/c",
+        rules=validation_rules(strict=False), prices=prices, thresholds=Thresholds(quantity=40),
+        step_options={"silver": {"maxFilesPerTrigger": "1"}},
+    )
+    finished = graph.run_available(["anomalies", "dead_letters"])
+    assert graph.table("silver").count() == 3 and graph.table("dead_letters").count() == 0
+    found = {r.trade_id: r.anomaly_reason for r in graph.table("anomalies").collect()}
+    assert found["b"] == "HIGH_QUANTITY" and found["c"] == "PRICE_DISLOCATION"
+    batches = [p for p in finished["silver"].recentProgress if p.numInputRows]
+    assert len(batches) >= 2  # the backlog was taken in parts
+
+
+def test_an_id_in_a_third_of_the_rows(session):
+    folder = shared_folder(session, "hot-id")
+    trades = [_trade("hot" if n % 3 == 0 else f"t{n}", "00:00:10") for n in range(300)]
+    _envelopes(session, f"{folder}/in", trades)
+    graph = TradeStreams(session, read_envelopes(session, "parquet", path=f"{folder}/in"), f"{folder}/t", f"{folder}/c")
+    graph.run_available(["silver"])
+    assert graph.table("silver").count() == 201
+
+
+def test_programs(session):
+    folder = shared_folder(session, "programs")
+    _envelopes(session, f"{folder}/in", [_trade("a", "00:00:10"), _trade("b", "00:05:10"), _trade("x", "00:00:20", side="HOLD")])
+    trade_streams.main(
+        ["--source", f"{folder}/in", "--tables", f"{folder}/t", "--checkpoints", f"{folder}/c", "--trigger", "available-now",
+         "--state-partitions", "2", "--progress", f"{folder}/p"], session,
+    )
+    assert session.read.parquet(f"{folder}/t/silver/valid_trades").count() == 2
+    assert session.read.parquet(f"{folder}/t/topics/dead_letters").count() == 1
+    assert session.read.parquet(f"{folder}/p").select("query").distinct().count() == len(STEPS)
+    warehouse_increments.main(
+        ["--source", f"{folder}/in", "--bronze", f"{folder}/b", "--warehouse", f"{folder}/w", "--checkpoints", f"{folder}/wc", "--fold"], session
+    )
+    assert session.read.parquet(f"{folder}/w/silver_valid_trades").count() == 2
+    daily_rollup.main(["--silver", f"{folder}/t/silver/valid_trades", "--daily", f"{folder}/d"], session)
+    assert session.read.parquet(f"{folder}/d").first().trade_count == 2
+
+
 def test_topic_source_options():
     assert topic_options("broker:9092", "trades") == {
         "kafka.bootstrap.servers": "broker:9092",

@@ -3,14 +3,17 @@
 import os
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
-from tickloom.operators import anomalies, bars, quality
+from tickloom.operators import anomalies, bars, merge, quality, serving
 from tickloom.plans import stages
+from tickloom.plans.catalog import QUERIES
 from tickloom.plans.jobs import rewrite_daily
-from tickloom.session import SHARED_DIR, shared_folder
+from tickloom.session import SHARED_DIR, prepare, shared_folder, stream_session
 from tickloom.sources.event_tape import EVENTS, read_events
 from tickloom.sources.newest_files import newest_files
 
@@ -130,8 +133,73 @@ def test_no_python_workers(spark):
         assert "Python" not in plan(build(stages.valid(spark, SF_DIR)))
 
 
-def test_small_inputs_are_spread_over_the_cores(spark):
-    assert read_events(spark, SF_DIR).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+def test_the_plan_of_the_tape_does_not_depend_on_its_size(spark):
+    assert "RepartitionByExpression [event_id" in read_events(spark, SF_DIR)._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_partly_broken_file_gives_none_of_its_rows(spark):
+    folder = shared_folder(spark, "half")
+    schema = spark.createDataFrame([], LAYOUT).schema
+    os.makedirs(folder)
+    for name, first in (("good", 0), ("half", 40_000)):
+        rows = pa.table({"n": pa.array(range(first, first + 40_000), pa.int64()), "label": [f"label-{i * 7919 % 40_000}" for i in range(40_000)]})
+        pq.write_table(rows, f"{folder}/{name}.parquet", row_group_size=10_000, compression="snappy")
+    third = pq.ParquetFile(f"{folder}/half.parquet").metadata.row_group(2).column(1)
+    with open(f"{folder}/half.parquet", "r+b") as out:
+        out.seek(third.dictionary_page_offset or third.data_page_offset)
+        out.write(b"\xff" * 400)
+    found = newest_files(spark, folder, schema, 40)
+    assert found.rows.agg(F.min("n"), F.max("n"), F.count("*")).first() == (0, 39_999, 40_000)
+    assert [os.path.basename(r.file) for r in found.skipped().collect()] == ["half.parquet"]
+
+
+def test_an_unlisted_symbol_does_not_vanish(spark):
+    rows = spark.createDataFrame([(1, "AAPL", 2.0), (1, "NEW", 3.0)], "window_start INT, symbol STRING, vwap DOUBLE")
+    with pytest.raises(Exception, match="symbol without a column: NEW"):
+        serving.pivot_by_symbol(rows, "vwap", "avg", ("AAPL",)).collect()
+    assert serving.pivot_by_symbol(rows, "vwap", "avg").first()["NEW"] == 3.0
+
+
+def test_a_doubled_price_is_refused(spark):
+    trades = spark.createDataFrame([("t", "AAPL", 1.0)], "trade_id STRING, symbol STRING, price DOUBLE")
+    prices = spark.createDataFrame([("AAPL", 1.0), ("AAPL", 2.0)], "symbol STRING, reference_price DOUBLE")
+    with pytest.raises(Exception, match="several prices of AAPL"):
+        anomalies.with_reference_price(trades, prices).collect()
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_kpis_scan_once_and_the_upsert_scans_each_side_once(spark):
+    folder = shared_folder(spark, "plans")
+    columns = "trade_id STRING, symbol STRING, anomaly_reason STRING, event_ts TIMESTAMP"
+    spark.createDataFrame([("t", "A", "NORMAL", None)], columns).write.parquet(f"{folder}/flagged")
+    assert _final_plan(serving.kpis(spark.read.parquet(f"{folder}/flagged"))).count("FileScan") == 1
+    for name in ("now", "new"):
+        spark.createDataFrame([(1, "A", name)], "window_start INT, symbol STRING, vwap STRING").write.parquet(f"{folder}/{name}")
+    merged = merge.upsert(spark.read.parquet(f"{folder}/now"), spark.read.parquet(f"{folder}/new"))
+    assert [tuple(r) for r in merged.collect()] == [(1, "A", "new")]
+    assert _final_plan(merged).count("FileScan") == 2
+
+
+def test_the_lookback_prunes_dates(spark):
+    trades = stages.stored_valid(spark, SF_DIR, by_date=True)
+    as_of = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    plan_text = _final_plan(bars.tumbling(serving.trades_of_recent_bars(trades, ("AAPL",), as_of)))
+    assert "PartitionFilters: [isnotnull(event_date" in plan_text
+
+
+def test_a_session_of_another_zone_stays_as_it_is(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    own = prepare(other)
+    assert (own.conf.get("spark.sql.session.timeZone"), own.conf.get("spark.sql.shuffle.partitions")) == ("UTC", "3")
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert stream_session(other).conf.get("spark.sql.shuffle.partitions") == "3"
+    assert QUERIES["validation_summary"](other, SF_DIR).count() == QUERIES["validation_summary"](spark, SF_DIR).count()
 
 
 class Session:

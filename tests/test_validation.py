@@ -53,7 +53,7 @@ def test_branches_cover_bronze(bronze_of):
 
 def test_accept_normalises(bronze_of):
     row = silver.accept(silver.classify(bronze.parse(bronze_of([payload()])))).first()
-    assert (row.symbol, row.notional) == ("AAPL", 21_050)
+    assert (row.symbol, row.notional) == ("MSFT", 17_890)
 
 
 def test_first_arrival_wins_and_a_hot_key_collapses_before_the_shuffle(spark):

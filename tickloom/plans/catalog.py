@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ from tickloom.sources.event_tape import EVENTS, read_events, to_envelopes
 from tickloom.sources.newest_files import newest_files
 from tickloom.streaming.graph import TradeStreams
 from tickloom.streaming.increments import ORDER, WarehouseIncrements, latest_event
-from tickloom.streaming.progress import progress_table
+from tickloom.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,8 +52,16 @@ CUSTOM = Thresholds(quantity=5_000, notional=250_000.0, price_move=0.1)
 
 
 def query(function: Query) -> Query:
-    """Register under the function's name; a trailing underscore only avoids a name clash."""
-    QUERIES[function.__name__.rstrip("_")] = function
+    """Register under the function's name; a trailing underscore only avoids a name clash.
+
+    Registered queries run in a session with the batch settings, whatever the caller's has.
+    """
+
+    @functools.wraps(function)
+    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(prepare(spark), sf_dir)
+
+    QUERIES[function.__name__.rstrip("_")] = prepared
     return function
 
 
@@ -136,6 +145,7 @@ def contract_errors_(spark, sf_dir):
             F.array_join("errors", "; ").alias("errors"),
             F.col("trade.symbol").alias("symbol"),
             F.col("trade.event_time").alias("event_time"),
+            F.col("trade.sequence").cast("bigint").alias("sequence"),
         )
     )
 
@@ -217,9 +227,7 @@ def daily_symbol_rollup(spark, sf_dir):
 # Messages
 
 
-@query
-def dead_letter_payload(spark, sf_dir):
-    messages = payloads.dead_letters(silver.reject(checked(spark, sf_dir)))
+def _dead_letter_fields(messages):
     return _json_fields(
         messages,
         "validation_error STRING, raw_payload STRING, source_topic STRING, "
@@ -234,12 +242,10 @@ def dead_letter_payload(spark, sf_dir):
     )
 
 
-@query
-def anomaly_payload(spark, sf_dir):
-    found = anomalies.only_anomalies(anomalies.flag(valid(spark, sf_dir)))
+def _anomaly_fields(messages):
     return plain_times(
         _json_fields(
-            payloads.anomaly_messages(found),
+            messages,
             "trade_id STRING, symbol STRING, side STRING, quantity INT, price DOUBLE, "
             "notional DOUBLE, event_ts TIMESTAMP, anomaly_reason STRING, severity STRING, "
             "reference_price DOUBLE, price_move_pct DOUBLE",
@@ -247,6 +253,17 @@ def anomaly_payload(spark, sf_dir):
     )
 
 
+@query
+def dead_letter_payload(spark, sf_dir):
+    return _dead_letter_fields(payloads.dead_letters(silver.reject(checked(spark, sf_dir))))
+
+
+@query
+def anomaly_payload(spark, sf_dir):
+    found = anomalies.only_anomalies(anomalies.flag(valid(spark, sf_dir)))
+    return _anomaly_fields(payloads.anomaly_messages(found))
+
+
 @query
 def aggregate_payload(spark, sf_dir):
     messages = payloads.bar_messages(bars.tumbling(valid(spark, sf_dir)))
@@ -291,7 +308,7 @@ def warehouse_silver_decimal(spark, sf_dir):
 
 @query
 def warehouse_minute_vwap(spark, sf_dir):
-    silver_table = stored(spark, _warehouse_silver(spark, sf_dir), "warehouse-silver")
+    silver_table = stored(spark, _warehouse_silver(spark, sf_dir), "warehouse-silver", by_date=True)
     return _doubles(warehouse.minute_vwap(silver_table, latest_event(silver_table)))
 
 
@@ -317,22 +334,20 @@ def merge_insert_absent(spark, sf_dir):
 def merge_upsert_windows(spark, sf_dir):
     current, incoming = _split_trades(spark, sf_dir)
     merged = stored(
-        spark, merge.insert_absent(current, incoming, ("trade_id",), ORDER), "warehouse-merged"
-    )
-    bars_before = warehouse.minute_vwap(
-        merged.filter(F.col("event_ts") < F.lit(CUT).cast("timestamp")),
-        F.lit(CUT).cast("timestamp"),
+        spark, merge.insert_absent(current, incoming, ("trade_id",), ORDER), "warehouse-merged", by_date=True
     )
-    bars_now = warehouse.minute_vwap(merged, latest_event(merged))
-    return _doubles(merge.upsert(bars_before, bars_now))
+    cut = F.lit(CUT).cast("timestamp")
+    newest = F.lit(merged.agg(F.max("event_ts")).first()[0])
+    bars_before = warehouse.minute_vwap(merged.filter(F.col("event_ts") < cut), cut)
+    return _doubles(merge.upsert(bars_before, warehouse.minute_vwap(merged, newest)))
 
 
 @query
 def recent_windows_for_symbols(spark, sf_dir):
-    trades = stored_valid(spark, sf_dir)
-    return settled(
-        serving.recent_bars(bars.tumbling(trades), ("AAPL", "MSFT"), latest_event(trades))
-    )
+    trades = stored_valid(spark, sf_dir, by_date=True)
+    wanted, as_of = ("AAPL", "MSFT"), latest_event(trades)
+    recent = serving.trades_of_recent_bars(trades, wanted, as_of)
+    return settled(serving.recent_bars(bars.tumbling(recent), wanted, as_of))
 
 
 # Serving
@@ -352,20 +367,56 @@ def notional_pivot(spark, sf_dir):
 
 @query
 def dashboard_kpis(spark, sf_dir):
-    trades = stored_valid(spark, sf_dir)
-    found = anomalies.only_anomalies(anomalies.flag(trades))
-    return serving.kpis(trades, found, bars.tumbling(trades))
+    return serving.kpis(anomalies.flag(valid(spark, sf_dir)))
+
+
+def _landed_events(spark, sf_dir, files):
+    """The events as that many files, ever newer ones: the n-th holds the n-th range of ids."""
+    folder = shared_folder(spark, "newest")
+    events = read_events(spark, sf_dir)
+    share = F.floor(F.col("event_id") * files / (F.lit(events.agg(F.max("event_id")).first()[0]) + 1))
+    numbered = events.withColumn("n", share).repartitionByRange(files, "n")
+    for n in range(files):
+        numbered.filter(F.col("n") == n).drop("n").coalesce(1).write.mode("append").parquet(f"{folder}/{n}")
+    return folder
 
 
 @query
 def newest_files_scan(spark, sf_dir):
-    """Rows in the newest 40 files of the events table."""
-    found = newest_files(prepare(spark), f"{sf_dir}/events.parquet", EVENTS, 40)
+    """Rows in the newest three of five files; file times have milliseconds, so five suffice."""
+    found = newest_files(spark, _landed_events(spark, sf_dir, 5), EVENTS, 3)
     return found.rows.groupBy("event_type").agg(
         F.count("*").alias("events"), F.sum("user_id").alias("user_ids")
     )
 
 
+def _dashboard(spark, sf_dir):
+    """Silver, anomalies and bars as written tables, each read through its newest files."""
+    folder = shared_folder(spark, "dashboard")
+    flagged = anomalies.flag(valid(spark, sf_dir))
+    layers = {
+        "silver": flagged.select(*TRADE_COLUMNS),
+        "anomalies": anomalies.only_anomalies(flagged).select("trade_id", "anomaly_reason"),
+        "bars": settled(bars.tumbling(flagged)),
+    }
+    read = {}
+    for name, rows in layers.items():
+        rows.coalesce(8).write.parquet(f"{folder}/{name}")
+        read[name] = newest_files(spark, f"{folder}/{name}", rows.schema, 40).rows
+    return read
+
+
+@query
+def dashboard_from_tables(spark, sf_dir):
+    tables = _dashboard(spark, sf_dir)
+    return serving.kpis_of_tables(tables["silver"], tables["anomalies"], tables["bars"])
+
+
+@query
+def dashboard_vwap_from_tables(spark, sf_dir):
+    return serving.pivot_by_symbol(_dashboard(spark, sf_dir)["bars"], "vwap", "avg", SYMBOLS)
+
+
 # Quality
 
 
@@ -422,7 +473,14 @@ def stream_bronze_ingest(spark, sf_dir):
     graph.run_available(["bronze"])
     return plain_times(
         graph.table("bronze").select(
-            "topic", "partition", "offset", "kafka_timestamp", "message_key"
+            "topic",
+            "partition",
+            "offset",
+            "kafka_timestamp",
+            "message_key",
+            F.get_json_object("raw_payload", "$.sequence").cast("bigint").alias("sequence"),
+            F.get_json_object("raw_payload", "$.event_time").alias("event_time"),
+            F.get_json_object("raw_payload", "$.trade_id").alias("trade_id"),
         )
     )
 
@@ -447,20 +505,21 @@ def stream_silver_bounded(spark, sf_dir):
 def stream_dead_letters(spark, sf_dir):
     graph = streams(spark, sf_dir)
     graph.run_available(["dead_letters"])
-    return _json_fields(
-        graph.table("dead_letters"),
-        "validation_error STRING, source_topic STRING, source_partition INT, source_offset BIGINT",
-    )
+    return _dead_letter_fields(graph.table("dead_letters"))
 
 
 @query
 def stream_anomaly_messages(spark, sf_dir):
     graph = streams(spark, sf_dir)
     graph.run_available(["anomaly_messages"])
-    return _json_fields(
-        graph.table("anomaly_messages"),
-        "trade_id STRING, anomaly_reason STRING, severity STRING, price_move_pct DOUBLE",
-    )
+    return _anomaly_fields(graph.table("anomaly_messages"))
+
+
+@query
+def stream_bar_messages(spark, sf_dir):
+    graph = streams(spark, sf_dir)
+    graph.run_available(["bar_messages"])
+    return settled(_json_fields(graph.table("bar_messages"), schemas.TUMBLING.toDDL()))
 
 
 @query
@@ -496,23 +555,41 @@ def _two_deliveries(spark, sf_dir):
     return folder, lambda: land(originals=False)
 
 
-@query
-def stream_bronze_to_silver_incremental(spark, sf_dir):
-    """Two increments, the second one only repeats: the merged table equals a batch merge."""
-    folder = shared_folder(prepare(spark), "increments")
+def _increments(spark, sf_dir, deliveries):
+    """A warehouse after the given deliveries, each in a run of its own.
+
+    From the third one on, the runs have a new checkpoint and see all of bronze again.
+    """
+    folder = shared_folder(spark, "increments")
     events = read_events(spark, sf_dir)
-    increments = WarehouseIncrements(
-        stream_session(spark),
-        f"{folder}/variants",
-        f"{folder}/warehouse",
-        f"{folder}/checkpoints",
-        as_of=latest_event,
-    )
-    for delivery in ({"replays": False}, {"originals": False}):
+    increments = None
+    for number, delivery in enumerate(deliveries):
+        increments = WarehouseIncrements(
+            stream_session(spark),
+            f"{folder}/variants",
+            f"{folder}/warehouse",
+            f"{folder}/checkpoints-{number // 2}",
+            as_of=latest_event,
+        )
         rows = warehouse.to_variant(bronze.to_bronze(to_envelopes(events, **delivery)))
         rows.write.mode("append").parquet(increments.bronze)
         increments.run_available()
-    return _doubles(increments.silver().drop("loaded_at"))
+    return increments
+
+
+@query
+def stream_bronze_to_silver_incremental(spark, sf_dir):
+    """The originals, their repeats, and the repeats again through a new checkpoint: as one batch merge."""
+    repeats = {"originals": False}
+    found = _increments(spark, sf_dir, [{"replays": False}, repeats, repeats])
+    return _doubles(found.silver().drop("loaded_at"))
+
+
+@query
+def stream_warehouse_windows(spark, sf_dir):
+    """Minute bars after two deliveries: those of the trailing span of either, the newer one of each."""
+    found = _increments(spark, sf_dir, [{"replays": False}, {"originals": False}])
+    return _doubles(found.windows().drop("loaded_at"))
 
 
 def _landed_streams(spark, folder):
@@ -531,15 +608,24 @@ def stream_restart_idempotent(spark, sf_dir):
     return quality.layer_counts(counts, dict.fromkeys(counts, 1)).select("layer", "row_count")
 
 
+def _progress_log(graph):
+    log = ProgressLog(graph.spark, shared_folder(graph.spark, "progress"))
+    graph.spark.streams.addListener(log)
+    return log
+
+
 @query
 def stream_late_accounting(spark, sf_dir):
     """Where the rows go when all repeats arrive after the watermark has moved on."""
     folder, land_repeats = _two_deliveries(spark, sf_dir)
     graph = _landed_streams(spark, folder)
-    graph.run_available(["silver", "dead_letters"])
+    log = _progress_log(graph)
+    finished = list(graph.run_available(["silver", "dead_letters"]).values())
     land_repeats()
-    second = graph.run_available(["silver", "dead_letters"])
-    late = progress_table(spark, [second["silver"]]).agg(F.sum("dropped_by_watermark"))
+    finished += graph.run_available(["silver", "dead_letters"]).values()
+    log.wait(finished)
+    graph.spark.streams.removeListener(log)
+    late = log.table().filter("query = 'silver'").agg(F.sum("dropped_by_watermark"))
     counts = {name: graph.table(name) for name in ("bronze", "dead_letters", "silver")}
     layers = quality.layer_counts(counts, dict.fromkeys(counts, 0)).select("layer", "row_count")
     dropped = late.toDF("row_count").select(F.lit("dropped_late").alias("layer"), "row_count")
@@ -549,9 +635,11 @@ def stream_late_accounting(spark, sf_dir):
 @query
 def stream_progress(spark, sf_dir):
     graph = streams(spark, sf_dir)
-    finished = graph.run_available(["silver", "dead_letters"])
+    log = _progress_log(graph)
+    log.wait(graph.run_available(["silver", "dead_letters"]).values())
+    graph.spark.streams.removeListener(log)
     return (
-        progress_table(spark, finished.values())
+        log.table()
         .groupBy("query")
         .agg(
             F.sum("input_rows").alias("input_rows"),

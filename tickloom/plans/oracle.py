@@ -23,7 +23,7 @@ timed AS (
 ),
 trade AS (
   SELECT 'trades' AS topic, CAST(event_id % 6 AS INTEGER) AS "partition",
-    event_id // 6 + replay * 10000000 AS "offset",
+    (event_id // 6) * 2 + replay AS "offset",
     make_timestamp(tape_us + 2000000 + replay * 345600000000) AS kafka_timestamp,
     coalesce(symbol, 'UNKNOWN') AS message_key,
     CASE WHEN event_id % 101 <> 0 THEN 'trade-' || (100000 + event_id) END AS trade_id,
@@ -195,6 +195,31 @@ def _counts(**layers: str) -> str:
 
 VALID_ROWS = "SELECT trade_id, symbol, side, quantity, price, notional, event_ts FROM valid"
 
+KPIS = (
+    FLAGGED
+    + TUMBLING
+    + """SELECT count(*) AS valid_trades, count(DISTINCT symbol) AS symbols,
+    count(*) FILTER (WHERE anomaly_reason <> 'NORMAL') AS anomalies,
+    (SELECT count(*) FROM tumbling) AS aggregate_windows FROM flagged"""
+)
+
+DEAD_LETTERS = """SELECT message_key AS key, validation_error, sequence, topic AS source_topic,
+    "partition" AS source_partition, "offset" AS source_offset
+    FROM checked WHERE validation_error IS NOT NULL"""
+
+ANOMALY_MESSAGES = (
+    FLAGGED
+    + """SELECT symbol AS key, trade_id, symbol, side, quantity, price, notional,
+    date_trunc('milliseconds', event_ts) AS event_ts, anomaly_reason, severity, reference_price,
+    price_move_pct FROM flagged WHERE anomaly_reason <> 'NORMAL'"""
+)
+
+BAR_MESSAGES = (
+    TUMBLING
+    + """SELECT symbol || '|' || strftime(window_start, '%Y-%m-%d %H:%M:%S') AS key, *
+    FROM tumbling"""
+)
+
 ORACLE: dict[str, str] = {
     "bronze_envelope": TAPE
     + """SELECT topic, "partition", "offset", kafka_timestamp, message_key, sequence, event_time
@@ -217,7 +242,8 @@ ORACLE: dict[str, str] = {
     + CONTRACT
     + """SELECT "partition", "offset", text = '' AS valid, text AS errors,
     CASE WHEN text = '' THEN upper(symbol) END AS symbol,
-    CASE WHEN text = '' THEN event_ts END AS event_time
+    CASE WHEN text = '' THEN event_ts END AS event_time,
+    CASE WHEN text = '' THEN sequence END AS sequence
     FROM (SELECT *, coalesce(array_to_string(errors, '; '), '') AS text FROM judged)""",
     "contract_error_counts": TAPE
     + CONTRACT
@@ -250,19 +276,9 @@ ORACLE: dict[str, str] = {
     "daily_symbol_rollup": TAPE
     + f"""SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP) AS trade_day, symbol, {SUMS}
     FROM valid GROUP BY ALL""",
-    "dead_letter_payload": TAPE
-    + """SELECT message_key AS key, validation_error, sequence, topic AS source_topic,
-    "partition" AS source_partition, "offset" AS source_offset
-    FROM checked WHERE validation_error IS NOT NULL""",
-    "anomaly_payload": TAPE
-    + FLAGGED
-    + """SELECT symbol AS key, trade_id, symbol, side, quantity, price, notional,
-    date_trunc('milliseconds', event_ts) AS event_ts, anomaly_reason, severity, reference_price,
-    price_move_pct FROM flagged WHERE anomaly_reason <> 'NORMAL'""",
-    "aggregate_payload": TAPE
-    + TUMBLING
-    + """SELECT symbol || '|' || strftime(window_start, '%Y-%m-%d %H:%M:%S') AS key, *
-    FROM tumbling""",
+    "dead_letter_payload": TAPE + DEAD_LETTERS,
+    "anomaly_payload": TAPE + ANOMALY_MESSAGES,
+    "aggregate_payload": TAPE + BAR_MESSAGES,
     "variant_bronze": TAPE
     + """SELECT "partition", "offset", trade_id, symbol, CAST(quantity AS BIGINT) AS quantity, price
     FROM trade""",
@@ -287,14 +303,12 @@ FROM now n FULL OUTER JOIN before_cut b
     AND window_start >= (SELECT max(event_ts) FROM valid) - INTERVAL 5 MINUTE""",
     "vwap_pivot": _pivot("avg(vwap)"),
     "notional_pivot": _pivot("sum(total_notional)"),
-    "dashboard_kpis": TAPE
-    + FLAGGED
-    + TUMBLING
-    + """SELECT count(*) AS valid_trades, count(DISTINCT symbol) AS symbols,
-    count(*) FILTER (WHERE anomaly_reason <> 'NORMAL') AS anomalies,
-    (SELECT count(*) FROM tumbling) AS aggregate_windows FROM flagged""",
+    "dashboard_kpis": TAPE + KPIS,
     "newest_files_scan": """SELECT event_type, count(*) AS events,
-    CAST(sum(user_id) AS BIGINT) AS user_ids FROM events GROUP BY event_type""",
+    CAST(sum(user_id) AS BIGINT) AS user_ids FROM events
+    WHERE event_id * 5 // ((SELECT max(event_id) FROM events) + 1) >= 2 GROUP BY event_type""",
+    "dashboard_from_tables": TAPE + KPIS,
+    "dashboard_vwap_from_tables": _pivot("avg(vwap)"),
     "partition_lag": TAPE
     + f"""SELECT ends.topic, ends."partition", committed_offset, high_watermark,
     greatest(high_watermark - committed_offset, 0) AS lag
@@ -325,17 +339,13 @@ SELECT days.trade_day, days.symbol, days.trade_count AS daily_trades,
   days.trade_count IS NOT DISTINCT FROM closed.trade_count AS agrees
 FROM days LEFT JOIN closed ON days.trade_day = closed.trade_day AND days.symbol = closed.symbol""",
     "stream_bronze_ingest": TAPE
-    + """SELECT topic, "partition", "offset", kafka_timestamp, message_key FROM trade""",
+    + """SELECT topic, "partition", "offset", kafka_timestamp, message_key, sequence, event_time, trade_id
+    FROM trade""",
     "stream_silver_valid": TAPE + VALID_ROWS,
     "stream_silver_bounded": TAPE + VALID_ROWS,
-    "stream_dead_letters": TAPE
-    + """SELECT message_key AS key, validation_error, topic AS source_topic,
-    "partition" AS source_partition, "offset" AS source_offset
-    FROM checked WHERE validation_error IS NOT NULL""",
-    "stream_anomaly_messages": TAPE
-    + FLAGGED
-    + """SELECT symbol AS key, trade_id, anomaly_reason, severity, price_move_pct
-    FROM flagged WHERE anomaly_reason <> 'NORMAL'""",
+    "stream_dead_letters": TAPE + DEAD_LETTERS,
+    "stream_anomaly_messages": TAPE + ANOMALY_MESSAGES,
+    "stream_bar_messages": TAPE + BAR_MESSAGES + f" WHERE window_end <= {CLOSED}",
     "stream_tumbling_closed": TAPE
     + TUMBLING
     + f"SELECT * FROM tumbling WHERE window_end <= {CLOSED}",
@@ -346,6 +356,7 @@ FROM days LEFT JOIN closed ON days.trade_day = closed.trade_day AND days.symbol
     + SESSIONS
     + f"SELECT * FROM sessions WHERE session_end <= {CLOSED}",
     "stream_bronze_to_silver_incremental": TAPE + WAREHOUSE + WAREHOUSE_ROWS,
+    "stream_warehouse_windows": TAPE + WAREHOUSE + _minute_bars(RECENT),
     "stream_restart_idempotent": TAPE
     + TUMBLING
     + _counts(

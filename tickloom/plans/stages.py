@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators import bars, bronze, silver
+from tickloom.schemas import EVENT_DATE
 from tickloom.session import prepare, shared_folder, stream_session
-from tickloom.sources.event_tape import event_splits, read_events, to_envelopes
+from tickloom.sources.event_tape import read_events, to_envelopes
 from tickloom.streaming.graph import TradeStreams
 
 # Every symbol of the tape after normalisation, so that pivots have a fixed layout.
@@ -30,17 +31,24 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dedup(silver.accept(checked(spark, sf_dir)))
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write a layer that several consumers share to the cluster's folder and read it back."""
+def stored(spark: SparkSession, df: DataFrame, label: str, by_date: bool = False) -> DataFrame:
+    """Write a layer that several consumers share to the cluster's folder and read it back.
+
+    With ``by_date`` it is laid out in folders by event date, which time ranges prune.
+    """
     path = shared_folder(spark, label)
-    df.write.parquet(path)
+    if by_date:
+        df = df.withColumn(EVENT_DATE, F.to_date("event_ts")).hint("rebalance", EVENT_DATE)
+        df.write.partitionBy(EVENT_DATE).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_valid(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
     """Silver without the raw payload and other columns no summary needs."""
     columns = ("trade_id", "symbol", "side", "quantity", "price", "notional", "event_ts")
-    return stored(spark, valid(spark, sf_dir).select(*columns), "silver")
+    return stored(spark, valid(spark, sf_dir).select(*columns), "silver", by_date)
 
 
 def streams(spark: SparkSession, sf_dir: str, **settings) -> TradeStreams:
@@ -48,9 +56,6 @@ def streams(spark: SparkSession, sf_dir: str, **settings) -> TradeStreams:
     session = stream_session(prepare(spark))
     folder = shared_folder(spark, "streams")
     events = read_events(session, sf_dir, stream=True)
-    cores = spark.sparkContext.defaultParallelism
-    if event_splits(spark, sf_dir) < cores:
-        events = events.repartition(cores, "event_id")
     return TradeStreams(session, to_envelopes(events), f"{folder}/tables", f"{folder}/checkpoints", **settings)
 
 
