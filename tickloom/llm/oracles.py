@@ -1,5 +1,103 @@
-"""SQL oracles of the queries that SQL can express."""
+"""SQL oracles (DuckDB dialect) of the queries that SQL can express over whole tables."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_SPACE = r"'[^\x20\x09-\x0D]+'"
+
+_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS n, array_to_string(ws[i : i + 12], ' ') AS k
+  FROM b, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS t(i) WHERE len(ws) > 0
+),
+keys AS (SELECT DISTINCT n, k FROM win),
+places AS (
+  SELECT doc_id, i, n, array_to_string(ws[i : i + n - 1], ' ') AS k
+  FROM d, (SELECT DISTINCT n FROM keys) AS sizes, unnest(range(1, len(ws) - n + 2)) AS t(i)
+),
+occ AS (SELECT places.* FROM places JOIN keys USING (n, k)),
+hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM occ, unnest(range(i, i + n)) AS t(j) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ JOIN win USING (n, k)) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+# Bytes as pairs of hexadecimal digits.
+_REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 800)) AS k FROM d, unnest(range(1, len(h) // 2 - 398)) AS t(i)),
+twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+opened AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS opens
+  FROM win SEMI JOIN twice USING (k)
+),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM opened),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, span),
+pieces AS (
+  SELECT doc_id, a, b, substr(h, 2 * before - 1, 2 * (a - before)) AS piece, h
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before FROM spans) JOIN d USING (doc_id)
+),
+cut AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(piece, '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS kept
+  FROM pieces GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+_SUBSTRING = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACE}) AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS k FROM d, unnest(range(1, len(ws) - 48)) AS t(i)
+),
+least_doc AS (SELECT k, min(doc_id) AS lowest FROM win GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, j FROM win JOIN least_doc USING (k), unnest(range(i, i + 50)) AS t(j) WHERE lowest < doc_id
+),
+removed AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(ws[j], ' ' ORDER BY j) AS words
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS j FROM d) AS each ANTI JOIN gone USING (doc_id, j)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_SPACE}) AS ws FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS s
+  FROM d, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS t(i) WHERE len(ws) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 90 * (p.n + q.n - c)
+),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.y FROM reach r JOIN both_ways l ON l.x = r.other
+)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(other) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY ALL"""
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": _DECONTAMINATION,
+    "op4_suffix_dedup": _REPEATS,
+    "op5_substring_dedup": _SUBSTRING,
+    "op8_jaccard_join": _JACCARD,
+}
