@@ -8,7 +8,6 @@ stream of ids is cut every ``length`` tokens, so that only the very last sequenc
 from __future__ import annotations
 
 import zlib
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,7 +27,14 @@ DIMENSIONS = 4
 BITS = 12
 CHUNK_BYTES = 1 << 21
 # Words whose ids a task remembers; beyond that it starts anew, which only costs time.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 600_000
+# Words that the tokenizer gets at a time; what it returns for a word takes far more than its ids.
+BATCH_WORDS = 1000
+
+
+_MARK, _ASCII_LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -59,6 +65,27 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def _parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts, ends and first part of each document: pieces of text whose ids do not depend on what is around.
+
+    Words between white space, of which marks at the end come apart where they follow a letter of
+    ASCII, as the tokenizer parts letters from marks. It lower-cases too, so A-Z need not be told apart from
+    a-z, but for words with "<", which may hold the name of a special token.
+    """
+    starts, ends, _ = arrays.words(data, bounds, arrays.NOT_SPACE)
+    at = np.arange(len(data))
+    last = np.maximum.accumulate(np.where(_MARK[data], -1, at))[ends - 1] if len(ends) else ends
+    inner = (last >= starts) & (last < ends - 1)
+    inner[inner] = _ASCII_LETTER[data[last[inner]]]
+    cut = last[inner] + 1
+    low = arrays.LOWER[data]
+    odd = np.flatnonzero(data == ord("<"))
+    for word in np.unique(np.searchsorted(starts, odd, "right") - 1).tolist():
+        low[starts[word] : ends[word]] = data[starts[word] : ends[word]]
+    starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+    return low, starts, ends, np.searchsorted(starts, bounds)
+
+
 class WordEncoder:
     """Ids of whole texts from ids of words: the tokenizer never joins across ASCII white space."""
 
@@ -66,24 +93,28 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.memo: dict[bytes, tuple] = {}
+        self.memo: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk, each text followed by ``end_id``, and the first id of each text."""
-        starts, ends, first = arrays.words(data, bounds, arrays.NOT_SPACE)
-        _, at, inverse = np.unique(arrays.byte_hash(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
+        low, starts, ends, first = _parts(data, bounds)
+        _, at, inverse = np.unique(arrays.byte_hash(low, starts, ends), return_index=True, return_inverse=True)
+        raw = low.tobytes()
         distinct = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
         if len(self.memo) > MEMO_WORDS:
             self.memo = {}
         fresh = [w for w in distinct if w not in self.memo]
-        texts = [w.decode("utf-8") for w in fresh]
-        self.memo.update(zip(fresh, (tuple(x.ids) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False))))
-        ids = [self.memo[w] for w in distinct] + [(end_id,)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), self.kind, int(size.sum()))
+        for low in range(0, len(fresh), BATCH_WORDS):
+            part = fresh[low : low + BATCH_WORDS]
+            found = self.tokenizer.encode([w.decode("utf-8") for w in part], is_pretokenized=True, add_special_tokens=False)
+            place = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1)) * np.dtype(self.kind).itemsize
+            packed = np.array(found.ids, self.kind).tobytes()
+            self.memo.update((w, packed[i:j]) for w, i, j in zip(part, place[:-1].tolist(), place[1:].tolist()))
+        ids = [self.memo[w] for w in distinct] + [self.kind(end_id).tobytes()]
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
         offset = np.concatenate([[0], np.cumsum(size)])
         stream = np.insert(inverse, first[1:], len(distinct))
         row_first = first + np.arange(len(first))
