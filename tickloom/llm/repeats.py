@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tickloom.llm import arrays
 from tickloom.llm.frames import map_texts, stored
 
-MAX_BUCKET = 512
+# Different runs of a bucket that one task compares; their strings are a few MB at most.
+MAX_BUCKET = 4096
 # Strings of a bucket job that are looked at together; a bucket is never divided.
 GROUP_BYTES = 1 << 21
 
@@ -216,15 +217,6 @@ def single_windows(strings: DataFrame, unit_spans: Callable, window: int) -> Dat
     return strings.mapInArrow(split, f"{kinds}, at INT, window_digest BINARY")
 
 
-def windows_to_ranges(flags: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """Window numbers ``at`` by key as ranges of units: key columns and ``ranges`` ARRAY<STRUCT<lo, hi>>.
-
-    A key is one run, so the list is no longer than a run.
-    """
-    listed = flags.groupBy(*keys).agg(F.sort_array(F.collect_set("at")).alias("marks"))
-    return listed.withColumn("ranges", F.transform("marks", lambda m: F.struct(m.alias("lo"), (m + window).alias("hi")))).drop("marks")
-
-
 def spans_by_document(parts: list[DataFrame]) -> DataFrame:
     """Ranges (doc, code, lo, hi) of all parts as one list for each document, no longer than its own runs."""
     together = parts[0]

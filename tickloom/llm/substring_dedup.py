@@ -59,26 +59,34 @@ def _each_word(packed: bytes):
     return starts.tolist(), ends.tolist()
 
 
-def _counted(texts: DataFrame, distinct: DataFrame, window: int, max_bucket: int) -> DataFrame:
-    """anchor, digest, doc (of the first occurrence), counts and firsts of the windows of each run that meets others."""
+def _bucket_strings(texts: DataFrame, distinct: DataFrame, window: int, max_bucket: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts of the usual buckets, and of the largest ones all windows one by one and their totals."""
     strings = repeats.packed_strings(texts, distinct.where("n_digests > 1"), repeats.word_units, window)
     usual = repeats.by_bucket(strings.where(F.col("n_digests") <= max_bucket), bucket_counts(window), COUNTED)
     hot = repeats.single_windows(strings.where(F.col("n_digests") > max_bucket), _each_word, window)
     totals = hot.groupBy("window_digest").agg(F.sum("n").alias("count"), F.min("doc").alias("first"))
-    listed = (
-        hot.join(totals, "window_digest")
-        .groupBy("anchor", "digest", "doc")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "count", "first"))).alias("w"))
-    )
-    return usual.unionByName(listed.select("anchor", "digest", "doc", F.col("w.count").alias("counts"), F.col("w.first").alias("firsts")))
+    return usual, hot, totals
+
+
+def _late_windows(texts: DataFrame, distinct: DataFrame, window: int, max_bucket: int) -> DataFrame:
+    """anchor, digest, marks: the windows of a run that a smaller document than its first one has."""
+    usual, hot, totals = _bucket_strings(texts, distinct, window, max_bucket)
+    late = F.transform("firsts", lambda first, at: F.when(first < F.col("doc"), at))
+    marked = usual.select("anchor", "digest", F.filter(late, lambda at: at.isNotNull()).alias("marks"))
+    totals = totals.withColumnRenamed("window_digest", "same")
+    beside = hot.join(totals, (F.col("window_digest") == F.col("same")) & (F.col("first") < F.col("doc")))
+    listed = beside.groupBy("anchor", "digest").agg(F.sort_array(F.collect_set("at")).alias("marks"))
+    return marked.where(F.size("marks") > 0).unionByName(listed)
 
 
 def count_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
     """Exact counts of all windows that occur in more than one run: digest (of the run), at, count, first (smallest id)."""
     texts = repeats.keyed(docs, id_col, text_col)
     distinct = repeats.distinct_runs(repeats.find_runs(texts, repeats.word_units, window, gram))
-    counted = _counted(texts, distinct, window, max_bucket)
-    return counted.select("digest", F.posexplode(F.arrays_zip(F.col("counts").alias("count"), F.col("firsts").alias("first"))).alias("at", "w")).select("digest", "at", "w.*")
+    usual, hot, totals = _bucket_strings(texts, distinct, window, max_bucket)
+    each = F.posexplode(F.arrays_zip(F.col("counts").alias("count"), F.col("firsts").alias("first")))
+    listed = usual.select("digest", each.alias("at", "w")).select("digest", "at", "w.*")
+    return listed.unionByName(hot.join(totals, "window_digest").select("digest", "at", "count", "first"))
 
 
 def remove_later(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
@@ -92,10 +100,7 @@ def remove_later(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = repeats.keyed(docs, id_col, text_col)
     runs = repeats.find_runs(texts, repeats.word_units, window, gram)
     distinct = repeats.distinct_runs(runs)
-    marks = _counted(texts, distinct, window, max_bucket).select(
-        "anchor", "digest",
-        F.filter(F.transform("firsts", lambda first, at: F.when(first < F.col("doc"), at)), lambda at: at.isNotNull()).alias("marks"),
-    ).where(F.size("marks") > 0)
+    marks = _late_windows(texts, distinct, window, max_bucket)
     chosen = distinct.select("anchor", "digest", "n", F.col("lead.doc").alias("lead_doc")).join(marks, ["anchor", "digest"], "left").where("n > 1 OR marks IS NOT NULL")
     late = F.col("doc") > F.col("lead_doc")
     whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("n_windows") + window - 1).alias("hi")))
