@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.frames import stored
+
 GRAM = 3
 # Diagonals of one span differ by at most so many words from one to the next.
 NEIGHBOUR = 4
@@ -40,22 +42,26 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words(text: Column) -> Column:
     """Words of a text in which A-Z are lower-cased; a null text has none."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    held = F.coalesce(text.cast("string"), F.lit(""))
+    # Only two other characters have a lower case in ASCII; texts with them take the slow way.
+    odd = F.contains(held, F.lit("\u0130")) | F.contains(held, F.lit("\u212a"))
+    return F.regexp_extract_all(F.when(odd, F.translate(held, _UPPER, _LOWER)).otherwise(F.lower(held)), F.lit(_WORD), F.lit(0))
 
 
-def grams(array: Column) -> Column:
-    """Rolling k-grams of a word array, as structs; fewer words give none."""
+def rolling_grams(df: DataFrame, array: str, place: str, gram: str) -> DataFrame:
+    """All k-grams of a column of words, one row each with its place; fewer words give none."""
     count = F.greatest(F.size(array) - (GRAM - 1), F.lit(0))
-    return F.slice(F.arrays_zip(*[F.slice(array, k + 1, F.greatest(count, F.lit(0))).alias(f"w{k}") for k in range(GRAM)]), 1, count)
+    shifted = [F.slice(array, k + 1, count).alias(f"w{k}") for k in range(GRAM)]
+    kept = [F.col(f"`{name}`") for name in df.columns if name != array]
+    return df.select(*kept, F.posexplode(F.arrays_zip(*shifted)).alias(place, gram))
 
 
 def template_grams(spark: SparkSession, phrases, templates) -> DataFrame:
     """K-grams of all phrases and templates: a fixed table of a few hundred rows."""
     rows = [(n, label, text, n < len(phrases)) for n, (label, text) in enumerate((*phrases, *templates))]
     listed = spark.createDataFrame(rows, "template INT, label STRING, phrase STRING, is_base BOOLEAN").withColumn("own", words(F.col("phrase")))
-    return listed.select(
-        "template", "label", "is_base", (F.size("own") - (GRAM - 1)).alias("n_grams"), F.posexplode(grams(F.col("own"))).alias("t", "gram")
-    ).select("*", _hash("gram").alias("code"))
+    listed = listed.select("template", "label", "is_base", (F.size("own") - (GRAM - 1)).alias("n_grams"), "own")
+    return rolling_grams(listed, "own", "t", "gram").select("*", _hash("gram").alias("code"))
 
 
 def _hash(gram: str) -> Column:
@@ -66,7 +72,8 @@ def spans(docs: DataFrame, text_col: str, key_cols: list[str], phrases=PHRASES,
     """Verified spans: key, template, label, is_base, first_word, end_word, coverage."""
     spark = docs.sparkSession
     # Short texts and copies do not matter here: each k-gram is looked up by itself.
-    rolling = docs.select(*key_cols, F.posexplode(grams(words(F.col(text_col)))).alias("p", "held")).select("*", _hash("held").alias("code"))
+    seen = docs.select(*key_cols, words(F.col(text_col)).alias("words"))
+    rolling = rolling_grams(seen, "words", "p", "held").select("*", _hash("held").alias("code"))
     listed = F.broadcast(template_grams(spark, phrases, templates))  # fixed size
     same_words = [F.col(f"held.w{k}") == F.col(f"gram.w{k}") for k in range(GRAM)]
     match = rolling.join(listed, ["code"]).where(same_words[0] & same_words[1] & same_words[2])
@@ -74,6 +81,8 @@ def spans(docs: DataFrame, text_col: str, key_cols: list[str], phrases=PHRASES,
     by_diagonal = votes.groupBy(*key_cols, "template", "label", "is_base", "n_grams", "diagonal").agg(
         F.collect_set("t").alias("held"), F.min("p").alias("p0"), F.max("p").alias("p1")
     )
+    # Few rows, read twice below: the texts are scanned only once for them.
+    by_diagonal = stored(by_diagonal, "votes")
     # A phrase stands where one diagonal has all its k-grams.
     exact = by_diagonal.where(F.col("is_base") & (F.size("held") == F.col("n_grams"))).select(
         *key_cols, "template", "label", "is_base", F.col("p0").cast("long").alias("first_word"),
