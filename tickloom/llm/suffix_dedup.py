@@ -40,7 +40,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     while True:
         distinct, ranks = np.unique(keys, return_inverse=True)
         ranks = ranks.astype(np.uint64) + np.uint64(1)
-        levels.append((size, ranks))
+        levels.append((size, ranks.astype(np.uint32)))
         if size >= depth or len(distinct) == n:
             break
         ahead = np.zeros(n, np.uint64)
@@ -51,7 +51,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     common = np.zeros(max(n - 1, 0), np.int64)
     for size, ranks in reversed(levels):
         while True:
-            ends = np.concatenate([ranks, [0]])  # beyond the end nothing is equal
+            ends = np.append(ranks, np.uint32(0))  # beyond the end nothing is equal
             same = (a < n) & (b < n)
             same &= ends[np.minimum(a, n)] == ends[np.minimum(b, n)]
             if size == levels[-1][0]:
@@ -100,37 +100,57 @@ def maximal_repeats(order: np.ndarray, common: np.ndarray, before: np.ndarray, s
     return found
 
 
-GROUPS = "group BINARY, length INT, doc BIGINT, code INT, start INT, digest BINARY, n BIGINT"
+GROUPS = "group BINARY, length INT, doc BIGINT, code INT, start INT"
+RANGES = "doc BIGINT, code INT, lo INT, hi INT"
+
+
+def _bucket_array(table: pa.Table):
+    """Symbols of all packed strings, each with a separator of its own, their bounds, suffix array and common prefixes."""
+    strings = table["packed"].to_pylist()
+    size = np.array([len(s) for s in strings])
+    at = np.concatenate([[0], np.cumsum(size + 1)])
+    raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    symbols = raw.astype(np.int64)
+    symbols[at[1:] - 1] = 256 + np.arange(len(strings))
+    order, common = suffix_array(symbols, int(size.max()) + 1)
+    return raw, at, order, common, np.concatenate([[1 << 40], symbols[:-1]])
 
 
 def bucket_repeats(window: int):
     """Job over buckets: one row for each occurrence of each maximal repeat among the packed strings."""
 
     def one(table: pa.Table) -> pa.Table:
-        strings = table["packed"].to_pylist()
-        size = np.array([len(s) for s in strings])
-        at = np.concatenate([[0], np.cumsum(size + 1)])
-        symbols = np.empty(at[-1], np.int64)
-        raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        symbols[:] = raw
-        symbols[at[1:] - 1] = 256 + np.arange(len(strings))  # a separator of its own after each string
-        order, common = suffix_array(symbols, int(size.max()) + 1)
-        before = np.concatenate([[1 << 40], symbols[:-1]])
-        owner = np.searchsorted(at, np.arange(len(symbols)), "right") - 1
-        names, lengths, rows, starts = [], [], [], []
-        lead = table["start"].to_numpy()
+        raw, at, order, common, before = _bucket_array(table)
+        names, lengths, places = [], [], []
         for length, first, end in maximal_repeats(order, common, before, window):
             held = order[first:end]
             names += [hashlib.blake2b(raw[held[0] : held[0] + length].tobytes(), digest_size=16).digest()] * len(held)
             lengths += [length] * len(held)
-            rows.append(owner[held])
-            starts.append(held - at[owner[held]])
-        rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        part = table.select(["doc", "code", "digest", "n"]).take(pa.array(rows))
-        return pa.table(
-            {"group": pa.array(names, pa.binary()), "length": pa.array(lengths, pa.int32()), "doc": part["doc"], "code": part["code"], "start": pa.array((starts + lead[rows]).astype(np.int32)), "digest": part["digest"], "n": part["n"]}
-        )
+            places.append(held)
+        place = np.concatenate(places) if places else np.zeros(0, np.int64)
+        row = np.searchsorted(at, place, "right") - 1
+        start = place - at[row] + table["start"].to_numpy()[row]
+        part = table.select(["doc", "code"]).take(pa.array(row))
+        return pa.table({"group": pa.array(names, pa.binary()), "length": pa.array(lengths, pa.int32()), "doc": part["doc"], "code": part["code"], "start": pa.array(start.astype(np.int32))})
+
+    return one
+
+
+def bucket_ranges(window: int):
+    """Job over buckets: the ranges that the maximal repeats cover in the packed strings."""
+
+    def one(table: pa.Table) -> pa.Table:
+        raw, at, order, common, before = _bucket_array(table)
+        longest = np.zeros(len(order), np.int64)  # of the repeats that begin with each suffix
+        for length, first, end in maximal_repeats(order, common, before, window):
+            part = longest[first:end]
+            part[part == 0] = length
+        held = longest > 0
+        lo, hi = arrays.runs(arrays.covered(order[held], order[held] + longest[held], len(raw)))
+        row = np.searchsorted(at, lo, "right") - 1
+        shift = table["start"].to_numpy()[row] - at[row]
+        part = table.select(["doc", "code"]).take(pa.array(row))
+        return pa.table({"doc": part["doc"], "code": part["code"], "lo": pa.array((lo + shift).astype(np.int32)), "hi": pa.array((hi + shift).astype(np.int32))})
 
     return one
 
@@ -139,28 +159,33 @@ def _each_byte(packed: bytes):
     return range(len(packed)), range(1, len(packed) + 1)
 
 
-def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
-    """All repeats as groups: group, length, doc, code, start; one row for each occurrence.
-
-    Three kinds of groups, told apart by ``kind``: "run" (a run of windows that occurs again as a whole),
-    "repeat" (a maximal repeat within a bucket; copies of a whole run stand for one), and "window" (single
-    windows of a bucket with too many different runs). Together they cover every byte of every repeated window.
-    """
+def _bucket_strings(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, max_bucket: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs that occur again as a whole; strings of the usual buckets; repeated single windows of the largest ones."""
     texts = repeats.keyed(docs, id_col, text_col)
     runs = repeats.find_runs(texts, repeats.byte_units, window, gram)
     distinct = repeats.distinct_runs(runs)
-    whole = runs.join(distinct.where("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select(
-        F.lit("run").alias("kind"), F.col("digest").alias("group"), (F.col("n_windows") + window - 1).alias("length"), "doc", "code", "start"
-    )
+    whole = runs.join(distinct.where("n > 1").select("anchor", "digest"), ["anchor", "digest"])
     strings = repeats.packed_strings(texts, distinct.where("n_digests > 1"), repeats.byte_units, window)
-    columns = ["kind", "group", "length", "doc", "code", "start"]
-    usual = repeats.by_bucket(strings.where(F.col("n_digests") <= max_bucket), bucket_repeats(window), GROUPS)
     hot = repeats.single_windows(strings.where(F.col("n_digests") > max_bucket), _each_byte, window)
     twice = hot.groupBy("window_digest").agg(F.count("*").alias("seen")).where("seen > 1")
-    single = hot.join(twice, "window_digest").select(
-        F.lit("window").alias("kind"), F.col("window_digest").alias("group"), F.lit(window).alias("length"), "doc", "code", (F.col("start") + F.col("at")).alias("start")
+    single = hot.join(twice, "window_digest").withColumn("start", F.col("start") + F.col("at"))
+    return whole, strings.where(F.col("n_digests") <= max_bucket), single
+
+
+def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
+    """All repeats as groups: kind, group, length, doc, code, start; one row for each occurrence.
+
+    Three kinds of groups: "run" (a run of windows that occurs again as a whole), "repeat" (a maximal
+    repeat within a bucket; copies of a whole run stand for one), and "window" (single windows of a bucket
+    with too many different runs). Together they cover every byte of every repeated window.
+    """
+    whole, strings, single = _bucket_strings(docs, id_col, text_col, window, gram, max_bucket)
+    columns = ["kind", "group", "length", "doc", "code", "start"]
+    runs = whole.select(F.lit("run").alias("kind"), F.col("digest").alias("group"), (F.col("n_windows") + window - 1).alias("length"), "doc", "code", "start")
+    usual = repeats.by_bucket(strings, bucket_repeats(window), GROUPS).withColumn("kind", F.lit("repeat")).select(*columns)
+    return runs.unionByName(usual).unionByName(
+        single.select(F.lit("window").alias("kind"), F.col("window_digest").alias("group"), F.lit(window).alias("length"), "doc", "code", "start")
     )
-    return whole.unionByName(usual.withColumn("kind", F.lit("repeat")).select(*columns)).unionByName(single)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, max_bucket: int = repeats.MAX_BUCKET, as_text: bool = False) -> DataFrame:
@@ -172,8 +197,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents; all occurrences go, the first one too. A null text is empty. Every row comes back
     once; rows of equal id and text repeat each other like any two documents.
     """
-    groups = repeat_groups(docs, id_col, text_col, window, gram, max_bucket)
-    spans = repeats.spans_by_document([groups.select("doc", "code", F.col("start").alias("lo"), (F.col("start") + F.col("length")).alias("hi"))])
+    whole, strings, single = _bucket_strings(docs, id_col, text_col, window, gram, max_bucket)
+    spans = repeats.spans_by_document([
+        whole.select("doc", "code", F.col("start").alias("lo"), (F.col("start") + F.col("n_windows") + window - 1).alias("hi")),
+        repeats.by_bucket(strings, bucket_ranges(window), RANGES),
+        single.select("doc", "code", F.col("start").alias("lo"), (F.col("start") + window).alias("hi")),
+    ])
     schema = f"n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept {'STRING' if as_text else 'BINARY'}"
     return cut_spans(docs, spans, id_col, text_col, _cut_text if as_text else _cut_bytes, schema)
 
