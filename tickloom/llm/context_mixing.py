@@ -30,8 +30,8 @@ from tickloom.llm.sums import count_table, read_counts
 ORDERS = 6  # contexts of 0, 1, ... 5 bytes
 END = 0xFF  # no byte of UTF-8
 TABLE_BITS = 22
-CHUNK_BYTES = 1 << 21
-LEARN_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
+LEARN_BYTES = 1 << 21
 DIRECT = 256 + (1 << 16)
 PRIOR = 0.2
 # Sets of weights: longest seen context, how often it was seen, number of the bit.
