@@ -234,9 +234,9 @@ def test_license_template_with_changes(spark):
     assert found[2]["labels"] == "" and found[3]["score"] == 1
 
 
-@pytest.mark.parametrize("limits", [(200, 128), (1, 2)])
+@pytest.mark.parametrize("limits", [(500_000, 500_000), (1, 150)])
 def test_jaccard_join(docs, rows, empty, limits):
-    found = jaccard_join.join_components(docs, small_region=limits[0], block_docs=limits[1])
+    found = jaccard_join.join_components(docs, small_region=limits[0], block_shingles=limits[1])
     assert bag(found, "doc_id", "n_shingles", "component_id") == expect(rows, brute.jaccard([r[:2] for r in rows]))
     if limits[0] == 1:
         assert jaccard_join.join_components(empty).count() == 0

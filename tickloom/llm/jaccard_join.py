@@ -19,6 +19,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,9 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 # Slots of the table of shingle frequencies that orders shingles; held by every task.
 FREQUENCY_SLOTS = 1 << 20
-# Documents of a region, and of a block of a ring, that one task joins at a time.
-SMALL_REGION = 200
-BLOCK_DOCS = 128
+# Shingles of all documents of a region, and of a block of a ring, that one task joins at a time.
+SMALL_REGION = 500_000
+BLOCK_SHINGLES = 500_000
 GROUP_BYTES = 1 << 21
 
 
@@ -107,7 +108,7 @@ def links_between(codes: np.ndarray, first: np.ndarray, left: np.ndarray, right:
     common = np.zeros((len(left), len(right)), np.float32)
     keep = often[column]
     column, row = number[column[keep]], row[keep]
-    width = 1 << 14
+    width = 1 << 11
     for low in range(0, int(number[-1]) + 1 if len(number) else 0, width):
         part = (column >= low) & (column < low + width)
         grid = np.zeros((len(size), min(width, int(number[-1]) + 1 - low)), np.float32)
@@ -163,10 +164,27 @@ def _whole_groups(df: DataFrame, keys: list[str], job, schema: str) -> DataFrame
     return dealt.mapInArrow(run, schema)
 
 
+def _packed_texts(texts: DataFrame) -> DataFrame:
+    """doc, code and the compressed text, as it travels to every region it is in."""
+
+    def job():
+        pack = zstandard.ZstdCompressor(level=3)
+        return lambda data, bounds, rows: [
+            pa.array([pack.compress(data[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+        ]
+
+    return map_texts(texts, "text", "packed BINARY", job).select("row.doc", "row.code", "result.packed")
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor()
+    return pa.array([unpack.decompress(b) for b in column.to_pylist()], pa.binary()).cast(pa.string())
+
+
 def _sets_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     parts, sizes = [], []
-    for chunk in table["text"].chunks:
-        for _, _, data, bounds in arrays.row_chunks(chunk):
+    for chunk in table["packed"].chunks:
+        for _, _, data, bounds in arrays.row_chunks(_unpacked(chunk)):
             codes, first = shingle_sets(data, bounds)
             parts.append(codes), sizes.append(np.diff(first))
     sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
@@ -212,14 +230,14 @@ def _join_blocks(percent: int):
 
 
 def _distances(percent: int):
-    """Distance of ``text`` to ``pivot_text`` in each row."""
+    """Distance of the text to the pivot's in each row."""
 
     def run(batches):
         for batch in batches:
-            pivot_of, texts = batch.column("pivot").to_numpy(), batch.column("text")
-            pivots = batch.column("pivot_text")
+            pivot_of, texts = batch.column("pivot").to_numpy(), _unpacked(batch.column("packed"))
             order, place = np.unique(pivot_of, return_index=True)
-            held = dict(zip(order.tolist(), _sets_by_row(pivots.take(pa.array(place)))))
+            pivots = _unpacked(batch.column("pivot_packed").take(pa.array(place)))
+            held = dict(zip(order.tolist(), _sets_by_row(pivots)))
             for low, high, data, bounds in arrays.row_chunks(texts):
                 codes, first = shingle_sets(data, bounds)
                 size = np.diff(first)
@@ -233,8 +251,8 @@ def _distances(percent: int):
                 union = size + np.array([len(held[p]) for p in pivot_of[low:high].tolist()]) - common
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("pivot"), part.column("doc"), part.column("code"), pa.array(1 - common / union), pa.array(100 * common >= percent * union)],
-                    ["pivot", "doc", "code", "distance", "linked"],
+                    [*(part.column(name) for name in ("pivot", "doc", "code", "n")), pa.array(1 - common / union), pa.array(100 * common >= percent * union)],
+                    ["pivot", "doc", "code", "n", "distance", "linked"],
                 )
 
     return run
@@ -248,7 +266,7 @@ def _sets_by_row(column: pa.Array) -> list[np.ndarray]:
     return found
 
 
-def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: int, block_docs: int) -> DataFrame:
+def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: int, block_shingles: int) -> DataFrame:
     """Links (a, b) between documents of different sets that connect all that the join connects."""
     spark = texts.sparkSession
     leads = sets.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc", "code")).alias("lead"))
@@ -256,22 +274,29 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
         sets.join(leads, "digest")
         .where((F.col("doc") == F.col("lead.doc")) & (F.col("code") == F.col("lead.code")))
         .dropDuplicates(["digest"])
-        .select("doc", "code", F.explode("rare").alias("shingle"))
+        .select("doc", "code", "n", F.explode("rare").alias("shingle"))
+    )
+    # Two documents of sizes too far apart cannot link, so their shingle elects nobody.
+    alike = (F.col("holders") > 2) | (100 * F.col("least") >= percent * F.col("most"))
+    elected = (
+        rare.groupBy("shingle")
+        .agg(F.count("*").alias("holders"), F.min("doc").alias("pivot"), F.min("n").alias("least"), F.max("n").alias("most"))
+        .where((F.col("holders") > 1) & alike)
+        .select("shingle", "pivot")
     )
-    rare = stored(rare, "rare-shingles")
-    elected = rare.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc").alias("pivot")).where("n > 1").drop("n")
-    members = stored(rare.join(elected, "shingle").select("pivot", "doc", "code").distinct(), "regions")
-    sizes = stored(members.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1"), "region-sizes")
-    held = stored(texts.join(members.select("doc", "code").distinct(), ["doc", "code"]).dropDuplicates(["doc", "code"]), "region-texts")
+    members = stored(rare.join(elected, "shingle").select("pivot", "doc", "code", "n").distinct(), "regions")
+    sizes = stored(members.groupBy("pivot").agg(F.count("*").alias("docs"), F.sum("n").alias("size")).where("docs > 1"), "region-sizes")
+    wanted = members.join(sizes, "pivot", "left_semi").select("doc", "code").distinct()
+    held = stored(_packed_texts(texts.join(wanted, ["doc", "code"])).dropDuplicates(["doc", "code"]), "region-texts")
 
     sized = members.join(sizes, "pivot")
-    small = sized.where(F.col("size") <= small_region).join(held, ["doc", "code"]).select("pivot", "doc", "text")
+    small = sized.where(F.col("size") <= small_region).join(held, ["doc", "code"]).select("pivot", "doc", "packed")
     near = _whole_groups(small, ["pivot"], _join_regions(percent), "a BIGINT, b BIGINT")
 
-    large = sized.where(F.col("size") > small_region).select("pivot", "doc", "code")
-    centres = large.where("doc = pivot").dropDuplicates(["pivot"]).join(held, ["doc", "code"]).select("pivot", F.col("text").alias("pivot_text"))
-    compared = large.join(held, ["doc", "code"]).join(centres, "pivot").select("pivot", "doc", "code", "text", "pivot_text")
-    rings = stored(compared.mapInArrow(_distances(percent), "pivot BIGINT, doc BIGINT, code INT, distance DOUBLE, linked BOOLEAN"), "rings")
+    large = sized.where(F.col("size") > small_region).select("pivot", "doc", "code", "n")
+    centres = large.where("doc = pivot").dropDuplicates(["pivot"]).join(held, ["doc", "code"]).select("pivot", F.col("packed").alias("pivot_packed"))
+    compared = large.join(held, ["doc", "code"]).join(centres, "pivot").select("pivot", "doc", "code", "n", "packed", "pivot_packed")
+    rings = stored(compared.mapInArrow(_distances(percent), "pivot BIGINT, doc BIGINT, code INT, n BIGINT, distance DOUBLE, linked BOOLEAN"), "rings")
     first = stored(near.union(rings.where("linked AND doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))), "near-links")
 
     if rings.isEmpty():
@@ -283,8 +308,8 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
     width = 1 - percent / 100
     ring = F.floor(F.col("distance") / (width + 0.001)).cast("int")
     placed = stored(named.join(main, "pivot").withColumn("ring", ring).withColumn("late", F.col("component") != F.col("main")), "rings")
-    late_count = placed.where("late").groupBy("pivot").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("late_blocks"))
-    ring_count = placed.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("ring_blocks"))
+    late_count = placed.where("late").groupBy("pivot").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("late_blocks"))
+    ring_count = placed.groupBy("pivot", "ring").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("ring_blocks"))
     spread = lambda blocks: F.pmod(F.xxhash64("doc", "code"), blocks).cast("int")
     others = (
         placed.join(late_count, "pivot")
@@ -313,7 +338,7 @@ def join_components(
     text_col: str = "text",
     percent: int = PERCENT,
     small_region: int = SMALL_REGION,
-    block_docs: int = BLOCK_DOCS,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """Components of the join: id, n_shingles, component_id (the smallest id that links reach).
 
@@ -324,7 +349,7 @@ def join_components(
     """
     texts = repeats.keyed(docs, id_col, text_col)
     sets = described(texts, percent)
-    found = components(class_links(texts, sets, percent, small_region, block_docs))
+    found = components(class_links(texts, sets, percent, small_region, block_shingles))
     leads = sets.where("n > 0").groupBy("digest").agg(F.min("doc").alias("lead"))
     # Rows of one id but different sets hang together too.
     classes = leads.join(found.select(F.col("node").alias("lead"), "component"), "lead", "left").select("digest", F.coalesce("component", "lead").alias("component"))
