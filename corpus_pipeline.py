@@ -15,6 +15,9 @@ from tickloom.session import shared_folder
 # A document goes when it has no letter, or when it is long enough to tell and unlike every language.
 TELLING_LETTERS = 200
 MIN_LANGUAGE_SCORE = 0.15
+# Near duplicates: 80 percent of the shingles of five words are the same.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates; one row if that id is repeated."""
-    found = jaccard_join.join_components(docs)
+    found = jaccard_join.join_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
     # Rows without shingles are in no group. A null id is the smallest of all.
     leads = found.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("kept_id"), (F.col("n_shingles") == 0).alias("alone")

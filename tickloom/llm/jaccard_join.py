@@ -62,25 +62,25 @@ def _slots(codes: np.ndarray) -> np.ndarray:
     return (codes >> np.uint64(64 - FREQUENCY_SLOTS.bit_length() + 1)).astype(np.int64)
 
 
-def shingle_frequencies(texts: DataFrame) -> np.ndarray:
+def shingle_frequencies(texts: DataFrame, words: int) -> np.ndarray:
     """Documents by slot of their shingles' hashes: an upper bound of each shingle's frequency."""
 
     def fill(batches, table):
         for batch in batches:
             for _, _, data, bounds in arrays.row_chunks(batch.column(0)):
-                table += np.bincount(_slots(shingle_sets(data, bounds)[0]), minlength=FREQUENCY_SLOTS).astype(np.uint32)
+                table += np.bincount(_slots(shingle_sets(data, bounds, words)[0]), minlength=FREQUENCY_SLOTS).astype(np.uint32)
 
     counts = count_table(texts.select("text"), fill, FREQUENCY_SLOTS, "shingle-frequencies")
     return np.minimum(read_counts(counts, FREQUENCY_SLOTS), 0xFFFFFFFF).astype(np.uint32)
 
 
-def described(texts: DataFrame, percent: int) -> DataFrame:
+def described(texts: DataFrame, percent: int, words: int) -> DataFrame:
     """Stored table: doc, code, n (set size), digest (of the set), rare (the shingles of which a partner has one)."""
-    shared = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts))  # of fixed size
+    shared = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts, words))  # of fixed size
 
     def job():
         def one(data, bounds, rows):
-            codes, first = shingle_sets(data, bounds)
+            codes, first = shingle_sets(data, bounds, words)
             size = np.diff(first)
             row = arrays.owners(first)
             order = np.lexsort((codes, shared.value[_slots(codes)], row))
@@ -181,19 +181,19 @@ def _unpacked(column: pa.Array) -> pa.Array:
     return pa.array([unpack.decompress(b) for b in column.to_pylist()], pa.binary()).cast(pa.string())
 
 
-def _sets_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _sets_of(table: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
     parts, sizes = [], []
     for chunk in table["packed"].chunks:
         for _, _, data, bounds in arrays.row_chunks(_unpacked(chunk)):
-            codes, first = shingle_sets(data, bounds)
+            codes, first = shingle_sets(data, bounds, words)
             parts.append(codes), sizes.append(np.diff(first))
     sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _join_regions(percent: int):
+def _join_regions(percent: int, words: int):
     def job(table, heads):
-        codes, first = _sets_of(table)
+        codes, first = _sets_of(table, words)
         docs = table["doc"].to_numpy()
         a, b = [], []
         for low, high in zip(heads, np.append(heads[1:], len(table))):
@@ -206,11 +206,11 @@ def _join_regions(percent: int):
     return job
 
 
-def _join_blocks(percent: int):
+def _join_blocks(percent: int, words: int):
     """Straggling documents against a block of a ring; a link to each component of the other side at most."""
 
     def job(table, heads):
-        codes, first = _sets_of(table)
+        codes, first = _sets_of(table, words)
         docs, groups, late = table["doc"].to_numpy(), table["component"].to_numpy(), table["late"].to_numpy(zero_copy_only=False)
         a, b = [], []
         for low, high in zip(heads, np.append(heads[1:], len(table))):
@@ -229,7 +229,7 @@ def _join_blocks(percent: int):
     return job
 
 
-def _distances(percent: int):
+def _distances(percent: int, words: int):
     """Distance of the text to the pivot's in each row."""
 
     def run(batches):
@@ -237,9 +237,9 @@ def _distances(percent: int):
             pivot_of, texts = batch.column("pivot").to_numpy(), _unpacked(batch.column("packed"))
             order, place = np.unique(pivot_of, return_index=True)
             pivots = _unpacked(batch.column("pivot_packed").take(pa.array(place)))
-            held = dict(zip(order.tolist(), _sets_by_row(pivots)))
+            held = dict(zip(order.tolist(), _sets_by_row(pivots, words)))
             for low, high, data, bounds in arrays.row_chunks(texts):
-                codes, first = shingle_sets(data, bounds)
+                codes, first = shingle_sets(data, bounds, words)
                 size = np.diff(first)
                 row = arrays.owners(first)
                 common = np.zeros(high - low, np.int64)
@@ -258,15 +258,15 @@ def _distances(percent: int):
     return run
 
 
-def _sets_by_row(column: pa.Array) -> list[np.ndarray]:
+def _sets_by_row(column: pa.Array, words: int) -> list[np.ndarray]:
     found = []
     for _, _, data, bounds in arrays.row_chunks(column):
-        codes, first = shingle_sets(data, bounds)
+        codes, first = shingle_sets(data, bounds, words)
         found += np.split(codes, first[1:-1])
     return found
 
 
-def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: int, block_shingles: int) -> DataFrame:
+def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: int, block_shingles: int, words: int) -> DataFrame:
     """Links (a, b) between documents of different sets that connect all that the join connects."""
     spark = texts.sparkSession
     leads = sets.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc", "code")).alias("lead"))
@@ -291,12 +291,12 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
 
     sized = members.join(sizes, "pivot")
     small = sized.where(F.col("size") <= small_region).join(held, ["doc", "code"]).select("pivot", "doc", "packed")
-    near = _whole_groups(small, ["pivot"], _join_regions(percent), "a BIGINT, b BIGINT")
+    near = _whole_groups(small, ["pivot"], _join_regions(percent, words), "a BIGINT, b BIGINT")
 
     large = sized.where(F.col("size") > small_region).select("pivot", "doc", "code", "n")
     centres = large.where("doc = pivot").dropDuplicates(["pivot"]).join(held, ["doc", "code"]).select("pivot", F.col("packed").alias("pivot_packed"))
     compared = large.join(held, ["doc", "code"]).join(centres, "pivot").select("pivot", "doc", "code", "n", "packed", "pivot_packed")
-    rings = stored(compared.mapInArrow(_distances(percent), "pivot BIGINT, doc BIGINT, code INT, n BIGINT, distance DOUBLE, linked BOOLEAN"), "rings")
+    rings = stored(compared.mapInArrow(_distances(percent, words), "pivot BIGINT, doc BIGINT, code INT, n BIGINT, distance DOUBLE, linked BOOLEAN"), "rings")
     first = stored(near.union(rings.where("linked AND doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))), "near-links")
 
     if rings.isEmpty():
@@ -328,7 +328,7 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
         .select("pivot", "ring", "block", "late_block", "doc", "code", "component", F.lit(True).alias("late"))
     )
     cells = others.unionByName(stragglers).join(held, ["doc", "code"])
-    rest = _whole_groups(cells, ["pivot", "ring", "block", "late_block"], _join_blocks(percent), "a BIGINT, b BIGINT")
+    rest = _whole_groups(cells, ["pivot", "ring", "block", "late_block"], _join_blocks(percent, words), "a BIGINT, b BIGINT")
     return first.union(rest)
 
 
@@ -339,17 +339,18 @@ def join_components(
     percent: int = PERCENT,
     small_region: int = SMALL_REGION,
     block_shingles: int = BLOCK_SHINGLES,
+    words: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """Components of the join: id, n_shingles, component_id (the smallest id that links reach).
 
-    Texts of fewer than three words have all their words as one shingle; null texts and texts without words
+    Shingles have ``words`` words. Texts of fewer words have all their words as one shingle; null texts and texts without words
     have none and link with nothing. Rows of equal id are one document for the links, so they share a
     component if they have shingles. A null id counts as smaller than any other. Every row comes back
     once; other columns are left out.
     """
     texts = repeats.keyed(docs, id_col, text_col)
-    sets = described(texts, percent)
-    found = components(class_links(texts, sets, percent, small_region, block_shingles))
+    sets = described(texts, percent, words)
+    found = components(class_links(texts, sets, percent, small_region, block_shingles, words))
     leads = sets.where("n > 0").groupBy("digest").agg(F.min("doc").alias("lead"))
     # Rows of one id but different sets hang together too.
     classes = leads.join(found.select(F.col("node").alias("lead"), "component"), "lead", "left").select("digest", F.coalesce("component", "lead").alias("component"))
