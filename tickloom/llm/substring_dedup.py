@@ -86,7 +86,10 @@ def count_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     usual, hot, totals = _bucket_strings(texts, distinct, window, max_bucket)
     each = F.posexplode(F.arrays_zip(F.col("counts").alias("count"), F.col("firsts").alias("first")))
     listed = usual.select("digest", each.alias("at", "w")).select("digest", "at", "w.*")
-    return listed.unionByName(hot.join(totals, "window_digest").select("digest", "at", "count", "first"))
+    # Equal windows are in one bucket and, with one minimiser in a run, once in it: those of a lone run occur as often as it.
+    places = F.explode(F.sequence(F.lit(0), F.col("lead.n_windows") - 1))
+    lone = distinct.where("n_digests = 1 AND n > 1").select("digest", places.alias("at"), F.col("n").alias("count"), F.col("lead.doc").alias("first"))
+    return listed.unionByName(lone).unionByName(hot.join(totals, "window_digest").select("digest", "at", "count", "first")).where("count > 1")
 
 
 def remove_later(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, max_bucket: int = repeats.MAX_BUCKET) -> DataFrame:
