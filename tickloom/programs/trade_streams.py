@@ -27,7 +27,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--dedup", choices=("exact", "bounded"), default="exact")
     parser.add_argument("--table-format", default="parquet")
     parser.add_argument("--lenient", action="store_true", help="validation as plain SQL: nulls and NaN pass where no rule names them")
-    parser.add_argument("--files-per-batch", type=int, default=1000, help="files of a table that the next step takes in one micro-batch")
+    parser.add_argument("--files-per-batch", type=int, help="files of a table that the next step takes in one micro-batch; default: no limit")
     parser.add_argument("--quantity", type=int, default=Thresholds().quantity)
     parser.add_argument("--notional", type=float, default=Thresholds().notional)
     parser.add_argument("--price-move", type=float, default=Thresholds().price_move)
@@ -51,7 +51,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         rules=validation_rules(strict=not args.lenient),
         prices=own.read.parquet(args.prices) if args.prices else None,
         thresholds=Thresholds(args.quantity, args.notional, args.price_move),
-        read_options={"maxFilesPerTrigger": str(args.files_per_batch)},
+        read_options={"maxFilesPerTrigger": str(args.files_per_batch)} if args.files_per_batch else {},
     )
     log = ProgressLog(own, args.progress) if args.progress else None
     if log:

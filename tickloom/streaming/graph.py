@@ -106,7 +106,9 @@ class TradeStreams:
     connector on the class path. ``table_format`` other than Parquet needs its
     connector as well. ``rules``, ``prices`` and ``thresholds`` replace the defaults of
     validation and anomaly flags. ``read_options`` limit what a step takes from the table before it
-    in one micro-batch; ``step_options`` add to them or replace them for single steps.
+    in one micro-batch; ``step_options`` add to them or replace them for single steps. There is no limit
+    by default: every file of a table spans the times of its micro-batch, so a limit below the files of one
+    batch moves the watermark past rows that are still to be read.
     """
 
     spark: SparkSession
@@ -120,7 +122,7 @@ class TradeStreams:
     rules: Sequence[Rule] | None = None
     prices: DataFrame | None = None
     thresholds: Thresholds = Thresholds()
-    read_options: Mapping[str, str] = field(default_factory=lambda: {"maxFilesPerTrigger": "1000"})
+    read_options: Mapping[str, str] = field(default_factory=dict)
     step_options: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     topics: Mapping[str, str] = field(
         default_factory=lambda: {
