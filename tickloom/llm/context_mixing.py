@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -398,29 +399,39 @@ def train(grams: DataFrame, bits: int = SHARD_BITS) -> Blend:
     return Blend(low, weights.astype(np.float32), _refined(refine.reshape(2, 256, STEPS)))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Ascending numbers as compressed differences."""
+    return zstandard.compress(np.diff(values, prepend=0).astype(np.int64).tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(packed), np.int64))
+
+
 def gram_scores(found: DataFrame, grams: DataFrame, blend, bits: int) -> DataFrame:
     """uid and score of the documents of blocks: their grams are looked up in the shards.
 
-    ``found`` has block, uid, text, and in one row of each block ``asked``, its distinct grams in ascending order.
+    ``found`` has a row for each block: block (the uid of its first document), n_asked and asked (its distinct grams),
+    bounds and texts (of its documents, which have consecutive uids), compressed.
     """
-    asked = found.where("asked IS NOT NULL").select("block", "asked")
-    n_asked = asked.agg(F.coalesce(F.sum(F.length("asked")), F.lit(0))).first()[0] // 8
+    asked = found.select("block", "asked")
+    n_asked = found.agg(F.coalesce(F.sum("n_asked"), F.lit(0))).first()[0]
     shards = max(-(-grams.count() // (1 << bits)), -(-n_asked // (1 << bits + ASKED_BITS)), 1)
 
     def deal(batches):
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys = np.frombuffer(packed, np.int64)
+                keys = _unpacked(packed)
                 shard = shard_of(keys, shards)
                 order = np.argsort(shard, kind="stable")
                 heads = np.searchsorted(shard[order], np.arange(shards + 1))
-                held = [(n, keys[order[a:b]].tobytes()) for n, (a, b) in enumerate(zip(heads[:-1], heads[1:])) if b > a]
+                held = [(n, _packed(keys[order[a:b]])) for n, (a, b) in enumerate(zip(heads[:-1], heads[1:])) if b > a]
                 names = [pa.array([block] * len(held), pa.int64()), pa.array([n for n, _ in held], pa.int64()), pa.array([k for _, k in held], pa.binary())]
                 yield pa.RecordBatch.from_arrays(names, ["block", "shard", "keys"])
 
     def answer(own: pa.Table, parts: pa.Table) -> pa.Table:
         high = Counts(*_columns(own), HIGH_ORDERS)
-        keys = [np.frombuffer(packed, np.int64) for packed in parts["keys"].to_pylist()]
+        keys = [_unpacked(packed) for packed in parts["keys"].to_pylist()]
         distinct, inverse = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_inverse=True)
         values = blend.value.log10(distinct, high).astype(np.float32)[inverse]
         at = np.cumsum([0, *(len(k) for k in keys)])
@@ -428,20 +439,20 @@ def gram_scores(found: DataFrame, grams: DataFrame, blend, bits: int) -> DataFra
         return pa.table({"block": parts["block"], "shard": parts["shard"], "chances": packed})
 
     def add(texts: pa.Table, parts: pa.Table) -> pa.Table:
-        data, bounds = arrays.text_bytes(texts["text"].combine_chunks() if texts["text"].num_chunks else pa.array([], pa.string()))
-        data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
+        block, packed, bounds = (texts[name][0].as_py() for name in ("block", "texts", "bounds"))
+        data, bounds = np.frombuffer(zstandard.decompress(packed), np.uint8), _unpacked(bounds)
         keys, begin = decisions(data, bounds)
         distinct, inverse = np.unique(keys.view(np.int64), return_inverse=True)
         shard, value = shard_of(distinct, shards), np.zeros(len(distinct))
         for number, packed in zip(parts["shard"].to_pylist(), parts["chances"].to_pylist()):
             value[shard == number] = np.frombuffer(packed, np.float32)
         score = np.bincount(arrays.owners(begin), value[inverse], len(bounds) - 1)
-        return pa.table({"uid": texts["uid"], "score": pa.array(score)})
+        return pa.table({"uid": pa.array(block + np.arange(len(score))), "score": pa.array(score)})
 
     dealt = asked.mapInArrow(deal, "block BIGINT, shard BIGINT, keys BINARY")
     own = grams.withColumn("shard", shard_of(F.col("gram"), shards))
     chances = own.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(answer, "block BIGINT, shard BIGINT, chances BINARY")
-    texts = found.select("block", "uid", "text")
+    texts = found.select("block", "bounds", "texts")
     return texts.groupBy("block").cogroup(chances.groupBy("block")).applyInArrow(add, "uid BIGINT, score DOUBLE")
 
 
@@ -466,7 +477,7 @@ def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return stored(parts.groupBy("word").agg(F.sum("count").alias("count")), "word-counts")
 
 
-RESULT = "n_tokens BIGINT, n_bytes BIGINT, held_sum DOUBLE, held_known BIGINT, rare ARRAY<BIGINT>, block BIGINT, asked BINARY"
+RESULT = "n_tokens BIGINT, n_bytes BIGINT, held_sum DOUBLE, held_known BIGINT, rare ARRAY<BIGINT>, uid BIGINT, block STRUCT<n_asked: BIGINT, asked: BINARY, bounds: BINARY, texts: BINARY>"
 
 
 def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int = SHARD_BITS, held_words: int = HELD_WORDS) -> DataFrame:
@@ -490,11 +501,10 @@ def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int =
 
     def job():
         words, value = shared.value
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 40
 
         def one(data, bounds, rows):
             nonlocal block
-            block += 1
             codes, first = _word_codes(data, bounds)
             distinct, inverse = np.unique(codes, return_inverse=True)
             at = np.minimum(np.searchsorted(words, distinct), max(len(words) - 1, 0))
@@ -505,20 +515,23 @@ def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int =
             asked = np.unique(decisions(data, bounds)[0])
             row = arrays.owners(first)
             docs = len(bounds) - 1
+            uid, block = block + np.arange(docs), block + docs
+            own = {"n_asked": len(asked), "asked": _packed(asked.view(np.int64)), "bounds": _packed(bounds), "texts": zstandard.compress(data.tobytes())}
+            kind = pa.struct([("n_asked", pa.int64()), ("asked", pa.binary()), ("bounds", pa.binary()), ("texts", pa.binary())])
             return [
                 np.diff(first),
                 np.diff(bounds),
                 np.bincount(row, part, docs),
                 np.bincount(row, known, docs).astype(np.int64),
                 arrays.lists(rare, np.concatenate([[0], np.cumsum(~known)])[first]),
-                np.full(docs, block),
-                pa.array([asked.tobytes()] + [None] * (docs - 1), pa.binary()),
+                uid,
+                pa.array([own] + [None] * (docs - 1), kind),  # with the first document of a block
             ]
 
         return one
 
     found = map_texts(docs, text_col, RESULT, job, CHUNK_BYTES)
-    scored = stored(found.select(F.monotonically_increasing_id().alias("uid"), "row", "result.*"), "scores")
+    scored = stored(found.select("row", "result.*"), "scores")
     # Words beyond the held ones are rare by construction: none of them is a hot key.
     rare = scored.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(F.count("*").alias("times"))
     looked = (
@@ -529,11 +542,10 @@ def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int =
             F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         )
     )
-    texts = scored.select("block", "uid", "asked", F.col(f"row.`{text_col}`").alias("text"))
-    mixed = gram_scores(texts, grams, blend, bits)
+    mixed = gram_scores(scored.where("block IS NOT NULL").select(F.col("uid").alias("block"), *(f"block.{c}" for c in ("n_asked", "asked", "bounds", "texts"))), grams, blend, bits)
     total = math.log10(n_train + SMOOTHING * (n_distinct + 1))
     zero = F.lit(0)
-    return scored.drop("rare", "block", "asked").join(mixed, "uid").join(looked, "uid", "left").select(
+    return scored.drop("rare", "block").join(mixed, "uid").join(looked, "uid", "left").select(
         "row",
         "n_tokens",
         (F.col("held_known") + F.coalesce("rare_known", zero)).alias("n_known"),
