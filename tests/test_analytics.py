@@ -3,7 +3,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import payload
 from pyspark.sql import functions as F
 
 from tickloom.functions.rules import Thresholds
@@ -19,6 +18,7 @@ from tickloom.operators import (
     warehouse,
 )
 from tickloom.plans.stages import valid
+from trades import payload
 
 
 def trades_of(spark, rows):

@@ -1,11 +1,11 @@
 from datetime import UTC, datetime
 
 import pytest
-from conftest import payload
 from pyspark.sql import functions as F
 
 from tickloom.functions.contract import FIELDS, assert_contract, contract_errors
 from tickloom.functions.instants import iso_instant
+from trades import payload
 
 CASES = [
     (payload(), []),

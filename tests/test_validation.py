@@ -1,9 +1,9 @@
 import pytest
-from conftest import payload
 from pyspark.sql import functions as F
 
 from tickloom.functions.rules import validation_rules
 from tickloom.operators import bronze, payloads, silver
+from trades import payload
 
 CASES = {
     # payload: (strict outcome, outcome with the gaps of the plain form)
