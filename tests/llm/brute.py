@@ -106,11 +106,13 @@ def licenses(text, phrases):
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
 
 
-def shingles(text):
+def word_shingles(text, size):
     words = SPACE_WORD.findall(lower(text))
-    if not words:
-        return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(len(words) - 2, 1)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))) if words else frozenset()
+
+
+def shingles(text):
+    return word_shingles(text, 3)
 
 
 def jaccard(rows, percent=90):

@@ -12,8 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def _five(text):
-    words = brute.SPACE_WORD.findall(brute.lower(text))
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))) if words else frozenset()
+    return brute.word_shingles(text, 5)
 
 
 @pytest.fixture()
