@@ -6,7 +6,7 @@ import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -136,3 +136,34 @@ def jaccard(rows, percent=90):
                 group[max(a, b)] = min(a, b)
     comp = [top(i) if s else i for i, s in zip(ids, sets)]
     return [(len(s), None if c == low else c) for s, c in zip(sets, comp)]
+
+
+def phrase_counts(rows, max_words=5):
+    """(counts by (lang, words), words by lang) of (lang, text) rows."""
+    counts, total = Counter(), Counter()
+    for lang, text in ((lang if lang is not None else "und", text) for lang, text in rows):
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            counts.update((lang, *words[i : i + k]) for k in range(1, max_words + 1) for i in range(len(words) - k + 1))
+    return counts, total
+
+
+def collocations(rows, min_count, top, max_words=5):
+    counts, total = phrase_counts(rows, max_words)
+    frequent = {p: a for p, a in counts.items() if a >= min_count}
+    inside = set()
+    for p, a in frequent.items():
+        parts = [(p[0], *p[i:j]) for i in range(1, len(p)) for j in range(i + 2, len(p) + 1) if j - i < len(p) - 1]
+        inside.update(q for q in parts if a >= frequent[q])
+    scored = defaultdict(list)
+    for p, a in frequent.items():
+        if len(p) > 2 and p not in inside:
+            cuts = [(1000 * a * total[p[0]] // (counts[p[: k + 1]] * counts[(p[0], *p[k + 1 :])]), k) for k in range(1, len(p) - 1)]
+            score, k = min(cuts)
+            scored[p[0]].append((-score, -a, " ".join(p[1:]).encode(), counts[p[: k + 1]], counts[(p[0], *p[k + 1 :])]))
+    return sorted(
+        (lang, rank, phrase.decode(), -a, left, right, total[lang], -score)
+        for lang, found in scored.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1)
+    )

@@ -95,9 +95,37 @@ reach(doc_id, other) AS (
 SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(other) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY ALL"""
 
+_COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+d AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+counts AS (
+  SELECT lang, ws[i : i + k - 1] AS own, array_to_string(ws[i : i + k - 1], ' ') AS phrase, k, count(*) AS c
+  FROM d, unnest(range(1, 6)) AS s(k), unnest(range(1, len(ws) - k + 2)) AS t(i) GROUP BY ALL
+),
+total AS (SELECT lang, CAST(sum(c) AS HUGEINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM counts WHERE k >= 2 AND c >= 100),
+cuts AS (
+  SELECT cand.lang, cand.phrase, cand.c AS a, x.c AS l, y.c AS r, n, cand.k AS size, j, x.phrase AS head, y.phrase AS tail,
+    (1000 * CAST(cand.c AS HUGEINT) * n) // (CAST(x.c AS HUGEINT) * y.c) AS score
+  FROM cand, unnest(range(1, cand.k)) AS t(j)
+  JOIN counts x ON x.lang = cand.lang AND x.phrase = array_to_string(cand.own[1 : j], ' ')
+  JOIN counts y ON y.lang = cand.lang AND y.phrase = array_to_string(cand.own[j + 1 :], ' ')
+  JOIN total ON total.lang = cand.lang
+),
+inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand b
+    ON b.lang = s.lang AND b.k > s.k AND b.c >= s.c AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')
+),
+worst AS (SELECT * FROM cuts ANTI JOIN inside USING (lang, phrase) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM worst)
+SELECT lang, place AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": _DECONTAMINATION,
     "op4_suffix_dedup": _REPEATS,
     "op5_substring_dedup": _SUBSTRING,
     "op8_jaccard_join": _JACCARD,
+    "op13_collocations": _COLLOCATIONS,
 }
