@@ -70,7 +70,8 @@ def collocations_counts(spark):
 def test_bits_of_spark_and_of_the_tasks_agree(spark, docs):
     found = collocations.frequent_phrases(docs, min_count=5, slot_bits=18).where(F.col("phrase") != "")
     bits = collocations._bitmap(found, 18)
-    again = collocations._count(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")), bits, bits, 5)
+    sent = spark.sparkContext.broadcast(collocations.Proposed.packed(bits))
+    again = collocations._count(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")), sent, sent, 5)
     assert again.count() == 0  # all that these proposals open has been counted before
 
 

@@ -13,11 +13,13 @@ phrase be counted that need not be; counts are by the words themselves.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,8 +63,13 @@ def _longer(codes: np.ndarray, words: np.ndarray) -> np.ndarray:
 class Proposed:
     """A set of phrase hashes as bits; it may hold more than was put in, never less."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
+    def __init__(self, packed: bytes):
+        self.bits = np.frombuffer(zlib.decompress(packed), np.uint8)
+        self.mask = np.uint64(len(self.bits) * 8 - 1)
+
+    @staticmethod
+    def packed(bits: np.ndarray) -> bytes:
+        return zlib.compress(bits.tobytes(), 1)
 
     def holds(self, codes: np.ndarray) -> np.ndarray:
         slot = codes & self.mask
@@ -121,13 +128,11 @@ def _chunk_counts(data, bounds, group_of_row, group_codes, proposed: Proposed, f
         key = part[at] * len(lead) + part[at + 1]
 
 
-def _count(texts: DataFrame, proposed: np.ndarray, former: np.ndarray | None, max_words: int) -> DataFrame:
+def _count(texts: DataFrame, proposed: Broadcast, former: Broadcast | None, max_words: int) -> DataFrame:
     """Exact counts (lang, phrase, n) of one pass; the empty phrase counts a language's words in the first pass."""
-    send = texts.sparkSession.sparkContext.broadcast
-    sent, sent_former = send(proposed), None if former is None else send(former)  # bitmaps of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, then = Proposed(sent.value), Proposed(sent_former.value) if sent_former else None
+        now, then = Proposed(proposed.value), Proposed(former.value) if former else None
         for batch in batches:
             coded = batch.column(0).dictionary_encode()
             names, row_group = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
@@ -173,12 +178,18 @@ def _closed(texts: DataFrame, bits: np.ndarray, min_count: int, max_words: int,
     slot_bits = (len(bits) * 8).bit_length() - 1
     tables, former = [], None
     while True:
-        passed = _count(texts, bits, former, max_words).where((F.col("n") >= min_count) | (F.col("phrase") == ""))
+        sent = texts.sparkSession.sparkContext.broadcast(Proposed.packed(bits))  # a bitmap of fixed size
+        passed = _count(texts, sent, former, max_words).where((F.col("n") >= min_count) | (F.col("phrase") == ""))
         tables.append(stored(passed, f"{label}-{len(tables)}"))
+        # The counts are stored: no task asks for the bitmap before the last any more.
+        if former:
+            former.destroy()
         short = tables[-1].where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < max_words))
-        former, bits = bits, bits | _bitmap(short, slot_bits)
-        if np.array_equal(former, bits):
+        former, grown = sent, bits | _bitmap(short, slot_bits)
+        if np.array_equal(grown, bits):
+            sent.destroy()
             return reduce(DataFrame.unionByName, tables), bits, len(tables)
+        bits = grown
 
 
 def frequent_phrases(
