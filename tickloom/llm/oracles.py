@@ -122,10 +122,66 @@ worst AS (SELECT * FROM cuts ANTI JOIN inside USING (lang, phrase) QUALIFY row_n
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM worst)
 SELECT lang, place AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 2000"""
 
+# Kinds by number as in secret_scan; RE2 looks neither ahead nor behind, so bare runs are filtered afterwards.
+_SECRET_KINDS = (
+    r"""[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]""",
+    r"AKIA[A-Z0-9]+",
+    r"[0-9a-f]+",
+    r"[A-Za-z0-9+/_.=-]+",
+)
+_SECRET_PATTERNS = (rf"""({_SECRET_KINDS[0]})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", *_SECRET_KINDS[1:])
+_SECRET_MATCHES = " UNION ALL ".join(
+    f"SELECT doc_id, owner, {kind} AS kind, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d"
+    for kind, pattern in enumerate(_SECRET_PATTERNS)
+)
+
+_SECRETS = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+m AS ({_SECRET_MATCHES}),
+each AS (SELECT doc_id, owner, kind, i, ms[i] AS m, length(gs[i]) + length(ms[i]) AS step FROM m, unnest(range(1, len(ms) + 1)) AS x(i)),
+placed AS (
+  SELECT doc_id, owner, kind, m, CAST(sum(step) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e,
+    CASE WHEN kind = 0 THEN regexp_extract(m, '{_SECRET_PATTERNS[0]}', 2) ELSE m END AS v FROM each
+),
+sized AS (
+  SELECT doc_id, owner, kind, e - length(m) AS s, e, regexp_replace(v, '[.=-]+$', '') AS v FROM placed
+  WHERE length(v) >= [8, 16, 32, 8][kind + 1] AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))
+),
+beside AS (
+  SELECT *, max(CASE WHEN kind < 3 THEN e END) OVER (PARTITION BY doc_id ORDER BY s, kind ROWS UNBOUNDED PRECEDING) AS named_end,
+    min(CASE WHEN kind < 3 THEN s END) OVER (PARTITION BY doc_id ORDER BY s, kind ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS named_start
+  FROM sized
+),
+spans AS (
+  SELECT doc_id, owner, kind, s, e, v, len(list_distinct(string_split(v, ''))) AS chars
+  FROM beside WHERE kind < 3 OR NOT (coalesce(named_end, -1) > s OR coalesce(named_start, e) < e)
+),
+facts AS (SELECT v, count(DISTINCT owner) AS owners, max(CASE WHEN kind < 3 THEN 1 ELSE 0 END) AS named FROM spans GROUP BY v),
+told AS (
+  SELECT spans.*, named, owners > 2 AS copied,
+    regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND chars >= 6
+      AND NOT regexp_matches(lower(v), 'example|sample|dummy|placeholder|changeme|your|test|xxxx|0000|12345|abcdef|password|secret') AS looks,
+    regexp_matches(v, '^[A-Za-z0-9+/_=-]{{20,}}$') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]')
+      AND regexp_matches(v, '[0-9].*[0-9]') AND chars >= 12 AND NOT regexp_matches(v, '/.*/.*/') AS random
+  FROM spans JOIN facts USING (v)
+),
+kept AS (SELECT *, looks AND NOT copied AS live FROM told WHERE kind < 3 OR (looks AND NOT copied AND (named = 1 OR random))),
+shown AS (SELECT *, ['assign', 'access', 'hex', 'bare'][kind + 1] || ':' || s || ':' || e AS span FROM kept),
+by_doc AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied,
+    string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY s, kind) AS spans
+  FROM shown GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN by_doc USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": _DECONTAMINATION,
     "op4_suffix_dedup": _REPEATS,
     "op5_substring_dedup": _SUBSTRING,
     "op8_jaccard_join": _JACCARD,
+    "op11_secret_scan": _SECRETS,
     "op13_collocations": _COLLOCATIONS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import collocations, context_mixing, decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup
+from tickloom.llm import collocations, context_mixing, decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, secret_scan, substring_dedup, suffix_dedup
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -90,6 +90,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_json(), with_ids=False)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents").select("lang", "text"))
 
