@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,11 +69,13 @@ def collocations_counts(spark):
 
 
 def test_bits_of_spark_and_of_the_tasks_agree(spark, docs):
-    found = collocations.frequent_phrases(docs, min_count=5, slot_bits=18).where(F.col("phrase") != "")
-    bits = collocations._bitmap(found, 18)
-    sent = spark.sparkContext.broadcast(collocations.Proposed.packed(bits))
-    again = collocations._count(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")), sent, sent, 5)
-    assert again.count() == 0  # all that these proposals open has been counted before
+    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    found, closed, _ = collocations._closed(texts, np.zeros((1 << 18) // 8, np.uint8), 5, 5, "test")
+    codes = np.array([r["code"] for r in found.collect()], np.int64).astype(np.uint64)
+    packed = collocations.Proposed.packed(collocations._bitmap(found, 18))
+    assert len(codes) > 100 and collocations.Proposed(packed).holds(codes).all()
+    sent = spark.sparkContext.broadcast(collocations.Proposed.packed(closed))
+    assert collocations._count(texts, sent, sent, 5).count() == 0  # all that these proposals open has been counted before
 
 
 def test_empty_table(spark):

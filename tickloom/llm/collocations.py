@@ -7,8 +7,9 @@ parts, so if no border phrase is frequent, all frequent phrases have been counte
 (failures of the sample) join the proposals, and further passes count what they open up, until no pass
 finds one. The sample thus decides how many passes are needed, never what is found.
 
-The proposals travel to the tasks as a bitmap of fixed size over phrase hashes. A collision only lets a
-phrase be counted that need not be; counts are by the words themselves.
+The proposals travel to the tasks as a bitmap of fixed size over phrase hashes, and passes count hashes. Collisions only
+add: to the proposals, and to counts. So no frequent phrase is missed, and a last pass counts those
+whose hash is frequent by their words themselves.
 """
 
 from __future__ import annotations
@@ -44,10 +45,11 @@ _IN_WORD = np.ones(256, bool)
 _IN_WORD[[0x20, 0x09, *b".,;:!?", *range(0x0A, 0x0E)]] = False
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-_NOT_BLANK = np.arange(256) != 0x20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 COUNTS = "lang STRING, phrase STRING, n BIGINT"
+# The last bits of a phrase's hash are its number of words.
+_SIZE_BITS = 3
 
 
 def _group_codes(names: pa.Array) -> np.ndarray:
@@ -55,9 +57,10 @@ def _group_codes(names: pa.Array) -> np.ndarray:
     return arrays.byte_hash(data, bounds[:-1], bounds[1:])
 
 
-def _longer(codes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Hashes of phrases that are one word longer."""
-    return arrays.mix(codes * _STEP + words)
+def _longer(codes: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of phrases that are one word longer, and then ``size`` words long."""
+    code = arrays.mix(codes * _STEP + words)
+    return (code >> np.uint64(_SIZE_BITS) << np.uint64(_SIZE_BITS)) | np.uint64(size)
 
 
 class Proposed:
@@ -72,7 +75,7 @@ class Proposed:
         return zlib.compress(bits.tobytes(), 1)
 
     def holds(self, codes: np.ndarray) -> np.ndarray:
-        slot = codes & self.mask
+        slot = (codes >> np.uint64(_SIZE_BITS)) & self.mask
         return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -88,8 +91,11 @@ def _spelled(low, starts, ends, first, size) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(text)]).cast(pa.string())
 
 
-def _chunk_counts(data, bounds, group_of_row, group_codes, proposed: Proposed, former: Proposed | None, max_words: int):
-    """(groups, phrases, counts) of a chunk, length by length: phrases that ``proposed`` opens and ``former`` did not; no phrases: words of the groups."""
+def _chunk_phrases(data, bounds, group_of_row, group_codes, proposed: Proposed, former: Proposed | None, max_words: int):
+    """Phrases of a chunk that ``proposed`` opens, length by length: size, groups, hashes, counts, which are fresh, spell.
+
+    Fresh are those that ``former`` did not open; ``spell`` gives the words of chosen ones.
+    """
     low = arrays.LOWER[data]
     starts, ends, first = arrays.words(low, bounds, _IN_WORD)
     n_words = len(starts)
@@ -106,17 +112,16 @@ def _chunk_counts(data, bounds, group_of_row, group_codes, proposed: Proposed, f
     for size in range(1, max_words + 1):
         _, lead, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         lead = at[lead]
-        codes = _longer(group_codes[group[lead]] if size == 1 else shorter[part[lead]], words[lead + size - 1])
-        if size == 1:
-            fresh = np.full(len(lead), former is None)
+        codes = _longer(group_codes[group[lead]] if size == 1 else shorter[part[lead]], words[lead + size - 1], size)
+        if former is None:
+            fresh = np.ones(len(lead), bool)
+        elif size == 1:
+            fresh = np.zeros(len(lead), bool)
         else:
-            fresh = ~(passed[part[lead]] & passed[part[lead + 1]]) if former else np.ones(len(lead), bool)
-        if fresh.any():
-            yield group[lead[fresh]], _spelled(low, starts, ends, lead[fresh], size), count[fresh]
+            fresh = ~(passed[part[lead]] & passed[part[lead + 1]])
+        yield size, group[lead], codes, count, fresh, lambda some, lead=lead, size=size: _spelled(low, starts, ends, lead[some], size)
         if size == max_words:
             return
-        if size == 1:
-            yield np.unique(group), None, np.bincount(group)[np.unique(group)]
         open_ = proposed.holds(codes)
         # Counted before, not merely proposed: a chance bit of a phrase that was never reached opened nothing.
         passed = former.holds(codes) & ~fresh if former else None
@@ -128,43 +133,50 @@ def _chunk_counts(data, bounds, group_of_row, group_codes, proposed: Proposed, f
         key = part[at] * len(lead) + part[at + 1]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]):
+    """(data, bounds, language of each row, hashes of the languages, their names) of all chunks of (lang, text) rows."""
+    for batch in batches:
+        coded = batch.column(0).dictionary_encode()
+        names, row_group = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
+        codes = _group_codes(names)
+        for a, b, data, bounds in arrays.row_chunks(batch.column(1), CHUNK_BYTES):
+            yield data, bounds, row_group[a:b], codes, names
+
+
 def _count(texts: DataFrame, proposed: Broadcast, former: Broadcast | None, max_words: int) -> DataFrame:
-    """Exact counts (lang, phrase, n) of one pass; the empty phrase counts a language's words in the first pass."""
+    """Counts (code, n) of one pass: the hashes of all phrases that ``proposed`` opens and ``former`` did not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, then = Proposed(proposed.value), Proposed(former.value) if former else None
-        for batch in batches:
-            coded = batch.column(0).dictionary_encode()
-            names, row_group = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
-            codes = _group_codes(names)
-            for a, b, data, bounds in arrays.row_chunks(batch.column(1), CHUNK_BYTES):
-                for groups, phrases, counts in _chunk_counts(data, bounds, row_group[a:b], codes, now, then, max_words):
-                    if phrases is None:
-                        if then is not None:
-                            continue
-                        phrases = pa.array([""] * len(groups), pa.string())
-                    yield pa.RecordBatch.from_arrays([names.take(pa.array(groups)), phrases, pa.array(counts.astype(np.int64))], ["lang", "phrase", "n"])
+        for *chunk, _ in _chunks(batches):
+            for _, _, codes, counts, fresh, _ in _chunk_phrases(*chunk, now, then, max_words):
+                if fresh.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[fresh].astype(np.int64)), pa.array(counts[fresh].astype(np.int64))], ["code", "n"])
 
-    return texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "code BIGINT, n BIGINT").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _bitmap(phrases: DataFrame, slot_bits: int) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase) rows, merged by Spark."""
+def _spell(texts: DataFrame, proposed: Broadcast, frequent: Broadcast, max_words: int) -> DataFrame:
+    """Counts (lang, phrase, n) of the phrases whose hash is frequent; the empty phrase counts a language's words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, wanted = Proposed(proposed.value), Proposed(frequent.value)
+        for *chunk, names in _chunks(batches):
+            for size, groups, codes, counts, _, spell in _chunk_phrases(*chunk, now, None, max_words):
+                if size == 1:
+                    total = np.bincount(groups, weights=counts, minlength=len(names)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(total)], ["lang", "phrase", "n"])
+                some = np.flatnonzero(wanted.holds(codes))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(groups[some])), spell(some), pa.array(counts[some].astype(np.int64))], ["lang", "phrase", "n"])
+
+    return texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
-    def slots(batches):
-        for batch in batches:
-            data, bounds = arrays.text_bytes(batch.column(1))
-            data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
-            starts, ends, first = arrays.words(data, bounds, _NOT_BLANK)
-            words, size = arrays.byte_hash(data, starts, ends), np.diff(first)
-            codes = _group_codes(batch.column(0))
-            for k in range(int(size.max(initial=0))):
-                row = np.flatnonzero(size > k)
-                codes[row] = _longer(codes[row], words[first[row] + k])
-            yield pa.RecordBatch.from_arrays([pa.array((codes & np.uint64((1 << slot_bits) - 1)).astype(np.int64))], ["slot"])
 
-    block, bit = F.floor(F.col("slot") / _BLOCK_BITS), F.col("slot") % _BLOCK_BITS
-    merged = phrases.select("lang", "phrase").mapInArrow(slots, "slot BIGINT").groupBy(block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+def _bitmap(codes: DataFrame, slot_bits: int) -> np.ndarray:
+    """Bits of a table of hashes, merged by Spark."""
+    slot = F.shiftright("code", _SIZE_BITS).bitwiseAND(F.lit((1 << slot_bits) - 1))
+    block, bit = F.floor(slot / _BLOCK_BITS), slot % _BLOCK_BITS
+    merged = codes.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
     bits = np.zeros((1 << slot_bits) // 8, np.uint8)
     for row in merged.toLocalIterator():  # at most the fixed size of the bitmap
         held = np.frombuffer(row["bits"], np.uint8)
@@ -174,18 +186,17 @@ def _bitmap(phrases: DataFrame, slot_bits: int) -> np.ndarray:
 
 
 def _closed(texts: DataFrame, bits: np.ndarray, min_count: int, max_words: int, label: str) -> tuple[DataFrame, np.ndarray, int]:
-    """Counts of all frequent phrases, starting from proposals ``bits``; the closed proposals; the number of passes."""
+    """Hashes that are frequent, starting from proposals ``bits``; the closed proposals; the number of passes."""
     slot_bits = (len(bits) * 8).bit_length() - 1
     tables, former = [], None
     while True:
         sent = texts.sparkSession.sparkContext.broadcast(Proposed.packed(bits))  # a bitmap of fixed size
-        passed = _count(texts, sent, former, max_words).where((F.col("n") >= min_count) | (F.col("phrase") == ""))
-        tables.append(stored(passed, f"{label}-{len(tables)}"))
+        tables.append(stored(_count(texts, sent, former, max_words).where(F.col("n") >= min_count), f"{label}-{len(tables)}"))
         # The counts are stored: no task asks for the bitmap before the last any more.
         if former:
             former.destroy()
-        short = tables[-1].where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < max_words))
-        former, grown = sent, bits | _bitmap(short, slot_bits)
+        shorter = F.col("code").bitwiseAND(F.lit((1 << _SIZE_BITS) - 1)) < max_words
+        former, grown = sent, bits | _bitmap(tables[-1].where(shorter), slot_bits)
         if np.array_equal(grown, bits):
             sent.destroy()
             return reduce(DataFrame.unionByName, tables), bits, len(tables)
@@ -211,13 +222,20 @@ def frequent_phrases(
     texts = docs.select(
         F.coalesce(F.col(group_col).cast("string"), F.lit(NO_GROUP)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    if not 1 <= max_words < 1 << _SIZE_BITS:
+        raise ValueError("phrases have 1 to 7 words")
     nothing = np.zeros((1 << slot_bits) // 8, np.uint8)
     some = stored(texts.sample(fraction=sample, seed=11), "phrase-sample")
     lowered = max(2, int(min_count * sample * SAMPLE_MARGIN))
     _, proposed, _ = _closed(some, nothing, lowered, max_words, "sample-phrases")
-    counted, _, passes = _closed(texts, proposed, min_count, max_words, "phrases")
+    found, closed, passes = _closed(texts, proposed, min_count, max_words, "phrases")
     if on_pass:
         on_pass(passes)
+    send = docs.sparkSession.sparkContext.broadcast
+    sent = send(Proposed.packed(closed)), send(Proposed.packed(_bitmap(found, slot_bits)))
+    counted = stored(_spell(texts, *sent, max_words).where((F.col("n") >= min_count) | ((F.col("phrase") == "") & (F.col("n") > 0))), "phrases")
+    for one in sent:
+        one.destroy()
     return counted
 
 
