@@ -28,7 +28,8 @@ def _rows():
 
 def _plain(rows):
     """Matches with places by Python's own positions, ownership by sets."""
-    kinds = [(re.compile(p.replace("(?i:", "(?ia:") if n == 0 else p), least) for n, (_, p, least) in enumerate((*secret_scan.KINDS, secret_scan.BARE))]
+    plain = [secret_scan.KINDS[0][1].replace("(?i:", "(?ia:"), r"AKIA[A-Z0-9]+", r"[0-9a-f]+", secret_scan.BARE[1]]
+    kinds = [(re.compile(p), least) for p, least in zip(plain, (8, 16, 32, 8))]
     found = []
     for row, (_, text, owner) in enumerate(rows):
         named = []

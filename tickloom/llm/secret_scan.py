@@ -18,11 +18,12 @@ FEW_OWNERS = 2
 HOT_ROWS = 1000
 
 _VALUE = "A-Za-z0-9+/_.=-"
-# Kinds in their order, pattern, least size; the size of an assignment is that of its value.
+# Kinds in their order, pattern, least size. The size of an assignment is that of its value, and a match below
+# it still takes its place in the text. The others are whole runs, of which the pattern finds only those of the least size.
 KINDS = (
     ("assign", rf"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([{_VALUE}]+)""", 8),
-    ("access", r"AKIA[A-Z0-9]+", 16),
-    ("hex", r"[0-9a-f]+", 32),
+    ("access", r"AKIA[A-Z0-9]{12,}", 16),
+    ("hex", r"[0-9a-f]{32,}", 32),
 )
 # The method's own kind: whole runs of value characters with a digit. No position is read twice.
 BARE = ("bare", rf"(?<![{_VALUE}])(?=[A-Za-z+/_.=-]*[0-9])[{_VALUE}]{{8,}}", 8)
@@ -35,9 +36,8 @@ PLACEHOLDER = r"example|sample|dummy|placeholder|changeme|your|test|xxxx|0000|12
 RANDOM_SHAPE, RANDOM_DISTINCT = r"^[A-Za-z0-9+/_=-]{20,}$", 12
 
 
-def _found(text: Column, number: int, pattern: str, least: int) -> Column:
+def _found(text: Column, number: int, pattern: str) -> Column:
     """All matches of a kind: number, place among them, code points from the match before, match."""
-    # Matches below the least size are left out later: they still take their place in the text.
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     # One gap more than matches: the last has no match.
@@ -129,7 +129,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     owner = F.coalesce(F.col(owner_col).cast("string"), F.lit("")) if owner_col else F.lit("")
     repo = F.coalesce(F.col(repo_col or id_col).cast("string"), F.lit(""))
-    found = F.concat(*[_found(F.col("text"), number, pattern, least) for number, (_, pattern, least) in enumerate((*KINDS, BARE))])
+    found = F.concat(*[_found(F.col("text"), number, pattern) for number, (_, pattern, _) in enumerate((*KINDS, BARE))])
     held = docs.select(F.col(id_col).alias("id"), text.alias("text"), owner.alias("owner"), repo.alias("repo"))
     # Row numbers are stored with the rows, so they stay the same for every later reader.
     held = stored(held.select(F.monotonically_increasing_id().alias("uid"), "id", "owner", "repo", found.alias("found")), "secret-candidates")
