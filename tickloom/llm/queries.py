@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import collocations, context_mixing, decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from tickloom.llm import collocations, context_mixing, decontamination, jaccard_join, language_id, licenses, packing, quality_crf, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_alignment
 from tickloom.llm.frames import is_learned, read_table
 
 
@@ -94,6 +94,18 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def model_bytes(name: str = "piece_bpe_32k.model") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as held:
+        return held.read()
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, tokenizer_json("byte_bpe_50k.json"), model_bytes())
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents").select("lang", "text"))
 
