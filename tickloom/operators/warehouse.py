@@ -91,14 +91,27 @@ def variant_rejects(variants: DataFrame) -> DataFrame:
     return _checked_variants(variants).filter(F.col("error_reason").isNotNull()).select(*columns)
 
 
+def _of_touched_bars(silver: DataFrame, touched: DataFrame, start: Column) -> DataFrame:
+    first, last = touched.agg(F.min(start)).scalar(), touched.agg(F.max(start)).scalar()
+    if EVENT_DATE in silver.columns:
+        silver = silver.filter(F.col(EVENT_DATE).between(F.to_date(first), F.to_date(last)))
+    silver = silver.filter((F.col("event_ts") >= first) & (F.col("event_ts") < last + F.expr("INTERVAL 1 MINUTE")))
+    bars = touched.select(start.alias("touched_start"), F.col("symbol").alias("touched_symbol")).distinct()
+    return silver.join(bars, (start == F.col("touched_start")) & (F.col("symbol") == F.col("touched_symbol")), "left_semi")
+
+
 def minute_vwap(
     silver: DataFrame,
     as_of: Column | None = None,
     lookback: timedelta = timedelta(hours=2),
     align_cutoff: bool = True,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Minute bars of the trades since ``as_of - lookback``, in decimals.
 
+    With ``touched``, some trades of the table, only the bars of their minutes and symbols are totalled, and only
+    the dates and times between the first and the last of them are read.
+
     An unaligned cutoff recomputes its first minute from a part of that minute's
     trades, and a later upsert would replace the full total by the partial one; by
     default the cutoff is therefore moved back to the start of its minute. A table that
@@ -111,9 +124,11 @@ def minute_vwap(
     if EVENT_DATE in silver.columns:
         silver = silver.filter(F.col(EVENT_DATE) >= F.to_date(cutoff))
     start = F.date_trunc("minute", "event_ts")
+    since = silver.filter(F.col("event_ts") >= cutoff)
+    if touched is not None:
+        since = _of_touched_bars(since, touched, start)
     totals = (
-        silver.filter(F.col("event_ts") >= cutoff)
-        .groupBy(start.alias("window_start"), "symbol")
+        since.groupBy(start.alias("window_start"), "symbol")
         .agg(
             F.count("*").alias("trade_count"),
             F.try_sum("quantity").alias("total_quantity"),

@@ -22,6 +22,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--trigger", default=AVAILABLE_NOW)
     parser.add_argument("--fold", action="store_true", help="reduce the bars to their newest versions afterwards")
+    parser.add_argument("--pack", action="store_true", help="pack small loads of silver, rejects and bars afterwards")
     parser.add_argument("--state-partitions", type=int)
     return parser.parse_args(argv)
 
@@ -37,6 +38,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         job.run_available()
         if args.fold:
             job.fold_windows()
+        if args.pack:
+            job.pack()
         return
     job.start(args.trigger)
     own.streams.awaitAnyTermination()

@@ -28,7 +28,7 @@ STREAM_CONF = {
 }
 
 
-def _sibling(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+def sibling(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """A session with the caller's runtime settings and some of its own; the caller's stays as it is."""
     session = spark.newSession()
     for name, value in {**dict(spark.conf.getAll), **settings}.items():
@@ -41,7 +41,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """The session itself if it has the batch settings, else a sibling that has them."""
     if all(spark.conf.get(name, None) == value for name, value in BATCH_CONF.items()):
         return spark
-    return _sibling(spark, BATCH_CONF)
+    return sibling(spark, BATCH_CONF)
 
 
 def stream_session(
@@ -57,7 +57,7 @@ def stream_session(
     settings = {**STREAM_CONF, "spark.sql.streaming.stateStore.providerClass": state_store}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    return _sibling(spark, settings)
+    return sibling(spark, settings)
 
 
 @cache

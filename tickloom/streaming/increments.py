@@ -1,16 +1,22 @@
 """Warehouse increments: new bronze variants into decimal silver, then into minute bars.
 
-Both targets are folders of append-only loads, one per micro-batch, named by the query's
+All targets are folders of append-only loads (see ``loads``), one per micro-batch, named by the query's
 persistent id and the batch number. A batch that is run again after a failure overwrites its
 own load and compares with all others, so the result is the same, and a new checkpoint over
 a filled table (whose batch numbers begin at 0 again) neither replaces nor repeats what is there.
 Readers see the merged table: silver loads never share an id, and of the minute bars the
 largest version wins. Versions grow with the table, not with the checkpoint.
+
+What a batch costs follows from the batch: its ids are looked up in the row groups that may hold them (see
+``operators.id_lookup``), and only bars whose minute and symbol it touches are totalled and written anew. The first
+batch of a checkpoint writes the whole trailing span, which mends what an abandoned checkpoint left undone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections import defaultdict
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -20,19 +26,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas
-from tickloom.operators import warehouse
-from tickloom.operators.merge import absent_rows, latest_version
+from tickloom.operators import id_lookup, warehouse
+from tickloom.operators.merge import latest_version
+from tickloom.operators.silver import first_arrival
 from tickloom.schemas import EVENT_DATE, dated
-from tickloom.sources.envelopes import read_or_empty, read_table
+from tickloom.sources.envelopes import read_table
+from tickloom.streaming.loads import KEEP_SECONDS, LEAST_LOADS, LOAD, PACK, TARGET_BYTES, Loads
 from tickloom.streaming.sinks import AVAILABLE_NOW, with_trigger
 
-LOAD = "load"
 VERSION = "version"
+BAR = ("window_start", "symbol")
 ORDER = ("source_offset", "event_ts")
 
 
-def _loads(schema: T.StructType, *more: T.StructField) -> T.StructType:
-    return T.StructType([*schema.fields, *more, T.StructField(LOAD, T.StringType())])
+def _more(schema: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in columns.items())])
 
 
 def latest_event(silver: DataFrame) -> Column:
@@ -73,15 +81,28 @@ class WarehouseIncrements:
     def checkpoint(self) -> str:
         return f"{self.checkpoints.rstrip('/')}/{self.name}"
 
+    @property
+    def silver_table(self) -> Loads:
+        schema = _more(dated(schemas.WAREHOUSE_SILVER), id_code=T.LongType(), id_bucket=T.IntegerType())
+        return Loads(self.spark, self.silver_uri, schema, (EVENT_DATE, id_lookup.ID_BUCKET), (id_lookup.ID_CODE,), id_lookup.WRITE_OPTIONS)
+
+    @property
+    def window_table(self) -> Loads:
+        return Loads(self.spark, self.windows_uri, _more(dated(schemas.WAREHOUSE_WINDOWS), version=T.IntegerType()), (EVENT_DATE,), BAR)
+
+    @property
+    def reject_table(self) -> Loads:
+        return Loads(self.spark, self.rejects_uri, schemas.VARIANT_REJECTS)
+
     def silver(self) -> DataFrame:
-        return self._silver_loads(self.spark).drop(LOAD, EVENT_DATE)
+        return self.silver_table.read().drop(LOAD, EVENT_DATE, id_lookup.ID_CODE, id_lookup.ID_BUCKET)
 
     def rejects(self) -> DataFrame:
-        return read_or_empty(self.spark, self.rejects_uri, _loads(schemas.VARIANT_REJECTS)).drop(LOAD)
+        return self.reject_table.read().drop(LOAD)
 
     def windows(self) -> DataFrame:
-        loads = self._window_loads(self.spark).drop(LOAD)
-        return latest_version(loads, ("window_start", "symbol"), VERSION)
+        loads = self.window_table.read().drop(LOAD, EVENT_DATE)
+        return latest_version(loads, BAR, VERSION)
 
     def start(self, trigger: str = AVAILABLE_NOW) -> StreamingQuery:
         """Read bronze from where the checkpoint stands; without new rows nothing runs."""
@@ -97,44 +118,49 @@ class WarehouseIncrements:
         self.start(AVAILABLE_NOW).awaitTermination()
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one micro-batch into both targets."""
+        """Merge one micro-batch into all targets."""
         spark = batch.sparkSession
         load = f"{self._query_id(spark)}-{batch_id}"
-        others = F.col(LOAD) != load
+        silver = self.silver_table
         held = batch.persist()
         try:
-            self._write(warehouse.variant_rejects(held), f"{self.rejects_uri}/{LOAD}={load}", stamp=False)
-            incoming = warehouse.variant_silver(held)
-            fresh = absent_rows(self._silver_loads(spark).filter(others), incoming, ("trade_id",), ORDER)
-            fresh = fresh.withColumn(EVENT_DATE, F.to_date("event_ts"))
-            self._write(fresh, f"{self.silver_uri}/{LOAD}={load}", EVENT_DATE)
+            self.reject_table.write(warehouse.variant_rejects(held), load)
+            incoming = id_lookup.with_id_code(first_arrival(warehouse.variant_silver(held), ("trade_id",), ORDER))
+            known = id_lookup.known_ids(silver.read(spark).where(F.col(LOAD) != load), incoming)
+            fresh = incoming.join(known, "trade_id", "left_anti").withColumn(EVENT_DATE, F.to_date("event_ts"))
+            silver.write(_stamped(fresh), load)
         finally:
             held.unpersist()
-        silver = self._silver_loads(spark)
-        as_of = self.as_of(silver) if self.as_of else None
-        bars = warehouse.minute_vwap(silver, as_of)
-        self._write(
-            bars.withColumn(VERSION, F.lit(self._version(spark, load))), f"{self.windows_uri}/{LOAD}={load}"
-        )
+        trades = silver.read(spark)
+        as_of = self.as_of(trades) if self.as_of else None
+        own = trades.where(F.col(LOAD) == load) if batch_id else None
+        bars = warehouse.minute_vwap(trades, as_of, touched=own)
+        version, name = self._version(load)
+        bars = _stamped(bars).withColumn(EVENT_DATE, F.to_date("window_start")).withColumn(VERSION, F.lit(version))
+        self.window_table.write(bars, name)
+
+    def pack(self, target_bytes: int = TARGET_BYTES, least: int = LEAST_LOADS, keep_seconds: float = KEEP_SECONDS) -> list[str]:
+        """Pack the loads of all targets, then remove those replaced long ago; it may run beside the stream, one at a time.
+
+        The newest load of each query stays: after a failure its batch is run again and replaces it.
+        """
+        silver, rejects, windows = self.silver_table, self.reject_table, self.window_table
+        packs = []
+        for table in (silver, rejects):
+            packs += table.pack(target_bytes, least, _newest(table.names()))
+        packs += windows.pack(target_bytes, least, _newest(windows.names()), _newest_bars, _version_prefix)
+        for table in (silver, rejects, windows):
+            table.clean(keep_seconds)
+        return packs
 
     def fold_windows(self) -> None:
         """Reduce the bars to their newest versions, as one load; run it while no batch runs.
 
-        The folded load is complete before an older one is emptied, and has the largest version, so
-        readers see the same table at any time.
+        Readers see the same table at any time. The folders of the former loads go at once.
         """
-        spark = self.spark
-        loads = self._window_loads(spark)
-        old = [r[LOAD] for r in loads.select(LOAD).distinct().collect()]  # one name per micro-batch
-        if len(old) < 2:
-            return
-        version = self._version(spark, "")
-        fold = f"fold-{version}"
-        newest = latest_version(loads.drop(LOAD), ("window_start", "symbol"), VERSION)
-        newest.withColumn(VERSION, F.lit(version)).write.mode("overwrite").parquet(f"{self.windows_uri}/{LOAD}={fold}")
-        nothing = spark.createDataFrame([], T.StructType([f for f in loads.schema if f.name != LOAD]))
-        for name in old:
-            nothing.write.mode("overwrite").parquet(f"{self.windows_uri}/{LOAD}={name}")
+        windows = self.window_table
+        windows.pack(least=2, reduce=_newest_bars, number=_version_prefix, everything=True)
+        windows.clean(0)
 
     def _query_id(self, spark: SparkSession) -> str:
         """The id that Spark keeps in the checkpoint; a name of its own for batches without a stream."""
@@ -145,24 +171,42 @@ class WarehouseIncrements:
                 raise
             return "manual"
 
-    def _version(self, spark: SparkSession, load: str) -> int:
-        """The version that a load already has, or the next one of the table."""
-        own = F.max(F.when(F.col(LOAD) == load, F.col(VERSION)))
-        found = self._window_loads(spark).agg(own.alias("own"), F.max(VERSION).alias("newest")).first()
-        return found["own"] if found["own"] is not None else (found["newest"] or 0) + 1
-
-    def _silver_loads(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.silver_uri, _loads(dated(schemas.WAREHOUSE_SILVER)))
-
-    def _window_loads(self, spark: SparkSession) -> DataFrame:
-        version = T.StructField(VERSION, T.IntegerType())
-        return read_or_empty(spark, self.windows_uri, _loads(schemas.WAREHOUSE_WINDOWS, version))
-
-    @staticmethod
-    def _write(rows: DataFrame, uri: str, *partition_by: str, stamp: bool = True) -> None:
-        if stamp:
-            rows = rows.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
-        if partition_by:
-            # Few files: the rows of one date go to one task, or to several if they are many.
-            rows = rows.hint("rebalance", *partition_by)
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(uri)
+    def _version(self, load: str) -> tuple[int, str]:
+        """Version and name of a load of bars: those it already has, or the next version of the table.
+
+        Names begin with the version, so the newest one is known from the folders alone.
+        """
+        names = self.window_table.names()
+        for name in names:
+            if name.endswith(f"-{load}") and not name.startswith(PACK):
+                return int(name.split("-", 1)[0]), name
+        version = max(map(_version_of, names), default=0) + 1
+        return version, f"{version:09}-{load}"
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
+def _newest(names: Sequence[str]) -> set[str]:
+    """The load of the largest batch number of each query; packs are of no query."""
+    batches = defaultdict(list)
+    for name in names:
+        query, _, number = name.rpartition("-")
+        if not name.startswith(PACK) and number.isdigit():
+            batches[re.sub(r"^[0-9]{9}-", "", query)].append((int(number), name))
+    return {max(found)[1] for found in batches.values()}
+
+
+def _version_of(name: str) -> int:
+    return int(name.removeprefix(PACK).split("-", 1)[0])
+
+
+def _version_prefix(names: Sequence[str]) -> str:
+    """A pack of bars begins with the largest version in it."""
+    return f"{max(map(_version_of, names)):09}-"
+
+
+def _newest_bars(bars: DataFrame) -> DataFrame:
+    """The newest version of each bar, with its version."""
+    return latest_version(bars.withColumn("_order", F.col(VERSION)), BAR, "_order")
