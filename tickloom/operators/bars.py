@@ -69,21 +69,15 @@ def sliding(
 ) -> DataFrame:
     """Overlapping windows.
 
-    A batch first totals each trade once into panes as wide as the greatest common
-    divisor of size and slide; only the panes are then copied into their windows.
-    A stream uses the windows directly, with one state row per window and symbol.
+    Each trade is first totalled once, into panes as wide as the greatest common
+    divisor of size and slide; only the panes are then copied into their windows. On a stream
+    that is a chain of two stateful operators: a pane is closed by the watermark and handed on within the same
+    micro-batch, so windows close when they would without panes.
     """
-    window = F.window("event_ts", _interval(size), _interval(slide)).alias("bucket")
-    if trades.isStreaming:
-        totals = trades.groupBy(window, "symbol").agg(*map(_measure, measures))
-    else:
-        pane = gcd(size // _MICROSECOND, slide // _MICROSECOND) * _MICROSECOND
-        panes = (
-            trades.groupBy(F.window("event_ts", _interval(pane)).alias("pane"), "symbol")
-            .agg(*map(_measure, measures))
-            .withColumn("event_ts", F.col("pane.start"))
-        )
-        totals = panes.groupBy(window, "symbol").agg(*map(_remeasure, measures))
+    pane = gcd(size // _MICROSECOND, slide // _MICROSECOND) * _MICROSECOND
+    panes = trades.groupBy(F.window("event_ts", _interval(pane)).alias("pane"), "symbol").agg(*map(_measure, measures))
+    window = F.window(F.window_time("pane"), _interval(size), _interval(slide)).alias("bucket")
+    totals = panes.groupBy(window, "symbol").agg(*map(_remeasure, measures))
     return totals.select(
         "symbol",
         *measures,

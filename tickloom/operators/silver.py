@@ -50,7 +50,8 @@ def dedup(valid: DataFrame, watermark: str = "2 minutes", mode: str = "exact") -
     ``exact`` remembers every id for ever. ``bounded`` forgets an id once the
     watermark has passed it, so its state stays small, but an id that comes back
     later is emitted again. On a batch both mean first arrival. On a stream the rows of one id
-    in one micro-batch meet in one task; the rate limit of the step bounds how many that are.
+    in one micro-batch meet in one task, which reads them one by one and holds only the id; how many
+    they are is bounded by the rate limit of the source alone.
     """
     if mode not in ("exact", "bounded"):
         raise ValueError(f"unknown dedup mode {mode!r}")

@@ -28,6 +28,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--table-format", default="parquet")
     parser.add_argument("--lenient", action="store_true", help="validation as plain SQL: nulls and NaN pass where no rule names them")
     parser.add_argument("--files-per-batch", type=int, help="files of a table that the next step takes in one micro-batch; default: no limit")
+    parser.add_argument("--hand-over", type=int, help="time ranges of a micro-batch of bronze and silver; goes with --files-per-batch")
     parser.add_argument("--quantity", type=int, default=Thresholds().quantity)
     parser.add_argument("--notional", type=float, default=Thresholds().notional)
     parser.add_argument("--price-move", type=float, default=Thresholds().price_move)
@@ -38,6 +39,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
+    if args.files_per_batch and not args.hand_over:
+        raise SystemExit("--files-per-batch needs --hand-over: without it a limit loses rows to the watermark")
     own = stream_session(session("trade-streams", spark), args.state_partitions)
     graph = TradeStreams(
         own,
@@ -51,6 +54,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         rules=validation_rules(strict=not args.lenient),
         prices=own.read.parquet(args.prices) if args.prices else None,
         thresholds=Thresholds(args.quantity, args.notional, args.price_move),
+        hand_over=args.hand_over,
         read_options={"maxFilesPerTrigger": str(args.files_per_batch)} if args.files_per_batch else {},
     )
     log = ProgressLog(own, args.progress) if args.progress else None

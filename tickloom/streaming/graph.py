@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas
-from tickloom.functions.rules import Rule, Thresholds
+from tickloom.functions.rules import Rule, Thresholds, anomaly_rules, validation_rules
 from tickloom.operators import anomalies, bars, bronze, payloads, silver
 from tickloom.schemas import EVENT_DATE, dated
 from tickloom.sources.envelopes import read_table
+from tickloom.streaming.handover import TimeOrderedTable
 from tickloom.streaming.sinks import AVAILABLE_NOW, write_stream
 
 
@@ -32,6 +33,7 @@ class Step:
     schema: T.StructType
     topic: bool = False
     partition_by: tuple[str, ...] = ()
+    when: str | None = None  # SQL of the event time, for tables that a step with a watermark reads
 
 
 def _silver(graph: TradeStreams, table: DataFrame) -> DataFrame:
@@ -41,8 +43,16 @@ def _silver(graph: TradeStreams, table: DataFrame) -> DataFrame:
     return valid.withColumn(EVENT_DATE, F.to_date("event_ts"))
 
 
+def _counted(df: DataFrame, metric: str, column: str, labels: Iterable[str]) -> DataFrame:
+    """Counts the labels of a column while the rows pass, into the progress reports."""
+    return df.observe(metric, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(column) == label).alias(label) for label in labels])
+
+
 def _rejected(graph: TradeStreams, table: DataFrame) -> DataFrame:
-    return silver.reject(silver.classify(bronze.parse(table), graph.rules))
+    rules = graph.rules or validation_rules()
+    # Custom rules may ask for any field.
+    checked = silver.classify(bronze.parse(table, None if graph.rules else bronze.RULE_FIELDS), rules)
+    return silver.reject(_counted(checked, "rejects", "validation_error", dict.fromkeys(r.label for r in rules)))
 
 
 def _trades(graph: TradeStreams, table: DataFrame) -> DataFrame:
@@ -51,17 +61,25 @@ def _trades(graph: TradeStreams, table: DataFrame) -> DataFrame:
 
 def _anomalies(graph: TradeStreams, table: DataFrame) -> DataFrame:
     flagged = anomalies.flag(table.drop(EVENT_DATE), graph.prices, graph.thresholds)
-    return anomalies.only_anomalies(flagged)
+    severities = dict.fromkeys(r.severity for r in anomaly_rules(graph.thresholds))
+    return anomalies.only_anomalies(_counted(flagged, "flags", "severity", severities))
 
 
 STEPS: Mapping[str, Step] = {
-    "bronze": Step(None, lambda g, df: bronze.to_bronze(df), "bronze/raw_trades", schemas.BRONZE),
+    "bronze": Step(
+        None,
+        lambda g, df: bronze.to_bronze(df),
+        "bronze/raw_trades",
+        schemas.BRONZE,
+        when="try_to_timestamp(get_json_object(raw_payload, '$.event_time'))",
+    ),
     "silver": Step(
         "bronze",
         _silver,
         "silver/valid_trades",
         dated(schemas.SILVER),
         partition_by=(EVENT_DATE,),
+        when="event_ts",
     ),
     "dead_letters": Step(
         "bronze",
@@ -108,7 +126,9 @@ class TradeStreams:
     validation and anomaly flags. ``read_options`` limit what a step takes from the table before it
     in one micro-batch; ``step_options`` add to them or replace them for single steps. There is no limit
     by default: every file of a table spans the times of its micro-batch, so a limit below the files of one
-    batch moves the watermark past rows that are still to be read.
+    batch moves the watermark past rows that are still to be read. With ``hand_over``, bronze and silver
+    are written in files of consecutive event times (see ``handover``), as many as it says for
+    each micro-batch, and limits lose nothing. A table is written in one of the two ways from its first batch on.
     """
 
     spark: SparkSession
@@ -124,6 +144,7 @@ class TradeStreams:
     thresholds: Thresholds = Thresholds()
     read_options: Mapping[str, str] = field(default_factory=dict)
     step_options: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    hand_over: int | None = None
     topics: Mapping[str, str] = field(
         default_factory=lambda: {
             "dead_letters": "trades-rejected",
@@ -156,6 +177,10 @@ class TradeStreams:
                 output, name, None, self.checkpoints, "kafka", trigger, options=options
             )
         fmt = "parquet" if step.topic else self.table_format
+        if self.hand_over and step.when and fmt == "parquet":
+            checkpoint = f"{self.checkpoints.rstrip('/')}/{name}"
+            table = TimeOrderedTable(self.spark, self.uri(name), checkpoint, F.expr(step.when), step.partition_by, self.hand_over)
+            return table.start(output, name, trigger)
         return write_stream(
             output,
             name,

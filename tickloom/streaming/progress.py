@@ -7,6 +7,7 @@ import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -15,7 +16,7 @@ from tickloom.sources.envelopes import read_or_empty
 PROGRESS = (
     "query STRING, batch_id BIGINT, input_rows BIGINT, input_rate DOUBLE, process_rate DOUBLE, "
     "batch_ms BIGINT, watermark STRING, state_rows BIGINT, state_bytes BIGINT, "
-    "dropped_by_watermark BIGINT"
+    "dropped_by_watermark BIGINT, observed MAP<STRING, BIGINT>"
 )
 
 
@@ -35,7 +36,7 @@ class ProgressLog(StreamingQueryListener):
         self._spark, self._uri, self._flush_every = spark, uri, flush_every
         self._held: list[tuple] = []
         self._ended: set[str] = set()
-        self._lock = threading.Lock()
+        self._lock, self._writing = threading.Lock(), threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -56,10 +57,15 @@ class ProgressLog(StreamingQueryListener):
         self._ended.add(str(event.runId))
 
     def flush(self) -> None:
-        with self._lock:
-            rows, self._held = self._held, []
-        if rows:
+        """Write what is held. Reports leave the list only once they are written; a failed write raises and keeps them."""
+        with self._writing:
+            with self._lock:
+                rows = list(self._held)
+            if not rows:
+                return
             self._spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self._uri)
+            with self._lock:
+                del self._held[: len(rows)]
 
     def wait(self, queries: Iterable[StreamingQuery], seconds: float = 60) -> None:
         """Until the ends of the given (stopped) queries have been reported."""
@@ -69,6 +75,11 @@ class ProgressLog(StreamingQueryListener):
                 raise TimeoutError(f"no report of the end of {len(wanted - self._ended)} queries")
             time.sleep(0.05)
 
+    def observed(self) -> DataFrame:
+        """What the queries counted on their way (``DataFrame.observe``), added up: query, metric, total."""
+        each = self.table().select("query", F.explode("observed").alias("metric", "value"))
+        return each.groupBy("query", "metric").agg(F.sum("value").alias("total"))
+
     def table(self) -> DataFrame:
         """All reports so far, one row per micro-batch and run."""
         self.flush()
@@ -88,4 +99,10 @@ def _row(report) -> tuple:
         sum(s.numRowsTotal for s in states),
         sum(s.memoryUsedBytes for s in states),
         sum(s.numRowsDroppedByWatermark for s in states),
+        {
+            f"{name}.{key}": value
+            for name, row in (report.observedMetrics or {}).items()
+            for key, value in row.asDict().items()
+            if isinstance(value, int)
+        },
     )
