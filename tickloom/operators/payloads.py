@@ -41,6 +41,7 @@ def _message(df: DataFrame, key: Column, *fields: str | Column) -> DataFrame:
 
 
 def dead_letters(rejected: DataFrame) -> DataFrame:
+    # The fields of the message in order.
     return _message(
         rejected,
         F.col("message_key"),

@@ -16,6 +16,7 @@ from tickloom.operators import (
     anomalies,
     bars,
     bronze,
+    checksums,
     merge,
     payloads,
     quality,
@@ -40,6 +41,7 @@ from tickloom.session import prepare, shared_folder, stream_session
 from tickloom.sources.envelopes import read_envelopes
 from tickloom.sources.event_tape import EVENTS, read_events, to_envelopes
 from tickloom.sources.newest_files import newest_files
+from tickloom.streaming.compacted import CompactedTopic
 from tickloom.streaming.graph import TradeStreams
 from tickloom.streaming.increments import ORDER, WarehouseIncrements, latest_event
 from tickloom.streaming.progress import ProgressLog
@@ -47,6 +49,7 @@ from tickloom.streaming.progress import ProgressLog
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+ALL_FILES = 1_000_000
 TRADE_COLUMNS = ("trade_id", "symbol", "side", "quantity", "price", "notional", "event_ts")
 CUSTOM = Thresholds(quantity=5_000, notional=250_000.0, price_move=0.1)
 
@@ -116,12 +119,12 @@ def validation_outcome(spark, sf_dir):
 
 @query
 def validation_summary(spark, sf_dir):
-    return quality.validation_summary(checked(spark, sf_dir))
+    return quality.validation_summary(checked(spark, sf_dir, bronze.RULE_FIELDS))
 
 
 @query
 def invalid_trades(spark, sf_dir):
-    return silver.reject(checked(spark, sf_dir)).select(
+    return silver.reject(checked(spark, sf_dir, bronze.RULE_FIELDS)).select(
         "partition", "offset", "message_key", "symbol", "side", "quantity", "price",
         "validation_error",
     )
@@ -393,7 +396,8 @@ def newest_files_scan(spark, sf_dir):
 def _dashboard(spark, sf_dir):
     """Silver, anomalies and bars as written tables, each read through its newest files."""
     folder = shared_folder(spark, "dashboard")
-    flagged = anomalies.flag(valid(spark, sf_dir))
+    # Derived once: the three layers start from the stored one.
+    flagged = anomalies.flag(stored_valid(spark, sf_dir))
     layers = {
         "silver": flagged.select(*TRADE_COLUMNS),
         "anomalies": anomalies.only_anomalies(flagged).select("trade_id", "anomaly_reason"),
@@ -401,8 +405,9 @@ def _dashboard(spark, sf_dir):
     }
     read = {}
     for name, rows in layers.items():
-        rows.coalesce(8).write.parquet(f"{folder}/{name}")
-        read[name] = newest_files(spark, f"{folder}/{name}", rows.schema, 40).rows
+        rows.hint("rebalance").write.parquet(f"{folder}/{name}")
+        # The newest files are all there are here, however many a large tape takes.
+        read[name] = newest_files(spark, f"{folder}/{name}", rows.schema, ALL_FILES).rows
     return read
 
 
@@ -443,6 +448,24 @@ def layer_counts(spark, sf_dir):
     return quality.layer_counts(layers, {"bronze": 2, "silver": 2, "gold": 2})
 
 
+@query
+def checksum_drill_down(spark, sf_dir):
+    """Bars in which a copy of silver differs: some trades have another price, some are missing."""
+    trades = stored_valid(spark, sf_dir, by_date=True)
+    number = F.substring("trade_id", 7, 20).cast("bigint")
+    copy = trades.where(number % 777 != 0).withColumn("price", F.when(number % 500 == 0, F.col("price") + 1).otherwise(F.col("price")))
+    return plain_times(checksums.differing_bars(trades, copy, TRADE_COLUMNS))
+
+
+@query
+def checksum_rows(spark, sf_dir):
+    """The trades that differ, found through their bars."""
+    trades = stored_valid(spark, sf_dir, by_date=True)
+    number = F.substring("trade_id", 7, 20).cast("bigint")
+    copy = trades.where(number % 777 != 0).withColumn("price", F.when(number % 500 == 0, F.col("price") + 1).otherwise(F.col("price")))
+    return checksums.differing_rows(trades, copy, ("trade_id", "symbol", "event_ts", "price")).select("trade_id", "price", "extra")
+
+
 @query
 def output_presence(spark, sf_dir):
     """Writes silver and the daily table, then checks both and a table that is not there."""
@@ -529,6 +552,14 @@ def stream_tumbling_closed(spark, sf_dir):
     return settled(graph.table("tumbling"))
 
 
+@query
+def stream_limited_backlog(spark, sf_dir):
+    """Closed bars of a graph that takes one file of a table at a time, as of one without limits."""
+    graph = streams(spark, sf_dir, hand_over=3, read_options={"maxFilesPerTrigger": "1"})
+    graph.run_available(["tumbling"])
+    return settled(graph.table("tumbling"))
+
+
 @query
 def stream_sliding_closed(spark, sf_dir):
     graph = streams(spark, sf_dir)
@@ -592,6 +623,62 @@ def stream_warehouse_windows(spark, sf_dir):
     return _doubles(found.windows().drop("loaded_at"))
 
 
+@query
+def packed_warehouse_silver(spark, sf_dir):
+    """The silver of three deliveries after their loads were packed and the former ones removed."""
+    repeats = {"originals": False}
+    found = _increments(spark, sf_dir, [{"replays": False}, repeats, repeats])
+    found.pack(least=2, keep_seconds=0)
+    return _doubles(found.silver().drop("loaded_at"))
+
+
+@query
+def packed_warehouse_windows(spark, sf_dir):
+    """The minute bars of two deliveries after packing, folding and one more delivery of known trades."""
+    repeats = {"originals": False}
+    found = _increments(spark, sf_dir, [{"replays": False}, repeats])
+    found.pack(least=2, keep_seconds=0)
+    found.fold_windows()
+    found.apply(warehouse.to_variant(bronze.to_bronze(to_envelopes(read_events(spark, sf_dir), **repeats))), 99)
+    return _doubles(found.windows().drop("loaded_at"))
+
+
+def _bar_envelopes(messages, offset, delivered):
+    """Bar messages as records of a topic with three partitions, one offset for each delivery of a key."""
+    key = F.col("key").cast("binary")
+    return messages.select(
+        F.lit("trade-aggregates").alias("topic"),
+        F.pmod(F.xxhash64("key"), F.lit(3)).cast("int").alias("partition"),
+        F.lit(offset).cast("bigint").alias("offset"),
+        F.lit(delivered).cast("timestamp").alias("timestamp"),
+        key.alias("key"),
+        F.col("value").cast("binary").alias("value"),
+    )
+
+
+@query
+def compacted_bars(spark, sf_dir):
+    """Newest value of each bar from a topic that delivers final bars first, drafts of them later, and all final ones
+    twice; one symbol's bars are deleted at last."""
+    folder = shared_folder(prepare(spark), "compacted")
+    session = stream_session(prepare(spark))
+    final = stored(spark, payloads.bar_messages(bars.tumbling(valid(spark, sf_dir))), "bar-messages")
+    drafts = final.withColumn("value", F.lit('{"symbol": "draft"}'))
+    gone = final.where(F.col("key").startswith("ZZZT|")).withColumn("value", F.lit(None).cast("string"))
+    topic = CompactedTopic(session, f"{folder}/view", f"{folder}/checkpoint")
+    deliveries = (
+        _bar_envelopes(final, 7, "2024-02-01 00:00:07"),
+        _bar_envelopes(drafts, 3, "2024-02-01 00:00:09").unionByName(_bar_envelopes(gone, 8, "2024-02-01 00:00:08")),
+        _bar_envelopes(final, 7, "2024-02-01 00:00:07"),
+    )
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(f"{folder}/landing")
+        topic.start(read_envelopes(session, "parquet", path=f"{folder}/landing")).awaitTermination()
+    topic.pack(least=2, keep_seconds=0)
+    messages = topic.view().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    return settled(_json_fields(messages, schemas.TUMBLING.toDDL()))
+
+
 def _landed_streams(spark, folder):
     session = stream_session(spark)
     source = read_envelopes(session, "parquet", path=f"{folder}/landing")
@@ -632,6 +719,29 @@ def stream_late_accounting(spark, sf_dir):
     return layers.unionByName(dropped)
 
 
+@query
+def stream_reject_counts(spark, sf_dir):
+    """Rejects by reason, counted by the stream itself while the rows pass."""
+    graph = streams(spark, sf_dir)
+    log = _progress_log(graph)
+    log.wait(graph.run_available(["dead_letters"]).values())
+    graph.spark.streams.removeListener(log)
+    reason = F.substring_index("metric", ".", -1).alias("validation_error")
+    counted = log.observed().where("query = 'dead_letters' AND metric <> 'rejects.rows' AND total > 0")
+    return counted.select(reason, F.col("total").alias("rejected"))
+
+
+@query
+def stream_flag_counts(spark, sf_dir):
+    """Flagged trades by severity, counted by the stream itself while the rows pass."""
+    graph = streams(spark, sf_dir)
+    log = _progress_log(graph)
+    log.wait(graph.run_available(["anomalies"]).values())
+    graph.spark.streams.removeListener(log)
+    severity = F.substring_index("metric", ".", -1).alias("severity")
+    return log.observed().where("query = 'anomalies' AND metric <> 'flags.rows'").select(severity, F.col("total").alias("trades"))
+
+
 @query
 def stream_progress(spark, sf_dir):
     graph = streams(spark, sf_dir)

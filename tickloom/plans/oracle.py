@@ -220,6 +220,8 @@ BAR_MESSAGES = (
     FROM tumbling"""
 )
 
+_NUMBER = "CAST(substr(trade_id, 7) AS BIGINT)"
+
 ORACLE: dict[str, str] = {
     "bronze_envelope": TAPE
     + """SELECT topic, "partition", "offset", kafka_timestamp, message_key, sequence, event_time
@@ -323,6 +325,13 @@ FROM now n FULL OUTER JOIN before_cut b
     UNION ALL SELECT 'silver', count(*) FROM valid WHERE trade_id LIKE 'trade-10%'
     UNION ALL SELECT 'gold', count(*) FROM (SELECT DISTINCT symbol, date_trunc('minute', event_ts)
       FROM valid WHERE trade_id LIKE 'trade-10%'))""",
+    "checksum_drill_down": TAPE
+    + f"""SELECT date_trunc('minute', event_ts) AS window_start, symbol, count(*) AS left_rows,
+    count(*) FILTER (WHERE {_NUMBER} % 777 <> 0) AS right_rows
+    FROM valid GROUP BY ALL HAVING count(*) FILTER (WHERE {_NUMBER} % 777 = 0 OR {_NUMBER} % 500 = 0) > 0""",
+    "checksum_rows": TAPE
+    + f"""SELECT trade_id, price, CAST(1 AS BIGINT) AS extra FROM valid WHERE {_NUMBER} % 777 = 0 OR {_NUMBER} % 500 = 0
+    UNION ALL SELECT trade_id, price + 1, -1 FROM valid WHERE {_NUMBER} % 777 <> 0 AND {_NUMBER} % 500 = 0""",
     "output_presence": TAPE
     + """SELECT t.table_name, t.present, t.present AND EXISTS (SELECT 1 FROM valid) AS has_rows
     FROM (VALUES ('silver', true), ('daily', true), ('unwritten', false)) AS t(table_name, present)""",
@@ -349,6 +358,9 @@ FROM days LEFT JOIN closed ON days.trade_day = closed.trade_day AND days.symbol
     "stream_tumbling_closed": TAPE
     + TUMBLING
     + f"SELECT * FROM tumbling WHERE window_end <= {CLOSED}",
+    "stream_limited_backlog": TAPE
+    + TUMBLING
+    + f"SELECT * FROM tumbling WHERE window_end <= {CLOSED}",
     "stream_sliding_closed": TAPE
     + SLIDING
     + f"SELECT * FROM sliding WHERE window_end <= {CLOSED}",
@@ -357,6 +369,15 @@ FROM days LEFT JOIN closed ON days.trade_day = closed.trade_day AND days.symbol
     + f"SELECT * FROM sessions WHERE session_end <= {CLOSED}",
     "stream_bronze_to_silver_incremental": TAPE + WAREHOUSE + WAREHOUSE_ROWS,
     "stream_warehouse_windows": TAPE + WAREHOUSE + _minute_bars(RECENT),
+    "packed_warehouse_silver": TAPE + WAREHOUSE + WAREHOUSE_ROWS,
+    "packed_warehouse_windows": TAPE + WAREHOUSE + _minute_bars(RECENT),
+    "compacted_bars": TAPE + BAR_MESSAGES + " WHERE symbol <> 'ZZZT'",
+    "stream_reject_counts": TAPE
+    + """SELECT validation_error, count(*) AS rejected FROM checked
+    WHERE validation_error IS NOT NULL GROUP BY validation_error""",
+    "stream_flag_counts": TAPE
+    + FLAGGED
+    + """SELECT severity, count(*) AS trades FROM flagged WHERE anomaly_reason <> 'NORMAL' GROUP BY severity""",
     "stream_restart_idempotent": TAPE
     + TUMBLING
     + _counts(

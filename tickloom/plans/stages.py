@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +25,8 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.to_bronze(to_envelopes(read_events(prepare(spark), sf_dir)))
 
 
-def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.classify(bronze.parse(raw(spark, sf_dir)))
+def checked(spark: SparkSession, sf_dir: str, fields: Iterable[str] | None = None) -> DataFrame:
+    return silver.classify(bronze.parse(raw(spark, sf_dir), fields))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,7 +38,8 @@ def newest_files(
     The listing reads no file content, only names and times; ``count`` paths come to
     the driver. Log folders (names with a leading underscore) are ignored, and a missing
     folder gives an empty result. A file of which any part cannot be read is left out as a whole: one
-    pass over the chosen files compares the rows that can be read with the number the file states.
+    pass over the chosen files compares the rows that can be read with the number the file states. A file
+    that states no rows is whole.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -70,4 +72,19 @@ def _whole_files(spark: SparkSession, files: list[str], schema: StructType) -> s
     # The hash makes the scan decode all columns; without one, rows are counted from the footers.
     read = table.select(name, F.xxhash64(*table.columns).alias("code")).groupBy("file").agg(F.count("*").alias("read"), F.max("code").alias("code"))
     stated = reader.parquet(*files).select(name).groupBy("file").agg(F.count("*").alias("stated"))
-    return {row.file for row in stated.join(read, "file").filter("read = stated AND code IS NOT NULL").select("file").collect()}
+    found = stated.join(read, "file", "left").select("file", (F.expr("read = stated AND code IS NOT NULL")).alias("whole")).collect()
+    silent = [f for f in files if f not in {row.file for row in found}]
+    return {row.file for row in found if row.whole} | set(_valid_files(spark, silent, schema))
+
+
+def _valid_files(spark: SparkSession, files: list[str], schema: StructType) -> list[str]:
+    """Those of a bounded list of files without rows that are Parquet files all the same; only footers are read."""
+    if not files:
+        return []
+    strict = spark.read.schema(schema).option("ignoreCorruptFiles", "false")
+    try:
+        strict.parquet(*files).count()
+    except (PySparkException, Py4JJavaError):
+        # Some are not: each is asked by itself.
+        return [f for f in files if _valid_files(spark, [f], schema)] if len(files) > 1 else []
+    return files
