@@ -25,15 +25,14 @@ from pyspark.sql import functions as F
 from tickloom.llm import arrays
 from tickloom.llm.frames import map_texts, stored
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 21
 # Documents above so many bytes are cut into ranges of that size.
 RANGE_BYTES = 1 << 15
 # Fragments that one step of the tree composes.
 FAN = 8
 # Id pairs of one lookup table (16 bytes each); more pairs take further passes over the links.
 TABLE_PAIRS = 1 << 21
-MEMO_PARTS, MEMO_BYTES = 300_000, 64
-BATCH_PARTS = 1000
+BLOCK_PARTS = 2000
 # Links of a group up to this product of its sizes are listed together, larger groups one by one.
 SMALL_GROUP = 4096
 
@@ -69,6 +68,18 @@ def _decimals(count: int) -> tuple[np.ndarray, np.ndarray]:
     return digits, size
 
 
+def _flat(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of a vocabulary, where each piece begins in them, and its size."""
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    return np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size, size
+
+
+def _ranges(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The given ranges of bytes, one after the other."""
+    place = np.concatenate([[0], np.cumsum(size)])
+    return data[np.repeat(starts - place[:-1], size) + np.arange(place[-1])]
+
+
 class Tokens:
     """Tokens of a chunk of texts: ids, absolute ends, first token of each text, for A and B; texts that do not round-trip."""
 
@@ -77,7 +88,7 @@ class Tokens:
 
 
 class Pair:
-    """The two tokenizers of a task, with a memo of the parts of texts that it has seen."""
+    """The two tokenizers of a task."""
 
     def __init__(self, a_json: str, b_model: bytes):
         from sentencepiece import SentencePieceProcessor
@@ -90,63 +101,75 @@ class Pair:
         self.first, self.second = Tokenizer.from_str(a_json), SentencePieceProcessor(model_proto=b_model)
         self.first.encode_special_tokens = True
         code, size = _byte_level(), self.first.get_vocab_size()
-        self.a_bytes = [bytes(code[c] for c in t) if t and all(c in code for c in t) else (t or "").encode() for t in map(self.first.id_to_token, range(size))]
+        self.tables = [_flat([bytes(code[c] for c in t) if t and all(c in code for c in t) else (t or "").encode() for t in map(self.first.id_to_token, range(size))])]
         pieces = [self.second.id_to_piece(i) for i in range(self.second.vocab_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("the second tokenizer joins words")
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.tables.append(_flat([bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]))
         self.size_b = len(pieces)
         self.decimals, self.digits = _decimals(max(size, self.size_b))
-        self.memo: dict[bytes, tuple[bytes, bytes]] = {}
-
-    def _encoded(self, parts: list[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
-        """(id, end) pairs of both tokenizers for each part; none where the bytes differ."""
-        out = {}
-        for low in range(0, len(parts), BATCH_PARTS):
-            some = parts[low : low + BATCH_PARTS]
-            texts = [p.decode("utf-8") for p in some]
-            firsts = self.first.encode_batch(texts, add_special_tokens=False)
-            seconds = self.second.encode([t[1:] for t in texts], num_threads=1)  # it adds the space itself
-            for part, one, ids_b in zip(some, firsts, seconds):
-                found = []
-                for ids, table in ((one.ids, self.a_bytes), (ids_b, self.b_bytes)):
-                    own = [table[i] for i in ids]
-                    if b"".join(own) != part:
-                        break
-                    found.append(np.stack([np.array(ids, np.int64), np.cumsum([len(o) for o in own])], 1).tobytes())
-                out[part] = tuple(found) if len(found) == 2 else (b"", b"")
+
+    def _block(self, data: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+        """For A and B: ids, ends within their part and tokens of each part, of parts that were put together; None where bytes differ."""
+        text = data.tobytes().decode("utf-8")
+        last = np.cumsum(sizes)
+        out = []
+        # The second tokenizer adds the space in front itself.
+        for ids, (flat, offset, size) in zip((self.first.encode(text, add_special_tokens=False).ids, self.second.encode(text[1:])), self.tables):
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(size[ids])
+            if not len(ids) or ends[-1] != len(data) or not np.array_equal(_ranges(flat, offset[ids], size[ids]), data):
+                return None
+            cut = np.searchsorted(ends, last)
+            if not np.array_equal(ends[cut], last):
+                raise AssertionError("a token reaches over a safe cut")
+            count = np.diff(np.concatenate([[-1], cut]))
+            out.append((ids, ends - np.repeat(last - sizes, count), count))
         return out
 
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """For A and B: ids and ends of the tokens of all parts, first token and number of tokens of each; which parts do not round-trip."""
+        size = ends - starts
+        # Parts that end in a mark or letter and begin with a space before a letter can stand side by side.
+        after = data[np.minimum(starts + 1, len(data) - 1)]
+        joins = (size > 1) & _LETTER[after] & _GRAPHIC[data[ends - 1]]
+        plain, single = np.flatnonzero(joins), np.flatnonzero(~joins)
+        blocks = [plain[n : n + BLOCK_PARTS] for n in range(0, len(plain), BLOCK_PARTS)] + [single[n : n + 1] for n in range(len(single))]
+        bad, done, found = np.zeros(len(starts), bool), [], []
+        while blocks:
+            block = blocks.pop()
+            result = self._block(_ranges(data, starts[block], size[block]), size[block])
+            if result:
+                done.append(block)
+                found.append(result)
+            elif len(block) > 1:  # some part of it: smaller blocks
+                blocks += np.array_split(block, min(len(block), 16))
+            else:
+                bad[block] = True
+        order = np.concatenate([*done, np.zeros(0, np.int64)]).astype(np.int64)
+        out = []
+        for which in (0, 1):
+            ids, last, count = (np.concatenate([*(f[which][k] for f in found), np.zeros(0, np.int64)]).astype(np.int64) for k in range(3))
+            first, number = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+            first[order], number[order] = np.cumsum(count) - count, count
+            out.append((ids, last, first, number))
+        return out, bad
+
     def tokens(self, data: np.ndarray, bounds: np.ndarray) -> Tokens:
-        """Tokens of texts that each begin with the space in front."""
+        """Tokens of texts that each begin with the space in front. Equal parts of a chunk are encoded once."""
         starts = np.union1d(bounds[:-1][np.diff(bounds) > 0], safe_cuts(data)).astype(np.int64)
         ends = np.append(starts[1:], len(data))[: len(starts)]
         _, lead, inverse = np.unique(arrays.byte_hash(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        parts = [raw[s:e] for s, e in zip(starts[lead].tolist(), ends[lead].tolist())]
-        if len(self.memo) > MEMO_PARTS:
-            self.memo = {}
-        known = {p: self.memo[p] for p in parts if p in self.memo}
-        fresh = self._encoded([p for p in dict.fromkeys(parts) if p not in known])
-        self.memo.update((p, f) for p, f in fresh.items() if len(p) <= MEMO_BYTES)
-        known |= fresh
+        found, wrong = self._encoded(data, starts[lead], ends[lead])
         row = np.searchsorted(bounds, starts, "right") - 1
-        wrong = np.array([not known[p][0] for p in parts], bool)
         bad = np.zeros(len(bounds) - 1, bool)
         bad[row[wrong[inverse]]] = True
         out = []
-        for which in (0, 1):
-            held = [known[p][which] for p in parts]
-            joined = b"".join(held)
-            flat = (np.frombuffer(joined, np.int64) if joined else np.zeros(0, np.int64)).reshape(-1, 2)
-            size = np.fromiter(map(len, held), np.int64, len(held)) // 16
-            offset = np.concatenate([[0], np.cumsum(size)])
-            use = ~bad[row]
-            count = np.where(use, size[inverse], 0)
+        for ids, last, first_token, number in found:
+            count = np.where(bad[row], 0, number[inverse])
             place = np.concatenate([[0], np.cumsum(count)])
-            each = flat[np.repeat(offset[inverse] - place[:-1], count) + np.arange(place[-1])]
-            first = place[np.searchsorted(row, np.arange(len(bounds)))]
-            out += [each[:, 0], each[:, 1] + np.repeat(starts, count), first]
+            at = np.repeat(first_token[inverse] - place[:-1], count) + np.arange(place[-1])
+            out += [ids[at], last[at] + np.repeat(starts, count), place[np.searchsorted(row, np.arange(len(bounds)))]]
         return Tokens(*out, bad)
 
     def spelled(self, a, b, closes_a, closes_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
