@@ -109,7 +109,7 @@ def test_ranges_cover_a_text_once(size):
 
 
 def _fragments(text, size):
-    pair, data = token_alignment.Pair(A, B), (" " + text).encode()
+    pair, data = token_alignment.pair_of(A, B), (" " + text).encode()
     out = []
     for seq, (lead, lo, hi, end) in enumerate(token_alignment.byte_ranges(data, size)):
         out.append(token_alignment.fragment(pair, data[lead:end], lead, lo, hi) | {"at": seq})

@@ -12,6 +12,7 @@ neither tokenizer can join (a single space between a mark or letter and a letter
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -214,6 +215,12 @@ class Pair:
         return rows[heads], pairs[heads], np.add.reduceat(times, heads) if len(heads) else times
 
 
+@functools.lru_cache(maxsize=1)
+def pair_of(a_json: str, b_model: bytes) -> Pair:
+    """The tokenizers of a Python worker: its tasks share them."""
+    return Pair(a_json, b_model)
+
+
 def closing(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Which tokens of A, and of B, end where a token of the other ends."""
     return np.isin(t.a_end, t.b_end, assume_unique=True), np.isin(t.b_end, t.a_end, assume_unique=True)
@@ -227,7 +234,7 @@ def _spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _whole(a_json: str, b_model: bytes):
     """Job over texts: the columns of ``ALIGNED``."""
-    pair = Pair(a_json, b_model)
+    pair = pair_of(a_json, b_model)
 
     def one(data, bounds, rows):
         t = pair.tokens(*_spaced(data, bounds))
@@ -371,7 +378,7 @@ def _assembled(a_json, b_model):
     """Job over a text's fragments in order: the columns of ``ALIGNED``; what is held is one text's distinct pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, now = Pair(a_json.value, b_model.value), None
+        pair, now = pair_of(a_json.value, b_model.value), None
         for batch in batches:
             for n in range(batch.num_rows):
                 row = {name: batch.column(name)[n].as_py() for name in batch.schema.names}
@@ -429,7 +436,7 @@ def aligned(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id"
     ranges = long.select("uid", "text").mapInArrow(_cut_ranges(range_bytes), RANGES)
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(sent_a.value, sent_b.value)
+        pair = pair_of(sent_a.value, sent_b.value)
         for batch in batches:
             for row in batch.to_pylist():
                 found = fragment(pair, row["part"], row["lead"], row["lo"], row["hi"])
@@ -488,7 +495,7 @@ def align(
     texts, and those whose tokens do not give the text back, have zeros and an empty digest. Every row comes back
     once, repeated ids and texts included; other columns are left out.
     """
-    size_b = Pair(a_json, b_model).size_b
+    size_b = pair_of(a_json, b_model).size_b
     found = aligned(docs, a_json, b_model, id_col, text_col, range_bytes)
     table = pair_counts(found, size_b)
     shards = -(-table.count() // table_pairs) or 1
