@@ -38,6 +38,62 @@ def test_counts_of_contexts_are_exact(docs):
             assert (zeros[0], found[0]) == (sum(n for _, n in same) - ones, ones)
 
 
+def _blend(text):
+    """What a single shard learns from one text, and its counts of longer contexts."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    keys = context_mixing.decisions(data, np.array([0, len(data)]))[0].view(np.int64)
+    grams, times = np.unique(keys, return_counts=True)
+    low, high = (context_mixing.Counts(grams, times, orders) for orders in (context_mixing.LOW_ORDERS, context_mixing.HIGH_ORDERS))
+    weights, _, refine = context_mixing.learn_grams(grams, times, context_mixing._by_order(low, high))
+    shape = (2, 256, context_mixing.STEPS)
+    return context_mixing.Blend(low, weights, context_mixing._refined(refine.reshape(shape))), high, keys
+
+
+def test_probabilities_of_a_context_add_to_one():
+    blend, high, keys = _blend("the cat sat on the mat and the dog sat on the log. " * 300)
+    for before in (b"n the", b"\x00\x00\x00\x00\x00", b"zzzzz", b"t sat"):
+        symbols = (int.from_bytes(before, "big") << 8) | np.arange(256, dtype=np.int64)
+        assert (10 ** blend.log10(symbols, high)).sum() == pytest.approx(1.0, abs=1e-4)
+    assert -blend.log10(keys, high).sum() / np.log10(2) / len(keys) < 0.5
+
+
+def test_probabilities_against_a_plain_mixer():
+    """Bit by bit in plain Python, from the same weights and counts kept in dictionaries."""
+    text = "a rose is a rose is a rose; " * 40
+    blend, high, _ = _blend(text)
+    data = text.encode() + b"\xff"
+    seen = Counter()
+    for at, symbol in enumerate(data):
+        before = (bytes(5) + data[:at])[-5:]
+        for order in range(context_mixing.ORDERS):
+            for number in range(8):
+                node = (1 << number) | (symbol >> (8 - number))
+                seen[before[5 - order :], node, symbol >> (7 - number) & 1] += 1
+    steps, refine = context_mixing.STEPS, blend.refine
+    for at in (0, 7, 300, len(data) - 1):
+        before, symbol, wanted = (bytes(5) + data[:at])[-5:], data[at], 0.0
+        for number in range(8):
+            node, bit, gate, odds = (1 << number) | (symbol >> (8 - number)), symbol >> (7 - number) & 1, 0, []
+            for order in range(context_mixing.ORDERS):
+                zeros, ones = (seen[before[5 - order :], node, value] for value in (0, 1))
+                odds.append(np.log((ones + context_mixing.PRIOR) / (zeros + context_mixing.PRIOR)))
+                often = sum(zeros + ones >= step for step in context_mixing.SEEN_STEPS)
+                gate = order * len(context_mixing.SEEN_STEPS) - 1 + often if often else gate
+            total = sum(blend.weights[order][gate * 8 + number] * o for order, o in enumerate(odds))
+            place = (min(max(total, -context_mixing.LIMIT), context_mixing.LIMIT) + context_mixing.LIMIT) * (steps - 1) / (2 * context_mixing.LIMIT)
+            low = min(int(place), steps - 2)
+            refined = (1 - place + low) * refine[node * steps + low] + (place - low) * refine[node * steps + low + 1]
+            one = min(max((1 / (1 + np.exp(-total)) + refined) / 2, context_mixing.FLOOR), 1 - context_mixing.FLOOR)
+            wanted += np.log10(one if bit else 1 - one)
+        key = np.array([int.from_bytes(before + bytes([symbol]), "big")], np.int64)
+        assert blend.log10(key, high)[0] == pytest.approx(wanted, abs=1e-4)
+
+
+def test_rows_may_go_without_their_text(docs):
+    found = context_mixing.score(docs, docs, bits=14, keep_text=False)
+    assert found.select("row.*").columns == ["doc_id"] and found.count() == 60
+
+
 def test_no_context_is_lost_among_many(spark):
     """Contexts far beyond the slots of a table of 2^bits: a text that was learned stays cheap."""
     draw = np.random.default_rng(3)

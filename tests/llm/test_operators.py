@@ -200,22 +200,6 @@ def test_context_mixing(docs, rows, empty):
     assert context_mixing.score(docs, empty).where("train_tokens = 0").count() == len(rows)
 
 
-def test_mixer_is_a_distribution():
-    layout = context_mixing.Layout(12)
-    table = np.zeros(layout.size, np.uint32)
-    import pyarrow as pa
-
-    text = "the cat sat on the mat and the dog sat on the log. " * 40
-    context_mixing.learn_into(layout)([pa.RecordBatch.from_arrays([pa.array([text] * 20)], ["text"])] * 3, table)
-    mixer = context_mixing.Mixer.of(layout, table.astype(np.uint64))
-    context = int.from_bytes(b"n the", "big") << 8
-    keys = np.array([context | symbol for symbol in range(256)], np.uint64)
-    assert (10 ** mixer.log10(keys)).sum() == pytest.approx(1.0, abs=1e-4)
-    data = np.frombuffer(text.encode(), np.uint8)
-    keys, _ = context_mixing.decisions(data, np.array([0, len(data)]))
-    assert -mixer.log10(keys).sum() / np.log10(2) / len(keys) < 0.5
-
-
 def test_licenses(docs, rows, empty):
     found = licenses.scan(docs)
     wanted = expect(rows, [brute.licenses(text, licenses.PHRASES) for _, text, *_ in rows])

@@ -41,8 +41,6 @@ HIGH_ORDERS = range(3, ORDERS)
 SHARD_BITS = 17  # a shard has about 2^17 grams of the training texts
 ASKED_BITS = 4  # and is asked for about 2^4 times as many
 CHUNK_BYTES = 1 << 22
-LEARN_BYTES = 1 << 16
-DIRECT = 256 + (1 << 16)
 PRIOR = 0.2
 # Sets of weights: longest seen context, how often it was seen, number of the bit.
 SEEN_STEPS = np.array([1, 2, 4, 16, 64], np.float32)
@@ -59,46 +57,6 @@ SMOOTHING = 0.1
 _END_WORD = np.uint64(0x454E44)
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Where each part of the model stands in one table of whole numbers; a slot counts zeros, then ones.
-
-    Contexts of no and one byte have slots of their own, all longer ones share a hashed table: the mixer of texts
-    that one process holds.
-    """
-
-    bits: int = 22
-
-    @property
-    def slots(self) -> int:
-        return DIRECT + (1 << self.bits)
-
-    @property
-    def refine(self) -> int:
-        return 2 * self.slots
-
-    @property
-    def weights(self) -> int:
-        return self.refine + 2 * 256 * STEPS
-
-    @property
-    def size(self) -> int:
-        return self.weights + GATES * ORDERS + 1
-
-    def contexts(self, keys: np.ndarray) -> list[np.ndarray]:
-        """What stands for the context of each order: its byte, or a hash."""
-        held = [((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) for order in range(ORDERS)]
-        return [(c << np.uint64(8)).astype(np.int64) + 256 if n == 1 else arrays.mix(c + (np.uint64(n) << np.uint64(52))) if n else c for n, c in enumerate(held)]
-
-    def slot(self, order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-        if order == 0:
-            return node
-        if order == 1:
-            return context + node
-        code = (context + node.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        return (code >> np.uint64(64 - self.bits)).astype(np.int64) + DIRECT
-
-
 def decisions(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each symbol with the five bytes before it in one number, and the first symbol of each document."""
     before = ORDERS - 1
@@ -116,26 +74,6 @@ def decisions(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[place], at
 
 
-def _predictions(layout: Layout, keys: np.ndarray, look_up):
-    """For each of the eight bits: node, bit, slots by order, log odds by order, gate.
-
-    ``look_up(slots)`` gives the log odds of slots (0 where nothing was seen) and the step of how often they were seen.
-    """
-    symbol = (keys & np.uint64(0xFF)).astype(np.int64)
-    contexts = layout.contexts(keys)
-    for number in range(8):
-        node = (1 << number) | (symbol >> (8 - number))
-        bit = (symbol >> (7 - number)) & 1
-        slots, inputs = [], []
-        gate = np.zeros(len(keys), np.int64)
-        for order in range(ORDERS):
-            slots.append(layout.slot(order, contexts[order], node))
-            odds, often = look_up(slots[-1])
-            inputs.append(odds)
-            gate = np.where(often > 0, order * len(SEEN_STEPS) - 1 + often.astype(np.int64), gate)
-        yield node, bit, slots, inputs, gate * 8 + number
-
-
 def _mixed(weights: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
     total = weights[0][gate] * inputs[0]
     for order in range(1, ORDERS):
@@ -191,72 +129,6 @@ def _log10_one(weights, refine, node, bit, inputs, gate) -> np.ndarray:
     return np.log10(np.where(bit == 1, one, 1 - one))
 
 
-def learn_into(layout: Layout):
-    """Fill function for a table of the layout: online training over texts."""
-
-    def fill(batches, table):
-        counts = table[: layout.refine]
-        both = counts.view(np.uint64)  # a slot's two counts in one number
-        refine = np.zeros((2, 256 * STEPS), np.int64)
-        weights = np.full((ORDERS, GATES), 0.3, np.float32)
-
-        def look_up(slots):
-            held = both[slots]
-            return _odds((held & np.uint64(0xFFFFFFFF)).astype(np.float32), (held >> np.uint64(32)).astype(np.float32))
-
-        learned = False
-        for batch in batches:
-            for _, _, data, bounds in arrays.row_chunks(batch.column(0), LEARN_BYTES):
-                keys, times = np.unique(decisions(data, bounds)[0], return_counts=True)
-                updates, times32 = [], times.astype(np.uint32)
-                for node, bit, slots, inputs, gate in _predictions(layout, keys, look_up):
-                    total = _move(weights, gate, inputs, bit, times)
-                    _note(refine, node, total, bit, times)
-                    updates += [2 * slot + bit for slot in slots]
-                for at in updates:
-                    np.add.at(counts, at, times32)
-                learned = True
-        if learned:
-            table[layout.refine : layout.weights] = refine.ravel()
-            table[layout.weights : layout.size - 1] = np.rint((np.clip(weights, -SHIFT, SHIFT).astype(float) + SHIFT) * FIXED).ravel()
-            table[layout.size - 1] = 1
-
-    return fill
-
-
-@dataclass(frozen=True)
-class Mixer:
-    """A trained model: log odds and how often seen by slot, weights, adaptive map."""
-
-    layout: Layout
-    packed: np.ndarray  # log odds in parts of 128, times 8, plus the step of how often the slot was seen
-    weights: np.ndarray
-    refine: np.ndarray
-
-    @classmethod
-    def of(cls, layout: Layout, table: np.ndarray) -> Mixer:
-        pairs = table[: layout.refine].reshape(-1, 2)
-        odds, often = _odds(pairs[:, 0].astype(np.float32), pairs[:, 1].astype(np.float32))
-        packed = (np.rint(np.clip(odds, -24, 24) * 128).astype(np.int16) * 8 + often).astype(np.int16)
-        counts = table[layout.refine : layout.weights].reshape(2, 256, STEPS).astype(float)
-        tasks = int(table[layout.size - 1])
-        held = table[layout.weights : layout.size - 1].astype(float).reshape(ORDERS, GATES)
-        weights = held / (FIXED * tasks) - SHIFT if tasks else np.full((ORDERS, GATES), 0.3)
-        return cls(layout, packed, weights.astype(np.float32), _refined(counts))
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        """Probability of each symbol after its context, as a logarithm."""
-        found = np.zeros(len(keys))
-
-        def look_up(slots):
-            held = self.packed[slots]
-            return (held >> 3).astype(np.float32) * np.float32(1 / 128), held & 7
-
-        for node, bit, _, inputs, gate in _predictions(self.layout, keys, look_up):
-            found += _log10_one(self.weights, self.refine, node, bit, inputs, gate)
-        return found
-
-
 def _gram(keys: np.ndarray, order: int) -> np.ndarray:
     """A symbol with ``order`` bytes before it."""
     return keys & np.int64((1 << 8 * (order + 1)) - 1)
@@ -480,10 +352,12 @@ def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
 RESULT = "n_tokens BIGINT, n_bytes BIGINT, held_sum DOUBLE, held_known BIGINT, rare ARRAY<BIGINT>, uid BIGINT, block STRUCT<n_asked: BIGINT, asked: BINARY, bounds: BINARY, texts: BINARY>"
 
 
-def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int = SHARD_BITS, held_words: int = HELD_WORDS) -> DataFrame:
+def score(
+    docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int = SHARD_BITS, held_words: int = HELD_WORDS, keep_text: bool = True
+) -> DataFrame:
     """Scores of every document under models of the texts of ``learn``.
 
-    Struct ``row`` (the document's columns) beside n_tokens, n_known, train_tokens, base_score (unigram), score (log10
+    Struct ``row`` (the document's columns; without ``keep_text`` all but the text) beside n_tokens, n_known, train_tokens, base_score (unigram), score (log10
     probability of the text by context mixing) and bits_per_byte (the end counts as one byte). Null and
     empty texts are one end. Without training texts the base is uniform over one unseen token, and the
     mixer gives one half for every bit. Every row comes back once, repeated rows alike.
@@ -531,7 +405,9 @@ def score(docs: DataFrame, learn: DataFrame, text_col: str = "text", bits: int =
         return one
 
     found = map_texts(docs, text_col, RESULT, job, CHUNK_BYTES)
-    scored = stored(found.select("row", "result.*"), "scores")
+    # The texts of a block are stored with its first document, so the rows need not carry theirs too.
+    row = F.col("row") if keep_text else F.col("row").dropFields(f"`{text_col}`").alias("row")
+    scored = stored(found.select(row, "result.*"), "scores")
     # Words beyond the held ones are rare by construction: none of them is a hot key.
     rare = scored.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(F.count("*").alias("times"))
     looked = (

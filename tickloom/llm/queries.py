@@ -50,7 +50,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = context_mixing.score(docs, docs.where(is_learned("doc_id", 10, 0)))
+    found = context_mixing.score(docs, docs.where(is_learned("doc_id", 10, 0)), keep_text=False)
     return found.select(
         "row.doc_id", (~is_learned("row.doc_id", 10, 0)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
     )
