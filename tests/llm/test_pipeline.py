@@ -57,7 +57,7 @@ def test_repeats_are_cut(stages):
 def test_passages_of_sixty_words_go(spark):
     """A passage that three documents share, between texts of their own."""
     passage = " ".join(f"w{i}k" for i in range(60))
-    own = [" ".join(f"own{n}x{i}" for i in range(80)) for n in range(5)]
+    own = [" ".join(f"x{i}own{n}" for i in range(80)) for n in range(5)]
     rows = [(n, f"{own[n]} {passage} {own[n][::-1]}") for n in range(3)] + [(3, own[3]), (4, own[4])]
     found = texts(corpus_pipeline.cut_repeated_text(spark, spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), SF_DIR))
     assert all("w30k" not in found[n] and found[n].startswith(own[n]) and found[n].endswith(own[n][::-1]) for n in range(3))
