@@ -107,19 +107,38 @@ RANGES = "doc BIGINT, code INT, lo INT, hi INT"
 def _bucket_array(table: pa.Table):
     """Symbols of all packed strings, each with a separator of its own, their bounds, suffix array and common prefixes."""
     strings = table["packed"].to_pylist()
-    size = np.array([len(s) for s in strings])
+    size = np.array([len(s) for s in strings], np.int64)
     at = np.concatenate([[0], np.cumsum(size + 1)])
-    raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    raw = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8)
     symbols = raw.astype(np.int64)
     symbols[at[1:] - 1] = 256 + np.arange(len(strings))
-    order, common = suffix_array(symbols, int(size.max()) + 1)
+    order, common = suffix_array(symbols, int(size.max(initial=0)) + 1)
     return raw, at, order, common, np.concatenate([[1 << 40], symbols[:-1]])
 
 
+def repeating(table: pa.Table, window: int) -> pa.Table:
+    """The packed strings of which some window may stand twice in the table, by rolling hashes.
+
+    Equal windows have equal hashes, so all strings with a repeat are left; what really repeats
+    is for the suffix array to say.
+    """
+    held = table["packed"].combine_chunks().cast(pa.large_binary())
+    _, offsets, data = held.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(held) + 1, held.offset * 8)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    at = arrays.window_starts(bounds, window)
+    twice = at[arrays.repeated(arrays.byte_hash(raw, at, at + window))]
+    found = np.zeros(len(held), bool)
+    found[np.searchsorted(bounds, twice, "right") - 1] = True
+    return table.filter(pa.array(found)).combine_chunks()
+
+
 def bucket_repeats(window: int):
     """Job over buckets: one row for each occurrence of each maximal repeat among the packed strings."""
 
     def one(table: pa.Table) -> pa.Table:
+        table = repeating(table, window)
         raw, at, order, common, before = _bucket_array(table)
         names, lengths, places = [], [], []
         for length, first, end in maximal_repeats(order, common, before, window):
@@ -140,6 +159,7 @@ def bucket_ranges(window: int):
     """Job over buckets: the ranges that the maximal repeats cover in the packed strings."""
 
     def one(table: pa.Table) -> pa.Table:
+        table = repeating(table, window)
         raw, at, order, common, before = _bucket_array(table)
         longest = np.zeros(len(order), np.int64)  # of the repeats that begin with each suffix
         for length, first, end in maximal_repeats(order, common, before, window):
