@@ -7,6 +7,7 @@ stream of ids is cut every ``length`` tokens, so that only the very last sequenc
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -96,6 +97,21 @@ class WordEncoder:
         self.memo: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        # Ids that end a run of letters, for tokenizers that mark word ends.
+        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)], bool)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and the first id of each and the end."""
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, self.kind), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
+
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, as one text: each is one run of letters, so it has one id that ends a run."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        # Lower case may part a few of them; then there are more ends than words.
+        return (ids, np.concatenate([[0], ends])) if len(ends) == len(words) and ends[-1] == len(ids) else self._encode(words)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk, each text followed by ``end_id``, and the first id of each text."""
@@ -105,13 +121,15 @@ class WordEncoder:
         distinct = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
         if len(self.memo) > MEMO_WORDS:
             self.memo = {}
-        fresh = [w for w in distinct if w not in self.memo]
-        for low in range(0, len(fresh), BATCH_WORDS):
-            part = fresh[low : low + BATCH_WORDS]
-            found = self.tokenizer.encode([w.decode("utf-8") for w in part], is_pretokenized=True, add_special_tokens=False)
-            place = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1)) * np.dtype(self.kind).itemsize
-            packed = np.array(found.ids, self.kind).tobytes()
-            self.memo.update((w, packed[i:j]) for w, i, j in zip(part, place[:-1].tolist(), place[1:].tolist()))
+        fresh = {w: w.decode("utf-8") for w in distinct if w not in self.memo}
+        letters = [w for w, text in fresh.items() if text.isalpha()]
+        others = [w for w, text in fresh.items() if not text.isalpha()]
+        for some, encode in ((letters, self._encode_letters), (others, self._encode)):
+            for low in range(0, len(some), BATCH_WORDS):
+                part = some[low : low + BATCH_WORDS]
+                found, first_id = encode([fresh[w] for w in part])
+                packed, place = found.tobytes(), (first_id * found.itemsize).tolist()
+                self.memo.update((w, packed[i:j]) for w, i, j in zip(part, place[:-1], place[1:]))
         ids = [self.memo[w] for w in distinct] + [self.kind(end_id).tobytes()]
         flat = np.frombuffer(b"".join(ids), self.kind)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
