@@ -43,15 +43,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     found = jaccard_join.join_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
     # Rows without shingles are in no group. A null id is the smallest of all.
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
     leads = found.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id"), (F.col("n_shingles") == 0).alias("alone")
+        key.alias("kept_id"), (F.col("n_shingles") == 0).alias("alone")
     ).distinct()
-    numbered = docs.select(F.struct("*").alias("row"))
-    kept = numbered.join(leads, F.col("row.doc_id").eqNullSafe(F.col("kept_id")))
-    word = F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = kept.where(F.col("alone") != word)
-    single = kept.where(word).dropDuplicates(["kept_id"])
-    return single.unionByName(kept.where(~word)).select("row.*")
+    word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    numbered = docs.select(F.struct("*").alias("row"), key.alias("kept_id"), word.alias("word"))
+    kept = numbered.join(leads, "kept_id").where(F.col("alone") != F.col("word"))
+    # The rows lie by id after the join, so texts are not shuffled once more. Rows without a word all stay.
+    own = F.when(F.col("word"), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+    return kept.withColumn("own", own).dropDuplicates(["kept_id", "own"]).select("row.*")
 
 
 def cut_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
