@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontamination, jaccard_join, language_id, packing, suffix_dedup
-from tickloom.llm.frames import is_learned, read_table
+from tickloom.llm.frames import is_learned, read_table, write_table
 from tickloom.llm.queries import tokenizer_json
 from tickloom.session import shared_folder
 
@@ -95,6 +95,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = shared_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        write_table(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return docs
