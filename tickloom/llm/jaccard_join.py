@@ -278,11 +278,13 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
     )
     # Two documents of sizes too far apart cannot link, so their shingle elects nobody.
     alike = (F.col("holders") > 2) | (100 * F.col("least") >= percent * F.col("most"))
-    elected = (
+    # Stored, so that the shuffle of all shingles is gone before they are shuffled again to those that elect.
+    elected = stored(
         rare.groupBy("shingle")
         .agg(F.count("*").alias("holders"), F.min("doc").alias("pivot"), F.min("n").alias("least"), F.max("n").alias("most"))
         .where((F.col("holders") > 1) & alike)
-        .select("shingle", "pivot")
+        .select("shingle", "pivot"),
+        "elected",
     )
     members = stored(rare.join(elected, "shingle").select("pivot", "doc", "code", "n").distinct(), "regions")
     sizes = stored(members.groupBy("pivot").agg(F.count("*").alias("docs"), F.sum("n").alias("size")).where("docs > 1"), "region-sizes")
