@@ -123,13 +123,15 @@ class WarehouseIncrements:
         load = f"{self._query_id(spark)}-{batch_id}"
         silver = self.silver_table
         held = batch.persist()
+        # The lookup asks for the ids several times; the trades are typed and sorted for it once.
+        incoming = id_lookup.with_id_code(first_arrival(warehouse.variant_silver(held), ("trade_id",), ORDER)).persist()
         try:
             self.reject_table.write(warehouse.variant_rejects(held), load)
-            incoming = id_lookup.with_id_code(first_arrival(warehouse.variant_silver(held), ("trade_id",), ORDER))
             known = id_lookup.known_ids(silver.read(spark).where(F.col(LOAD) != load), incoming)
             fresh = incoming.join(known, "trade_id", "left_anti").withColumn(EVENT_DATE, F.to_date("event_ts"))
             silver.write(_stamped(fresh), load)
         finally:
+            incoming.unpersist()
             held.unpersist()
         trades = silver.read(spark)
         as_of = self.as_of(trades) if self.as_of else None
