@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.streaming.sinks import with_trigger
 
-STAGED = "_handover"
+STAGED, WHEN = "_handover", "_handover_when"
 
 
 class TimeOrderedTable:
@@ -42,11 +42,11 @@ class TimeOrderedTable:
         query = self._query_id()
         staged = f"{self.uri}/{STAGED}/{query}-{batch_id:012}"
         if not self._exists(f"{staged}/_SUCCESS"):
-            # Ranges are found by a look at the rows, and a stateful batch is computed only once.
-            held = batch.persist()
+            # Ranges are found by a look at the rows: a stateful batch, and the time of each row, are computed only once.
+            held = batch.withColumn(WHEN, self.when).persist()
             try:
                 count = self.files or int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-                ranged = held.repartitionByRange(count, self.when).sortWithinPartitions(self.when)
+                ranged = held.repartitionByRange(count, WHEN).sortWithinPartitions(WHEN).drop(WHEN)
                 ranged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(staged)
             finally:
                 held.unpersist()
