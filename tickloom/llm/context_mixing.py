@@ -41,7 +41,7 @@ HIGH_ORDERS = range(3, ORDERS)
 SHARD_BITS = 17  # a shard has about 2^17 grams of the training texts
 ASKED_BITS = 4  # and is asked for about 2^4 times as many
 CHUNK_BYTES = 1 << 22
-WORD_CHUNK_BYTES = 1 << 21  # hashing takes some fifty times as much memory
+WORD_CHUNK_BYTES = 1 << 21  # hashing takes many times as much memory
 PRIOR = 0.2
 # Sets of weights: longest seen context, how often it was seen, number of the bit.
 SEEN_STEPS = np.array([1, 2, 4, 16, 64], np.float32)
