@@ -2,7 +2,9 @@
 
 The Jaccard distance is a metric. Two documents that link share one of the rarest shingles of either,
 so each of these shingles elects a pivot (its smallest document), and a region is a pivot with all
-documents that elected it. Small regions are joined as they are. In a large region every
+documents that elected it. Small regions are joined at once, without the members that are too far from all
+others: a sketch counts a set's shingles by hash range, which maps sets into a space of vectors where no distance
+grows, so sets whose sketches are too far apart cannot link. In a large region every
 document is first compared with the pivot: those within the distance are linked to it, and by
 the triangle inequality two documents can link only if their distances to the pivot differ by no more than
 the threshold. So the region falls into rings as wide as the threshold, ring members are copied to the
@@ -37,6 +39,10 @@ FREQUENCY_SLOTS = 1 << 20
 SMALL_REGION = 500_000
 BLOCK_SHINGLES = 500_000
 GROUP_BYTES = 1 << 21
+# A sketch has up to twice as many counts as a set has shingles for one; counts above 254 are open upwards.
+SKETCH_SHINGLES = 16
+SKETCH_LEAST = 16
+_OPEN_COUNT = 1 << 30
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +68,44 @@ def _slots(codes: np.ndarray) -> np.ndarray:
     return (codes >> np.uint64(64 - FREQUENCY_SLOTS.bit_length() + 1)).astype(np.int64)
 
 
+def sketches(codes: np.ndarray, first: np.ndarray) -> pa.Array:
+    """For each document the number of its shingles in each of equal ranges of hashes, a byte each."""
+    size = np.diff(first)
+    bits = np.ceil(np.log2(np.maximum(size / SKETCH_SHINGLES, SKETCH_LEAST))).astype(np.int64)
+    place = np.concatenate([[0], np.cumsum(1 << bits)])
+    row = arrays.owners(first)
+    counts = np.bincount(place[row] + (codes >> (64 - bits[row]).astype(np.uint64)).astype(np.int64), minlength=place[-1])
+    raw = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return pa.array([raw[a:b] for a, b in zip(place[:-1].tolist(), place[1:].tolist())], pa.binary())
+
+
+def near_some(size: np.ndarray, held: list[bytes], percent: int) -> np.ndarray:
+    """Which documents may link with another one of them, by their set sizes and sketches."""
+    width = np.fromiter(map(len, held), np.int64, len(held))
+    order = np.argsort(size, kind="stable")
+    size, width, near = size[order], width[order], np.zeros(len(order), bool)
+    # The documents that are not too large to link with each, and those of whom no other set is near enough.
+    last = np.searchsorted(percent * size, 100 * size, "right")
+    alone = 100 * size < percent * (size + 1)
+    for wide in np.unique(width[~alone]).tolist():
+        own = np.flatnonzero((width == wide) & ~alone)
+        low, high = int(own[0]), int(last[own[-1]])
+        grid = np.empty((high - low, wide), np.int32)
+        for other in np.unique(width[low:high]).tolist():  # larger sets have longer sketches, which are added up to this length
+            some = np.flatnonzero(width[low:high] == other)
+            counts = np.frombuffer(b"".join([held[n] for n in order[low + some].tolist()]), np.uint8).astype(np.int32)
+            counts[counts == 255] = _OPEN_COUNT
+            grid[some] = np.minimum(counts.reshape(len(some), wide, -1).sum(axis=2), _OPEN_COUNT)
+        for at in own.tolist():
+            common = np.minimum(grid[at - low], grid[at + 1 - low : last[at] - low]).sum(axis=1)
+            hit = (100 + percent) * common >= percent * (size[at] + size[at + 1 : last[at]])
+            near[at] |= hit.any()
+            near[at + 1 : last[at]] |= hit
+    out = np.empty(len(order), bool)
+    out[order] = near
+    return out
+
+
 def shingle_frequencies(texts: DataFrame, words: int) -> np.ndarray:
     """Documents by slot of their shingles' hashes: an upper bound of each shingle's frequency."""
 
@@ -75,7 +119,7 @@ def shingle_frequencies(texts: DataFrame, words: int) -> np.ndarray:
 
 
 def described(texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """Stored table: doc, code, n (set size), digest (of the set), rare (the shingles of which a partner has one)."""
+    """Stored table: doc, code, n (set size), digest (of the set), rare (the shingles of which a partner has one), sketch."""
     shared = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts, words))  # of fixed size
 
     def job():
@@ -90,11 +134,11 @@ def described(texts: DataFrame, percent: int, words: int) -> DataFrame:
             rare = order[place < prefix[row]]
             raw = codes.tobytes()
             digests = [blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-            return [size, pa.array(digests, pa.binary()), arrays.lists(codes[rare].view(np.int64), np.concatenate([[0], np.cumsum(prefix)]))]
+            return [size, pa.array(digests, pa.binary()), arrays.lists(codes[rare].view(np.int64), np.concatenate([[0], np.cumsum(prefix)])), sketches(codes, first)]
 
         return one
 
-    found = map_texts(texts, "text", "n BIGINT, digest BINARY, rare ARRAY<BIGINT>", job)
+    found = map_texts(texts, "text", "n BIGINT, digest BINARY, rare ARRAY<BIGINT>, sketch BINARY", job)
     return stored(found.select("row.doc", "row.code", "result.*"), "shingle-sets")
 
 
@@ -191,6 +235,16 @@ def _sets_of(table: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(sizes)])
 
 
+def _near_members(percent: int):
+    def job(table, heads):
+        size, held, keep = table["n"].to_numpy(), table["sketch"].to_pylist(), np.zeros(len(table), bool)
+        for low, high in zip(heads.tolist(), [*heads[1:].tolist(), len(table)]):
+            keep[low:high] = near_some(size[low:high], held[low:high], percent)
+        return table.select(["pivot", "doc", "code"]).filter(pa.array(keep))
+
+    return job
+
+
 def _join_regions(percent: int, words: int):
     def job(table, heads):
         codes, first = _sets_of(table, words)
@@ -288,14 +342,17 @@ def class_links(texts: DataFrame, sets: DataFrame, percent: int, small_region: i
     )
     members = stored(rare.join(elected, "shingle").select("pivot", "doc", "code", "n").distinct(), "regions")
     sizes = stored(members.groupBy("pivot").agg(F.count("*").alias("docs"), F.sum("n").alias("size")).where("docs > 1"), "region-sizes")
-    wanted = members.join(sizes, "pivot", "left_semi").select("doc", "code").distinct()
+    sized = members.join(sizes, "pivot")
+    # Most members of small regions share a shingle by chance: they go before any text travels.
+    sketched = sets.where("n > 0").select("doc", "code", "sketch").dropDuplicates(["doc", "code"])
+    small = sized.where(F.col("size") <= small_region).join(sketched, ["doc", "code"]).select("pivot", "doc", "code", "n", "sketch")
+    close = stored(_whole_groups(small, ["pivot"], _near_members(percent), "pivot BIGINT, doc BIGINT, code INT"), "near-members")
+    large = sized.where(F.col("size") > small_region).select("pivot", "doc", "code", "n")
+    wanted = close.select("doc", "code").union(large.select("doc", "code")).distinct()
     held = stored(_packed_texts(texts.join(wanted, ["doc", "code"])).dropDuplicates(["doc", "code"]), "region-texts")
 
-    sized = members.join(sizes, "pivot")
-    small = sized.where(F.col("size") <= small_region).join(held, ["doc", "code"]).select("pivot", "doc", "packed")
-    near = _whole_groups(small, ["pivot"], _join_regions(percent, words), "a BIGINT, b BIGINT")
+    near = _whole_groups(close.join(held, ["doc", "code"]).select("pivot", "doc", "packed"), ["pivot"], _join_regions(percent, words), "a BIGINT, b BIGINT")
 
-    large = sized.where(F.col("size") > small_region).select("pivot", "doc", "code", "n")
     centres = large.where("doc = pivot").dropDuplicates(["pivot"]).join(held, ["doc", "code"]).select("pivot", F.col("packed").alias("pivot_packed"))
     compared = large.join(held, ["doc", "code"]).join(centres, "pivot").select("pivot", "doc", "code", "n", "packed", "pivot_packed")
     rings = stored(compared.mapInArrow(_distances(percent, words), "pivot BIGINT, doc BIGINT, code INT, n BIGINT, distance DOUBLE, linked BOOLEAN"), "rings")
