@@ -137,3 +137,29 @@ def test_empty_table(spark):
     assert token_alignment.align(spark.createDataFrame([], "doc_id BIGINT, text STRING"), A, B).collect() == []
     rows = token_alignment.align(spark.createDataFrame([(1, None)], "doc_id BIGINT, text STRING"), A, B).collect()
     assert [tuple(r) for r in rows] == [(1, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_remembered_parts_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(token_alignment, "KNOWN_PARTS", 40)
+    plain = token_alignment.Pair._encoded
+    sizes = []
+
+    def spy(self, data, starts, ends):
+        sizes.append(len(starts))
+        return plain(self, data, starts, ends)
+
+    monkeypatch.setattr(token_alignment.Pair, "_encoded", spy)
+    pair = token_alignment.Pair(A, B)
+    draw = np.random.default_rng(5)
+    for n in range(6):
+        words = [f"word{x}" if x % 3 else f"wörd{x}, \x00 mark" for x in draw.integers(0, 70, 60)] + ["often", "seen", "long" * 20]
+        text = np.frombuffer((" " + " ".join(words)).encode(), np.uint8)
+        bounds = np.array([0, 0, len(text) // 2, len(text)])
+        while text[bounds[2]] != 0x20:
+            bounds[2] += 1
+        alone = token_alignment.Pair(A, B).tokens(text, bounds)
+        for name, value in vars(pair.tokens(text, bounds)).items():
+            assert np.array_equal(value, getattr(alone, name)), name
+        first, again = sizes[-1], sizes[-2]  # of the pair, of one that remembers nothing
+        assert n == 0 or first < again
+        assert len(pair.known) <= 80 and all(len(side[0]) == side[3].sum() for side in pair.sides)

@@ -34,6 +34,9 @@ FAN = 8
 # Id pairs of one lookup table (16 bytes each); more pairs take further passes over the links.
 TABLE_PAIRS = 1 << 21
 BLOCK_PARTS = 2000
+# Encoded parts that a worker remembers at least, up to twice as many, of at most so many bytes each; the others are encoded again.
+KNOWN_PARTS = 1 << 16
+KNOWN_BYTES = 32
 # Links of a group up to this product of its sizes are listed together, larger groups one by one.
 SMALL_GROUP = 4096
 
@@ -59,13 +62,13 @@ def _byte_level() -> dict[str, int]:
 
 
 def _decimals(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of 0 .. count - 1, left-aligned with a free place behind, and their number."""
+    """Decimal digits of 0 .. count - 1, left-aligned, zero bytes up to a free place behind, and their number."""
     ids = np.arange(count)
     size = np.searchsorted(10 ** np.arange(1, 12), ids, "right") + 1
     width = int(size.max(initial=1)) + 1
     digits = np.zeros((count, width), np.uint8)
     for k in range(width - 1):
-        digits[:, k] = 48 + ids // 10 ** np.maximum(size - 1 - k, 0) % 10
+        digits[:, k] = np.where(k < size, 48 + ids // 10 ** np.maximum(size - 1 - k, 0) % 10, 0)
     return digits, size
 
 
@@ -107,8 +110,10 @@ class Pair:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("the second tokenizer joins words")
         self.tables.append(_flat([bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]))
-        self.size_b = len(pieces)
+        self.size_a, self.size_b = size, len(pieces)
         self.decimals, self.digits = _decimals(max(size, self.size_b))
+        none = np.zeros(0, np.int32)
+        self.known, self.uses, self.sides = np.zeros(0, np.uint64), none, [(none,) * 4] * 2
 
     def _block(self, data: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
         """For A and B: ids, ends within their part and tokens of each part, of parts that were put together; None where bytes differ."""
@@ -116,7 +121,7 @@ class Pair:
         last = np.cumsum(sizes)
         out = []
         # The second tokenizer adds the space in front itself.
-        for ids, (flat, offset, size) in zip((self.first.encode(text, add_special_tokens=False).ids, self.second.encode(text[1:])), self.tables):
+        for ids, (flat, offset, size) in zip((self.first.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.second.encode(text[1:])), self.tables):
             ids = np.array(ids, np.int64)
             ends = np.cumsum(size[ids])
             if not len(ids) or ends[-1] != len(data) or not np.array_equal(_ranges(flat, offset[ids], size[ids]), data):
@@ -156,12 +161,46 @@ class Pair:
             out.append((ids, last, first, number))
         return out, bad
 
+    def _looked_up(self, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """``_encoded`` of distinct parts with ascending hashes ``codes``; those that are remembered are not encoded again."""
+        place = np.searchsorted(self.known, codes)
+        hit = np.zeros(len(codes), bool)
+        inside = place < len(self.known)
+        hit[inside] = self.known[place[inside]] == codes[inside]
+        old, fresh = place[hit], np.flatnonzero(~hit)
+        found, wrong = self._encoded(data, starts[fresh], ends[fresh])
+        bad, out = np.zeros(len(codes), bool), []
+        bad[fresh] = wrong
+        for (ids, last, first, number), new in zip(self.sides, found):
+            first_token, count = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
+            count[hit], count[fresh] = number[old], new[3]
+            total = np.cumsum(count[hit])
+            first_token[hit], first_token[fresh] = total - count[hit], new[2] + (total[-1] if len(total) else 0)
+            out.append((*(np.concatenate([_ranges(held, first[old], number[old]), more]) for held, more in zip((ids, last), new)), first_token, count))
+        self.uses[old] += 1
+        some = fresh[~wrong & (ends[fresh] - starts[fresh] <= KNOWN_BYTES)]
+        if 8 * len(some) >= len(self.known):  # not worth it for a few
+            self._remember(codes[some], [(ids, last, first[some], count[some]) for ids, last, first, count in out])
+        return out, bad
+
+    def _remember(self, codes: np.ndarray, sides) -> None:
+        known, uses = np.concatenate([self.known, codes]), np.concatenate([self.uses, np.ones(len(codes), np.int32)])
+        keep = np.argpartition(-uses, KNOWN_PARTS)[:KNOWN_PARTS] if len(known) > 2 * KNOWN_PARTS else np.arange(len(known))
+        keep = keep[np.argsort(known[keep])]
+        self.known, self.uses, held = known[keep], uses[keep], []
+        for (ids, last, first, number), (more_ids, more_last, more_first, more_number) in zip(self.sides, sides):
+            first, number = np.concatenate([first, len(ids) + more_first])[keep], np.concatenate([number, more_number])[keep]
+            tokens = (_ranges(np.concatenate([a, b]), first, number).astype(np.int32) for a, b in ((ids, more_ids), (last, more_last)))
+            held.append((*tokens, (np.cumsum(number) - number).astype(np.int32), number.astype(np.int32)))
+        self.sides = held
+
     def tokens(self, data: np.ndarray, bounds: np.ndarray) -> Tokens:
         """Tokens of texts that each begin with the space in front. Equal parts of a chunk are encoded once."""
-        starts = np.union1d(bounds[:-1][np.diff(bounds) > 0], safe_cuts(data)).astype(np.int64)
+        starts = np.sort(np.concatenate([bounds[:-1][np.diff(bounds) > 0], safe_cuts(data)]).astype(np.int64))
+        starts = starts[np.diff(starts, prepend=-1) > 0]
         ends = np.append(starts[1:], len(data))[: len(starts)]
-        _, lead, inverse = np.unique(arrays.byte_hash(data, starts, ends), return_index=True, return_inverse=True)
-        found, wrong = self._encoded(data, starts[lead], ends[lead])
+        codes, lead, inverse = np.unique(arrays.byte_hash(data, starts, ends), return_index=True, return_inverse=True)
+        found, wrong = self._looked_up(codes, data, starts[lead], ends[lead])
         row = np.searchsorted(bounds, starts, "right") - 1
         bad = np.zeros(len(bounds) - 1, bool)
         bad[row[wrong[inverse]]] = True
@@ -184,8 +223,8 @@ class Pair:
         mark[at_b] = np.where(closes_b, ord(";"), ord(","))
         size = self.digits[ids]
         text = self.decimals[ids]
-        text[np.arange(len(ids)), size] = mark
-        flat = text[np.arange(text.shape[1]) <= size[:, None]]
+        text.ravel()[np.arange(0, text.size, text.shape[1]) + size] = mark
+        flat = np.frombuffer(text.tobytes().translate(None, b"\x00"), np.uint8)
         place = np.concatenate([[0], np.cumsum(size + 1)])
         return flat, place, at_a
 
@@ -195,24 +234,36 @@ class Pair:
         first_a, first_b = np.concatenate([[0], end_a[:-1]]), np.concatenate([[0], end_b[:-1]])
         size_a, size_b = end_a - first_a[: len(end_a)], end_b - first_b[: len(end_b)]
         product = size_a * size_b
-        small = np.flatnonzero(product <= SMALL_GROUP)
+        one = np.flatnonzero(product == 1)
+        small = np.flatnonzero((product > 1) & (product <= SMALL_GROUP))
         count = product[small]
         place = np.concatenate([[0], np.cumsum(count)])
         within = np.arange(place[-1]) - np.repeat(place[:-1], count)
         group = np.repeat(small, count)
-        pairs = [a[first_a[group] + within // size_b[group]] * self.size_b + b[first_b[group] + within % size_b[group]]]
-        rows, times = [row_of_group[group]], [np.ones(len(group), np.int64)]
-        for g in np.flatnonzero(product > SMALL_GROUP).tolist():
-            ids_a, n_a = np.unique(a[first_a[g] : end_a[g]], return_counts=True)
-            ids_b, n_b = np.unique(b[first_b[g] : end_b[g]], return_counts=True)
-            pairs.append((ids_a[:, None] * self.size_b + ids_b).ravel())
-            times.append((n_a[:, None] * n_b).ravel())
-            rows.append(np.full(len(pairs[-1]), row_of_group[g]))
-        pairs, rows, times = map(np.concatenate, (pairs, rows, times))
-        order = np.lexsort((pairs, rows))
-        pairs, rows, times = pairs[order], rows[order], times[order]
-        heads = np.flatnonzero(np.concatenate([[True], (np.diff(pairs) != 0) | (np.diff(rows) != 0)])) if len(pairs) else order
-        return rows[heads], pairs[heads], np.add.reduceat(times, heads) if len(heads) else times
+        side_a, side_b = np.divmod(within, size_b[group])
+        # A row and its pair as one number.
+        span = self.size_a * self.size_b
+        keys = np.concatenate([
+            row_of_group[one] * span + a[first_a[one]] * self.size_b + b[first_b[one]],
+            row_of_group[group] * span + a[first_a[group] + side_a] * self.size_b + b[first_b[group] + side_b],
+        ])
+        keys.sort()
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        keys, times = keys[heads], np.diff(heads, append=len(keys))
+        large = np.flatnonzero(product > SMALL_GROUP).tolist()
+        if large:
+            more, often = [keys], [times]
+            for g in large:
+                ids_a, n_a = np.unique(a[first_a[g] : end_a[g]], return_counts=True)
+                ids_b, n_b = np.unique(b[first_b[g] : end_b[g]], return_counts=True)
+                more.append((row_of_group[g] * span + ids_a[:, None] * self.size_b + ids_b).ravel())
+                often.append((n_a[:, None] * n_b).ravel())
+            order = np.argsort(np.concatenate(more))
+            keys, times = np.concatenate(more)[order], np.concatenate(often)[order]
+            heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            keys, times = keys[heads], np.add.reduceat(times, heads)
+        rows, pairs = np.divmod(keys, span)
+        return rows, pairs, times
 
 
 @functools.lru_cache(maxsize=1)
@@ -223,7 +274,9 @@ def pair_of(a_json: str, b_model: bytes) -> Pair:
 
 def closing(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Which tokens of A, and of B, end where a token of the other ends."""
-    return np.isin(t.a_end, t.b_end, assume_unique=True), np.isin(t.b_end, t.a_end, assume_unique=True)
+    ends = np.zeros((2, max(t.a_end[-1:].sum(), t.b_end[-1:].sum()) + 1), bool)
+    ends[0, t.a_end], ends[1, t.b_end] = True, True
+    return ends[1, t.a_end], ends[0, t.b_end]
 
 
 def _spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
