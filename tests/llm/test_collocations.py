@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,39 @@ def test_bits_of_spark_and_of_the_tasks_agree(spark, docs):
 def test_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang STRING, text STRING")).collect() == []
     assert collocations.collocations(spark.createDataFrame([(None, None)], "lang STRING, text STRING")).collect() == []
+
+
+class Local:
+    """Stands for a frame and keeps what a pass gives out before Spark adds it up."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        self.table = pa.Table.from_batches(list(run(iter(self.batches))))
+        return self
+
+    def groupBy(self, *names):
+        return self
+
+    def agg(self, *sums):
+        return self
+
+
+def test_a_task_gives_out_each_phrase_once(spark, rows, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 2000)
+    table = pa.table({"lang": ["und" if r[0] is None else r[0] for r in rows], "text": [r[1] or "" for r in rows]}, pa.schema([("lang", pa.string()), ("text", pa.string())]))
+    every = spark.sparkContext.broadcast(collocations.Proposed.packed(np.full((1 << 18) // 8, 255, np.uint8)))
+    counts, total = brute.phrase_counts(rows)
+    wanted = sorted([(p[0], " ".join(p[1:]), n) for p, n in counts.items()])
+    for held in (1 << 22, 300):
+        monkeypatch.setattr(collocations, "HELD_CODES", held)
+        monkeypatch.setattr(collocations, "HELD_PHRASES", held)
+        spelled = collocations._spell(Local(table.to_batches(max_chunksize=50)), every, every, 5).table
+        phrases = spelled.filter(pc.not_equal(spelled["phrase"], ""))
+        summed = phrases.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        assert sorted(zip(*(summed[name].to_pylist() for name in ("lang", "phrase", "n_sum")))) == wanted
+        codes = collocations._count(Local(table.to_batches(max_chunksize=50)), every, None, 5).table
+        assert len(pc.unique(codes["code"])) == len(wanted) and pc.sum(codes["n"]).as_py() == sum(n for *_, n in wanted)
+        if held > 300:
+            assert len(phrases) == len(codes) == len(wanted)

@@ -9,7 +9,7 @@ finds one. The sample thus decides how many passes are needed, never what is fou
 
 The proposals travel to the tasks as a bitmap of fixed size over phrase hashes, and passes count hashes. Collisions only
 add: to the proposals, and to counts. So no frequent phrase is missed, and a last pass counts those
-whose hash is frequent by their words themselves.
+whose hash is frequent by their words themselves. (Within a task, places of equal 61-bit hashes count as one phrase.)
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ SAMPLE = 0.125
 SAMPLE_MARGIN = 0.4
 SLOT_BITS = 27  # 16 MB, whatever the input
 CHUNK_BYTES = 1 << 21
+# A task adds up the hashes of so many places, and spelled phrases up to so many, before they leave it.
+HELD_CODES = 1 << 21
+HELD_PHRASES = 1 << 18
+BATCH_ROWS = 1 << 16
 # A word or language may begin a third of all phrases: joins on them are dealt out so many times.
 SALTS = 16
 _BLOCK_BITS = 32768  # of Spark's bitmap_construct_agg
@@ -92,9 +96,9 @@ def _spelled(low, starts, ends, first, size) -> pa.Array:
 
 
 def _chunk_phrases(data, bounds, group_of_row, group_codes, proposed: Proposed, former: Proposed | None, max_words: int):
-    """Phrases of a chunk that ``proposed`` opens, length by length: size, groups, hashes, counts, which are fresh, spell.
+    """Places of phrases of a chunk that ``proposed`` opens, length by length: size, groups, hashes, which are fresh, spell.
 
-    Fresh are those that ``former`` did not open; ``spell`` gives the words of chosen ones.
+    Fresh are those that ``former`` did not open; ``spell`` gives the words at chosen places.
     """
     low = arrays.LOWER[data]
     starts, ends, first = arrays.words(low, bounds, _IN_WORD)
@@ -107,30 +111,34 @@ def _chunk_phrases(data, bounds, group_of_row, group_codes, proposed: Proposed,
     joined[:-1] = breaks[starts[1:]] == breaks[ends[:-1]]
     joined[first[1:-1][first[1:-1] > 0] - 1] = False
     words = arrays.byte_hash(low, starts, ends)
-    kinds, number = np.unique(words, return_inverse=True)
-    at, key = np.arange(n_words), group * len(kinds) + number
+    at, codes = np.arange(n_words), _longer(group_codes[group], words, 1)
+    passed = np.zeros(n_words + 1, bool)
     for size in range(1, max_words + 1):
-        _, lead, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        lead = at[lead]
-        codes = _longer(group_codes[group[lead]] if size == 1 else shorter[part[lead]], words[lead + size - 1], size)
         if former is None:
-            fresh = np.ones(len(lead), bool)
+            fresh = np.ones(len(at), bool)
         elif size == 1:
-            fresh = np.zeros(len(lead), bool)
+            fresh = np.zeros(len(at), bool)
         else:
-            fresh = ~(passed[part[lead]] & passed[part[lead + 1]])
-        yield size, group[lead], codes, count, fresh, lambda some, lead=lead, size=size: _spelled(low, starts, ends, lead[some], size)
+            fresh = ~(passed[at] & passed[at + 1])
+        yield size, group[at], codes, fresh, lambda some, at=at, size=size: _spelled(low, starts, ends, at[some], size)
         if size == max_words:
             return
-        open_ = proposed.holds(codes)
-        # Counted before, not merely proposed: a chance bit of a phrase that was never reached opened nothing.
-        passed = former.holds(codes) & ~fresh if former else None
-        part, shorter = np.full(n_words + 1, -1), codes
-        part[at] = inverse
         use = np.zeros(n_words + 1, bool)
-        use[at] = open_[inverse]
-        at = at[use[at] & use[at + 1] & joined[at]]
-        key = part[at] * len(lead) + part[at + 1]
+        use[at] = proposed.holds(codes)
+        if former:
+            # Counted before, not merely proposed: a chance bit of a phrase that was never reached opened nothing.
+            passed = np.zeros(n_words + 1, bool)
+            passed[at] = former.holds(codes) & ~fresh
+        goes_on = use[at] & use[at + 1] & joined[at]
+        at = at[goes_on]
+        codes = _longer(codes[goes_on], words[at + size], size + 1)
+
+
+def _tally(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in ascending order and how often each stands."""
+    codes = np.sort(codes)
+    heads = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[heads], np.diff(heads, append=len(codes))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]):
@@ -143,15 +151,61 @@ def _chunks(batches: Iterator[pa.RecordBatch]):
             yield data, bounds, row_group[a:b], codes, names
 
 
+class Spelled:
+    """Counts of phrases by their hashes, over the chunks of a task; each is spelled once."""
+
+    def __init__(self):
+        self.codes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending hashes, their places in the others
+        self.counts, self.parts = np.zeros(0, np.int64), []
+
+    def add(self, codes: np.ndarray, some: np.ndarray, spell: Callable[[np.ndarray], tuple[pa.Array, pa.Array]]) -> None:
+        """Count the places ``some``, of which ``spell`` gives languages and phrases."""
+        kinds, counts = _tally(codes[some])
+        place = np.searchsorted(self.codes, kinds)
+        known = np.zeros(len(kinds), bool)
+        inside = place < len(self.codes)
+        known[inside] = self.codes[place[inside]] == kinds[inside]
+        self.counts[self.number[place[known]]] += counts[known]
+        new = kinds[~known]
+        if not len(new):
+            return
+        # The first place of each hash that was not met before.
+        spot = np.minimum(np.searchsorted(new, codes[some]), len(new) - 1)
+        fits = np.flatnonzero(new[spot] == codes[some])
+        lead = np.empty(len(new), np.int64)
+        lead[spot[fits[::-1]]] = some[fits[::-1]]
+        self.parts.append(spell(lead))
+        number = len(self.counts) + np.arange(len(new))
+        self.counts = np.concatenate([self.counts, counts[~known]])
+        at = np.searchsorted(self.codes, new)
+        self.codes, self.number = np.insert(self.codes, at, new), np.insert(self.number, at, number)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        first = 0
+        for names, phrases in self.parts:
+            yield pa.RecordBatch.from_arrays([names, phrases, pa.array(self.counts[first : first + len(names)])], ["lang", "phrase", "n"])
+            first += len(names)
+
+
 def _count(texts: DataFrame, proposed: Broadcast, former: Broadcast | None, max_words: int) -> DataFrame:
     """Counts (code, n) of one pass: the hashes of all phrases that ``proposed`` opens and ``former`` did not."""
 
+    def tallied(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes, counts = _tally(np.concatenate(held))
+        for at in range(0, len(codes), BATCH_ROWS):
+            part = slice(at, at + BATCH_ROWS)
+            yield pa.RecordBatch.from_arrays([pa.array(codes[part].view(np.int64)), pa.array(counts[part])], ["code", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, then = Proposed(proposed.value), Proposed(former.value) if former else None
+        held: list[np.ndarray] = []
         for *chunk, _ in _chunks(batches):
-            for _, _, codes, counts, fresh, _ in _chunk_phrases(*chunk, now, then, max_words):
-                if fresh.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(codes[fresh].astype(np.int64)), pa.array(counts[fresh].astype(np.int64))], ["code", "n"])
+            held += [codes[fresh] for _, _, codes, fresh, _ in _chunk_phrases(*chunk, now, then, max_words)]
+            if sum(map(len, held)) >= HELD_CODES:
+                yield from tallied(held)
+                held = []
+        if held:
+            yield from tallied(held)
 
     return texts.mapInArrow(run, "code BIGINT, n BIGINT").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -161,13 +215,17 @@ def _spell(texts: DataFrame, proposed: Broadcast, frequent: Broadcast, max_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, wanted = Proposed(proposed.value), Proposed(frequent.value)
+        held = Spelled()
         for *chunk, names in _chunks(batches):
-            for size, groups, codes, counts, _, spell in _chunk_phrases(*chunk, now, None, max_words):
+            for size, groups, codes, _, spell in _chunk_phrases(*chunk, now, None, max_words):
                 if size == 1:
-                    total = np.bincount(groups, weights=counts, minlength=len(names)).astype(np.int64)
+                    total = np.bincount(groups, minlength=len(names)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(total)], ["lang", "phrase", "n"])
-                some = np.flatnonzero(wanted.holds(codes))
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(groups[some])), spell(some), pa.array(counts[some].astype(np.int64))], ["lang", "phrase", "n"])
+                held.add(codes, np.flatnonzero(wanted.holds(codes)), lambda some, groups=groups, spell=spell: (names.take(pa.array(groups[some])), spell(some)))
+            if len(held.codes) >= HELD_PHRASES:
+                yield from held.batches()
+                held = Spelled()
+        yield from held.batches()
 
     return texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
