@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import collocations
+from tickloom.llm.frames import stored
 
 SF_DIR = "/root/testdata/sf0.001"
 # Names that the operator uses for itself, and one more column.
@@ -119,3 +120,33 @@ def test_a_task_gives_out_each_phrase_once(spark, rows, monkeypatch):
         assert len(pc.unique(codes["code"])) == len(wanted) and pc.sum(codes["n"]).as_py() == sum(n for *_, n in wanted)
         if held > 300:
             assert len(phrases) == len(codes) == len(wanted)
+
+
+class Counted:
+    """Stands for a frame and counts the rows that its tasks give out."""
+
+    made: list[int] = []
+
+    def __init__(self, texts):
+        self.texts = texts
+
+    def mapInArrow(self, run, schema):
+        table = stored(self.texts.mapInArrow(run, schema), "made")
+        self.made.append(table.where("phrase != ''").count())
+        return table
+
+
+def test_spelled_rows_do_not_multiply_with_the_tasks(spark, monkeypatch):
+    # Phrases of every row, and one that a single row repeats: no small share is sure to hold it.
+    common = [(lang, " ".join(f"w{(n + i) % 30}" for i in range(30))) for lang in ("en", None) for n in range(1200)]
+    rows = [*common, ("xx", "rare words, " * 20), ("yy", "no phrase")]
+    tasks = 48
+    docs = spark.createDataFrame(rows, "lang STRING, text STRING").repartition(tasks).cache()
+    spell, made = collocations._spell, []
+    monkeypatch.setattr(collocations, "_spell", lambda texts, *others: spell(Counted(texts), *others))
+    monkeypatch.setattr(Counted, "made", made)
+    found = collocations.frequent_phrases(docs, min_count=20, slot_bits=20).collect()
+    counts, total = brute.phrase_counts(rows)
+    wanted = {(p[0], " ".join(p[1:])): n for p, n in counts.items() if n >= 20} | {(lang, ""): n for lang, n in total.items()}
+    assert len(found) == len(wanted) and {(r["lang"], r["phrase"]): r["n"] for r in found} == wanted
+    assert 250 < len(wanted) <= sum(made) + len(total) and sum(made) < tasks * len(wanted) / 3

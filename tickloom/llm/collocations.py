@@ -7,9 +7,10 @@ parts, so if no border phrase is frequent, all frequent phrases have been counte
 (failures of the sample) join the proposals, and further passes count what they open up, until no pass
 finds one. The sample thus decides how many passes are needed, never what is found.
 
-The proposals travel to the tasks as a bitmap of fixed size over phrase hashes, and passes count hashes. Collisions only
-add: to the proposals, and to counts. So no frequent phrase is missed, and a last pass counts those
-whose hash is frequent by their words themselves. (Within a task, places of equal 61-bit hashes count as one phrase.)
+The proposals travel to the tasks as a bitmap of fixed size over phrase hashes, and passes count hashes; collisions of bits
+only add proposals. The words of the frequent hashes are then read off the texts: first off a small share of the rows, then
+off a larger one and at last off all rows, each time only those not yet known. A phrase that stands nearly everywhere is
+thus spelled by the few tasks of the first share and not by every task of the table. (Places of equal 61-bit hashes count as one phrase.)
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 COUNTS = "lang STRING, phrase STRING, n BIGINT"
+SPELLED = f"code BIGINT, {COUNTS}"
 # The last bits of a phrase's hash are its number of words.
 _SIZE_BITS = 3
 
@@ -181,9 +183,12 @@ class Spelled:
         self.codes, self.number = np.insert(self.codes, at, new), np.insert(self.number, at, number)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
+        codes = np.empty(len(self.codes), np.uint64)
+        codes[self.number] = self.codes
         first = 0
         for names, phrases in self.parts:
-            yield pa.RecordBatch.from_arrays([names, phrases, pa.array(self.counts[first : first + len(names)])], ["lang", "phrase", "n"])
+            part = slice(first, first + len(names))
+            yield pa.RecordBatch.from_arrays([pa.array(codes[part].view(np.int64)), names, phrases, pa.array(self.counts[part])], ["code", "lang", "phrase", "n"])
             first += len(names)
 
 
@@ -210,24 +215,47 @@ def _count(texts: DataFrame, proposed: Broadcast, former: Broadcast | None, max_
     return texts.mapInArrow(run, "code BIGINT, n BIGINT").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _spell(texts: DataFrame, proposed: Broadcast, frequent: Broadcast, max_words: int) -> DataFrame:
-    """Counts (lang, phrase, n) of the phrases whose hash is frequent; the empty phrase counts a language's words."""
+def _spell(texts: DataFrame, proposed: Broadcast, chosen: Broadcast, max_words: int) -> DataFrame:
+    """Counts (code, lang, phrase, n) of the phrases whose hash is chosen; the empty phrase counts a language's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, wanted = Proposed(proposed.value), Proposed(frequent.value)
+        now, wanted = Proposed(proposed.value), Proposed(chosen.value)
         held = Spelled()
         for *chunk, names in _chunks(batches):
             for size, groups, codes, _, spell in _chunk_phrases(*chunk, now, None, max_words):
                 if size == 1:
                     total = np.bincount(groups, minlength=len(names)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(total)], ["lang", "phrase", "n"])
+                    empty = pa.array([""] * len(names), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(names), pa.int64()), names, empty, pa.array(total)], ["code", "lang", "phrase", "n"])
                 held.add(codes, np.flatnonzero(wanted.holds(codes)), lambda some, groups=groups, spell=spell: (names.take(pa.array(groups[some])), spell(some)))
             if len(held.codes) >= HELD_PHRASES:
                 yield from held.batches()
                 held = Spelled()
         yield from held.batches()
 
-    return texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, SPELLED).groupBy("code", "lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def _named(shares: list[DataFrame], found: DataFrame, closed: np.ndarray, max_words: int) -> DataFrame:
+    """Counts (lang, phrase, n) from those by hash; ``shares`` are growing parts of the rows, the last one is all of them.
+
+    A share spells what those before it have not. The rows that tasks give out so follow the number of frequent phrases, not
+    also that of the tasks: a phrase that many tasks hold is as good as certain to stand in a share that few of them read.
+    """
+    slot_bits, send = (len(closed) * 8).bit_length() - 1, found.sparkSession.sparkContext.broadcast
+    proposed, left, spelled = send(Proposed.packed(closed)), found, []
+    for texts in shares:
+        bits = _bitmap(left, slot_bits)
+        chosen = send(Proposed.packed(bits))
+        # With nothing left to spell, the words of the languages are still to be counted.
+        spelled.append(stored(_spell(texts, proposed, chosen, max_words if bits.any() else 1), f"phrases-spelled-{len(spelled)}"))
+        chosen.destroy()
+        left = left.join(spelled[-1], "code", "left_anti")
+    proposed.destroy()
+    # A chance bit may spell a phrase that is not frequent, or one a second time.
+    names = reduce(DataFrame.unionByName, spelled).where(F.col("phrase") != "").groupBy("code").agg(F.min(F.struct("lang", "phrase")).alias("of"))
+    phrases = found.join(names, "code").select("of.lang", "of.phrase", "n")
+    return stored(phrases.unionByName(spelled[-1].where("phrase = '' AND n > 0").select("lang", "phrase", "n")), "phrases")
 
 
 def _bitmap(codes: DataFrame, slot_bits: int) -> np.ndarray:
@@ -289,12 +317,7 @@ def frequent_phrases(
     found, closed, passes = _closed(texts, proposed, min_count, max_words, "phrases")
     if on_pass:
         on_pass(passes)
-    send = docs.sparkSession.sparkContext.broadcast
-    sent = send(Proposed.packed(closed)), send(Proposed.packed(_bitmap(found, slot_bits)))
-    counted = stored(_spell(texts, *sent, max_words).where((F.col("n") >= min_count) | ((F.col("phrase") == "") & (F.col("n") > 0))), "phrases")
-    for one in sent:
-        one.destroy()
-    return counted
+    return _named([some.sample(fraction=sample, seed=12), some, texts], found, closed, max_words)
 
 
 def _salted(counts: DataFrame, names: dict[str, str]) -> DataFrame:
