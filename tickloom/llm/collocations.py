@@ -317,7 +317,8 @@ def frequent_phrases(
     found, closed, passes = _closed(texts, proposed, min_count, max_words, "phrases")
     if on_pass:
         on_pass(passes)
-    return _named([some.sample(fraction=sample, seed=12), some, texts], found, closed, max_words)
+    shares = [some.sample(fraction=sample**2, seed=12), some.sample(fraction=sample, seed=13), some, texts]
+    return _named(shares, found, closed, max_words)
 
 
 def _salted(counts: DataFrame, names: dict[str, str]) -> DataFrame:
